@@ -15,7 +15,7 @@ from chartmill.functions import dictionaries, fixed_values as fixed
 from chartmill.functions.columns import first_text, or_default, raw_or_code, truthy
 from chartmill.operators.choose import pick_one, pivot_measures, top_n
 from chartmill.operators.incremental import after_cursor
-from chartmill.operators.lookups import anti_staged, lookup_first, new_rows, semi_on
+from chartmill.operators.lookups import anti_staged, lookup_first, semi_on
 from chartmill.plans.registration import Tables, at_locations
 
 
@@ -53,12 +53,11 @@ def programs(src: Tables, patients: DataFrame, location_uuids: Sequence[str], pa
 
 
 def encounters(src: Tables, patients: DataFrame, location_uuids: Sequence[str], staged: DataFrame | None = None,
-               look_back: int | None = None) -> DataFrame:
+               look_back: int | None = 0) -> DataFrame:
     """Encounters in force of staged patients at the chosen locations, with their mapped type."""
     spark = src["encounter"].sparkSession
     rows = at_locations(src, "encounter", location_uuids).where(F.col("voided") == 0)
-    if staged is not None:
-        rows = after_cursor(rows, "encounter_id", staged, look_back=look_back)
+    rows = _recent(rows, "encounter_id", staged, look_back)
     types = src["encounter_type"].select("encounter_type_id", F.col("name").alias("encounter_name"))
     typed = rows.withColumnRenamed("encounter_type", "encounter_type_id").join(types, "encounter_type_id")
     gated = semi_on(typed, patients, {"patient_id": "person_id"})
@@ -72,7 +71,7 @@ def encounters(src: Tables, patients: DataFrame, location_uuids: Sequence[str],
 
 
 def visits(src: Tables, patients: DataFrame, location_uuids: Sequence[str], staged: DataFrame | None = None,
-           look_back: int | None = None) -> DataFrame:
+           look_back: int | None = 0) -> DataFrame:
     """Visits in force with at least one encounter of a staged patient at the chosen locations.
 
     Patient and location come from the visit's lowest encounter.
@@ -80,9 +79,7 @@ def visits(src: Tables, patients: DataFrame, location_uuids: Sequence[str], stag
     met = at_locations(src, "encounter", location_uuids).where(F.col("visit_id").isNotNull())
     met = semi_on(met.select("visit_id", "encounter_id", "patient_id", "location_id"), patients, {"patient_id": "person_id"})
     first = pick_one(met, ["visit_id"], ["encounter_id"]).drop("encounter_id")
-    open_visits = src["visit"].where(F.col("voided") == 0)
-    if staged is not None:
-        open_visits = after_cursor(open_visits, "visit_id", staged, look_back=look_back)
+    open_visits = _recent(src["visit"].where(F.col("voided") == 0), "visit_id", staged, look_back)
     rows = lookup_first(open_visits.join(first, "visit_id"), patients.withColumn("_staged", F.lit(True)),
                         {"patient_id": "person_id"}, {"_staged": "_staged", "target_patient_uuid": "target_patient_uuid"})
     uuid = F.when(F.col("_staged").isNull(), fixed.PATIENT_NOT_MIGRATED).otherwise(F.col("target_patient_uuid"))
@@ -103,7 +100,7 @@ def orders(src: Tables, patients: DataFrame, dictionary: DataFrame, staged: Data
     reasoned = src["orders"].where(truthy("order_reason"))
     if first is not None:
         reasoned = top_n(reasoned, ["date_created", "order_id"], first)
-    single = pick_one(reasoned, ["uuid"], ["date_created", "order_id"])
+    single = _not_staged(reasoned, staged, ["uuid"], ["date_created", "order_id"])
     types = src["encounter_type"].select("encounter_type_id")
     at = src["encounter"].select("encounter_id", F.col("encounter_type").alias("encounter_type_id"))
     typed = single.join(at, "encounter_id").join(types, "encounter_type_id", "left_semi")
@@ -112,7 +109,7 @@ def orders(src: Tables, patients: DataFrame, dictionary: DataFrame, staged: Data
     known = lookup_first(mapped, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "_patient"})
     coded = lookup_first(known.withColumn("_reason_key", F.col("order_reason").cast("string")), dictionary,
                          {"_reason_key": "source_concept_id"}, {"target_concept_uuid": "_reason"})
-    rows = coded.select(
+    return coded.select(
         "order_id", "uuid", "order_type_id", "concept_id", "patient_id", "encounter_id", "encounter_type_id",
         F.col("orderer").cast("string").alias("orderer"), "instructions", "urgency",
         F.col("order_reason").cast("string").alias("order_reason"), "order_reason_non_coded", "order_number",
@@ -121,11 +118,11 @@ def orders(src: Tables, patients: DataFrame, dictionary: DataFrame, staged: Data
         or_default("_reason", "").alias("target_reason_uuid"),
         F.lit(None).cast("string").alias("target_order_uuid"), _no_response(),
     )
-    return rows if staged is None else new_rows(rows, staged, ["uuid"])
 
 
 def triage(src: Tables, location_ids: Sequence[int] | None = None, staged: DataFrame | None = None, person_id: int | None = None,
-           measures: Mapping[int, str] | None = None, concept_uuids: Sequence[str] | None = None) -> DataFrame:
+           measures: Mapping[int, str] | None = None, concept_uuids: Sequence[str] | None = None,
+           look_back: int | None = 0) -> DataFrame:
     """Vital signs as one wide row per (person, encounter): the largest value of each sign.
 
     The observations are reduced before they meet the encounters.
@@ -137,8 +134,7 @@ def triage(src: Tables, location_ids: Sequence[int] | None = None, staged: DataF
         signs = signs.where(F.col("location_id").isin(*location_ids))
     if person_id is not None:
         signs = signs.where(F.col("person_id") == person_id)
-    if staged is not None:
-        signs = after_cursor(signs, "encounter_id", staged, inclusive=True)
+    signs = _recent(signs, "encounter_id", staged, look_back)
     wide = pivot_measures(
         signs.join(concepts, "concept_id", "left_semi"), ["person_id", "encounter_id"], "concept_id", "value_numeric",
         measures, [F.min("location_id").alias("location_id"), F.max("obs_datetime").alias("obs_datetime")],
@@ -158,6 +154,7 @@ def hiv_enrollment(
     concepts: Sequence[int] | None = fixed.ENROLLMENT_CONCEPTS,
     raw_types: Sequence[int] = (1, 2),
     value_columns: Sequence[str | Column] = ("value_coded", "value_datetime", "value_numeric", "value_text"),
+    look_back: int | None = 0,
 ) -> DataFrame:
     """Typed observations of enrolment encounters, one per (person, encounter, concept); `concepts=None` takes all.
 
@@ -171,11 +168,8 @@ def hiv_enrollment(
         src["concept"].where(wanted).select("concept_id", "datatype_id")
         .join(kinds, "datatype_id").join(named, "concept_id")
     )
-    observed = src["obs"].where(wanted)
-    if staged is not None:
-        observed = after_cursor(observed, "encounter_id", staged)
-    observed = observed.select("person_id", "encounter_id", "concept_id", "obs_datetime",
-                               first_text(*value_columns).alias("value"))
+    observed = _recent(src["obs"].where(wanted), "encounter_id", staged, look_back).select(
+        "person_id", "encounter_id", "concept_id", "obs_datetime", first_text(*value_columns).alias("value"))
     keys = ["person_id", "encounter_id", "concept_id"]
     single = _not_staged(observed, staged, keys, ["obs_datetime"])
     at = (
@@ -212,6 +206,16 @@ def enrollment_summary(src: Tables, location_ids: Sequence[int], staged: DataFra
     return _not_staged(rows, staged, ["person_id"], ["encounter_id"])
 
 
+def _recent(rows: DataFrame, key: str, staged: DataFrame | None, look_back: int | None) -> DataFrame:
+    """Rows above the staged cursor lowered by `look_back`; `None` takes all and leaves it to the anti-join.
+
+    The original compares strictly, so a `look_back` of 0 does too.
+    """
+    if staged is None or look_back is None:
+        return rows
+    return after_cursor(rows, key, staged, look_back=look_back)
+
+
 def _not_staged(rows: DataFrame, staged: DataFrame | None, keys: Sequence[str], order: Sequence[str] = (),
                 distinct: bool = False) -> DataFrame:
     single = rows if distinct else pick_one(rows, keys, order)
