@@ -46,11 +46,15 @@ def with_person(rows: DataFrame, src: Tables, person_columns: Sequence[str]) ->
     )
 
 
-def users(src: Tables, location_uuids: Sequence[str], parent_location: str, staged: DataFrame | None = None) -> DataFrame:
-    """Staff accounts that created an encounter at the chosen locations."""
+def users(src: Tables, location_uuids: Sequence[str], parent_location: str, staged: DataFrame | None = None,
+          cursor: bool = True) -> DataFrame:
+    """Staff accounts that created an encounter at the chosen locations.
+
+    With `cursor`, later runs read only accounts above the largest staged one.
+    """
     creators = at_locations(src, "encounter", location_uuids).select(F.col("creator").alias("user_id")).distinct()
     accounts = src["users"]
-    if staged is not None:
+    if staged is not None and cursor:
         accounts = after_cursor(accounts, "user_id", staged)
     accounts = accounts.join(creators, "user_id", "left_semi")
     rows = with_person(accounts, src, PERSON_COLUMNS).select(
@@ -63,11 +67,12 @@ def users(src: Tables, location_uuids: Sequence[str], parent_location: str, stag
 
 
 def patients(src: Tables, location_uuids: Sequence[str], parent_location: str, staged: DataFrame | None = None,
-             first_run_rows: int | None = None) -> DataFrame:
+             first_run_rows: int | None = None, cursor: bool = True) -> DataFrame:
     """Demographics of the patients seen at the chosen locations.
 
     A patient seen at several of them is stored with the lowest location id.  The first run takes every patient,
-    or the newest `first_run_rows`; later runs go on below the smallest staged person.
+    or the newest `first_run_rows`; later runs go on below the smallest staged person, or with `cursor=False`
+    through everyone who is not staged.
     """
     seen = (
         at_locations(src, "encounter", location_uuids)
@@ -75,7 +80,7 @@ def patients(src: Tables, location_uuids: Sequence[str], parent_location: str, s
         .agg(F.min("location_id").alias("location_id"))
     )
     known = src["patient"].select(F.col("patient_id").alias("person_id"))
-    if staged is not None:
+    if staged is not None and cursor:
         known = before_cursor(known, "person_id", staged)
     seen = seen.join(known, "person_id", "left_semi")
     if first_run_rows is not None:
