@@ -21,6 +21,11 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> D
     rest = [c for c in df.columns if c not in keys and c not in lead]
     if not lead + rest:
         return df.distinct()
+    if len(lead + rest) == 1:
+        # One plain column needs no struct, so Spark can aggregate by hash instead of sorting.
+        only = F.col((lead + rest)[0])
+        least = F.when(F.max(only.isNull()), F.lit(None)).otherwise(F.min(only))
+        return df.groupBy(*keys).agg(least.alias((lead + rest)[0])).select(*df.columns)
     picked = df.groupBy(*keys).agg(F.min(F.struct(*lead, *rest)).alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
@@ -45,12 +50,12 @@ def pivot_measures(
 
 def join_distinct(df: DataFrame, keys: Sequence[str], value: str, alias: str, separator: str = ",") -> DataFrame:
     """The distinct values of each key as one ordered text; the set is bounded by the vocabulary, not the rows."""
-    return df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(value)), separator).alias(alias))
+    return df.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(value)), separator).alias(alias))
 
 
 def join_names(df: DataFrame, keys: Sequence[str], code: str, name: str, alias: str, extra: Sequence[Column] = ()):
     """The names of a key's distinct codes as one text, ordered by name; equal names of two codes both stay."""
-    entries = F.array_sort(F.collect_set(F.struct(F.col(name).alias("n"), F.col(code).alias("c"))))
+    entries = F.sort_array(F.collect_set(F.struct(F.col(name).alias("n"), F.col(code).alias("c"))))
     text = F.array_join(F.transform(entries, lambda e: e["n"]), ",")
     return df.groupBy(*keys).agg(*extra, text.alias(alias))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from chartmill.functions import fixed_values as fixed
 from chartmill.functions.columns import flag_text
 from chartmill.operators.choose import pick_one
+from chartmill.operators.lookups import one_per_key
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
@@ -33,7 +34,7 @@ def collect_parts(items: DataFrame, keys: Sequence[str], entry: Sequence[str], a
     Parts are drawn by the item's hash, so a key that holds a third of all rows ends up in many rows of about
     `max_items` entries, built by many tasks.  Items must be distinct within their key.
     """
-    big = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_items)
+    big = one_per_key(items, keys, F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_items)
     parts = F.coalesce(F.ceil(F.col("_n") / max_items), F.lit(1)).cast("int")
     spread = (
         items.join(big, list(keys), "left")
@@ -44,7 +45,7 @@ def collect_parts(items: DataFrame, keys: Sequence[str], entry: Sequence[str], a
     return (
         spread.repartition(*[F.col(k) for k in keys], F.col("part"))
         .groupBy(*keys, "part", "parts")
-        .agg(F.array_sort(F.collect_list(F.struct(*entry))).alias(alias))
+        .agg(F.sort_array(F.collect_list(F.struct(*entry))).alias(alias))
     )
 
 
@@ -176,7 +177,7 @@ def encounter_bundles(encounters: DataFrame, obs: DataFrame) -> DataFrame:
     """
     single = pick_one(obs.select("encounter_id", "concept_id", "person_uuid", "value"), ["encounter_id", "concept_id"])
     listed = single.groupBy("encounter_id").agg(
-        F.array_sort(F.collect_list(F.struct("concept_id", "person_uuid", "value"))).alias("_listed")
+        F.sort_array(F.collect_list(F.struct("concept_id", "person_uuid", "value"))).alias("_listed")
     )
     entries = F.transform(
         F.col("_listed"),

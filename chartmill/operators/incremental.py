@@ -55,9 +55,23 @@ def idempotent_load(
         rows = semi_on(rows, *gate)
     if cursor_key is not None:
         rows = after_cursor(rows, cursor_key, staged, inclusive=True, look_back=look_back)
+        if cursor_key in keys:
+            # Staged rows below the cursor cannot have the key of a row above it.
+            staged = after_cursor(staged, cursor_key, staged, inclusive=True, look_back=look_back)
     return new_rows(rows, staged, keys, order, nullable)
 
 
+def within_range(staged: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The staged rows a small batch could collide with, by the range of one of its natural key columns.
+
+    Both bounds are pushed into the scan, which skips the files and row groups outside; a staging table that
+    grows by ascending keys is then read only at its end.
+    """
+    low = batch.agg(F.min(key)).scalar()
+    high = batch.agg(F.max(key)).scalar()
+    return staged.where((F.col(key) >= low) & (F.col(key) <= high))
+
+
 def _edge(staged: DataFrame, key: str, edge, sentinel: Column, look_back) -> Column:
     found = edge(F.col(key)) if look_back is None else edge(F.col(key)) - look_back
     return staged.agg(F.coalesce(found, sentinel).alias("edge")).scalar()

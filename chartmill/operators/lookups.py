@@ -51,14 +51,28 @@ def new_rows(df: DataFrame, staged: DataFrame, keys: Sequence[str], order: Seque
 
 
 def lookup_first(df: DataFrame, entity: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
-                 order: Sequence[str] = ()) -> DataFrame:
-    """Left join to the first entity row of each key; `take` names {entity column: new column}."""
-    right = list(dict.fromkeys([*on.values(), *order, *take]))
-    reduced = pick_one(entity.select(*right), list(on.values()), order)
-    slim = reduced.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(on.values())],
-                          *[F.col(c).alias(alias) for c, alias in take.items()])
+                 order: Sequence[str] = (), how: str = "left") -> DataFrame:
+    """Join to the first entity row of each key; `take` names {entity column: new column}.
+
+    Rows without a match stay, with nulls; `how="inner"` drops them.
+    """
+    keys = [F.col(right).alias(f"_k{i}") for i, right in enumerate(on.values())]
+    payload = list(dict.fromkeys([*order, *take]))
+    slim = one_per_key(entity, keys, F.min(F.struct(*payload)).alias("_row")).select(
+        *[f"_k{i}" for i in range(len(on))], *[F.col("_row")[c].alias(alias) for c, alias in take.items()])
     condition = _all(df[left] == slim[f"_k{i}"] for i, left in enumerate(on))
-    return df.join(slim, condition, "left").drop(*[f"_k{i}" for i in range(len(on))])
+    return df.join(slim, condition, how).drop(*[f"_k{i}" for i in range(len(on))])
+
+
+def one_per_key(df: DataFrame, keys: Sequence[Column | str], *aggregates: Column) -> DataFrame:
+    """Reduce to one row per key, as the side of a join whose other side may have a hot key.
+
+    Spark splits a hot key's partition at run time only where both sides of the join come straight from a
+    shuffle.  Grouping by the key and its hash keeps the result the same but not its partitioning, so these few
+    rows are shuffled once more before the join and the other side's hot partition can be split.
+    """
+    grouped = df.groupBy(*keys, F.hash(*keys).alias("_hash")).agg(*aggregates)
+    return grouped.drop("_hash")
 
 
 def _keys(other: DataFrame, on: Mapping[str, str]) -> DataFrame:

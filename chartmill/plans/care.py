@@ -34,7 +34,7 @@ def programs(src: Tables, patients: DataFrame, location_uuids: Sequence[str], pa
         .join(places, "location_id")
         .groupBy("patient_id").agg(F.min("location_uuid").alias("location_uuid"))
     )
-    seen = semi_on(seen, patients, {"patient_id": "person_id"})
+    seen = lookup_first(seen, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "target_patient_uuid"}, how="inner")
     enrolments = src["patient_program"].drop("uuid")
     if staged is not None:
         enrolments = after_cursor(enrolments, "patient_program_id", staged, inclusive=True)
@@ -43,8 +43,7 @@ def programs(src: Tables, patients: DataFrame, location_uuids: Sequence[str], pa
     single = pick_one(enrolments.join(program, "program_id"), ["patient_id", "concept_id"], ["patient_program_id"])
     placed = single.join(seen, "patient_id")
     mapped = dictionaries.map_codes(placed, dictionaries.programs(spark), "program_uuid", "program_uuid", default="")
-    known = lookup_first(mapped, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "target_patient_uuid"})
-    rows = known.select(
+    rows = mapped.select(
         "patient_id", "patient_program_id", "program_id", "program_uuid", "program_name", "concept_id", "location_id",
         "location_uuid", "date_enrolled", "date_completed", "target_patient_uuid", "target_program_uuid",
         F.lit(parent_location).alias("parent_location_uuid"), _no_response(),
@@ -77,15 +76,13 @@ def visits(src: Tables, patients: DataFrame, location_uuids: Sequence[str], stag
     Patient and location come from the visit's lowest encounter.
     """
     met = at_locations(src, "encounter", location_uuids).where(F.col("visit_id").isNotNull())
-    met = semi_on(met.select("visit_id", "encounter_id", "patient_id", "location_id"), patients, {"patient_id": "person_id"})
+    met = lookup_first(met.select("visit_id", "encounter_id", "patient_id", "location_id"), patients,
+                       {"patient_id": "person_id"}, {"target_patient_uuid": "target_patient_uuid"}, how="inner")
     first = pick_one(met, ["visit_id"], ["encounter_id"]).drop("encounter_id")
     open_visits = _recent(src["visit"].where(F.col("voided") == 0), "visit_id", staged, look_back)
-    rows = lookup_first(open_visits.join(first, "visit_id"), patients.withColumn("_staged", F.lit(True)),
-                        {"patient_id": "person_id"}, {"_staged": "_staged", "target_patient_uuid": "target_patient_uuid"})
-    uuid = F.when(F.col("_staged").isNull(), fixed.PATIENT_NOT_MIGRATED).otherwise(F.col("target_patient_uuid"))
-    rows = rows.select(
+    rows = open_visits.join(first, "visit_id").select(
         "visit_id", "patient_id", "visit_type_id", "date_started", "date_stopped", "location_id", "voided",
-        uuid.alias("target_patient_uuid"), F.lit(None).cast("string").alias("target_visit_uuid"), _no_response(),
+        "target_patient_uuid", F.lit(None).cast("string").alias("target_visit_uuid"), _no_response(),
     )
     return _not_staged(rows, staged, ["visit_id"])
 

@@ -34,16 +34,12 @@ def with_person(rows: DataFrame, src: Tables, person_columns: Sequence[str]) ->
     """Join rows that have one person each to the person, one name and one address.
 
     A person may have several names and addresses.  They are reduced to one before the join, so the join never
-    multiplies rows, and only for the persons asked for.
+    multiplies rows.
     """
-    wanted = rows.select("person_id")
-    names = src["person_name"].select("person_id", *NAME_COLUMNS).join(wanted, "person_id", "left_semi")
-    addresses = src["person_address"].select("person_id", *ADDRESS_COLUMNS).join(wanted, "person_id", "left_semi")
-    return (
-        rows.join(src["person"].select("person_id", *person_columns), "person_id")
-        .join(pick_one(names, ["person_id"]), "person_id")
-        .join(pick_one(addresses, ["person_id"]), "person_id")
-    )
+    names = pick_one(src["person_name"].select("person_id", *NAME_COLUMNS), ["person_id"])
+    addresses = pick_one(src["person_address"].select("person_id", *ADDRESS_COLUMNS), ["person_id"])
+    person = src["person"].select("person_id", *person_columns)
+    return rows.join(person, "person_id").join(names, "person_id").join(addresses, "person_id")
 
 
 def users(src: Tables, location_uuids: Sequence[str], parent_location: str, staged: DataFrame | None = None,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from chartmill.operators.incremental import idempotent_load
+from chartmill.operators.incremental import idempotent_load, within_range
 from chartmill.sources.readers import read_staged
 from chartmill.sources.writers import append_rows
 
@@ -29,9 +29,13 @@ def stage_stream(
     transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     order: Sequence[str] = (),
     every: str | None = None,
+    range_key: str | None = None,
 ) -> StreamingQuery:
     """Run the batch load on every micro-batch.
 
+    `range_key`, one of the keys and never null, limits the staged rows read to the batch's range of it; name a
+    key that grows over time.
+
     A micro-batch that is replayed after a failure finds its rows staged and adds none.  Without `every` (say
     '1 minute') the stream takes what is there and stops.
     """
@@ -39,6 +43,8 @@ def stage_stream(
     def load(batch: DataFrame, _batch_id: int) -> None:
         rows = transform(batch)
         staged = read_staged(batch.sparkSession, staged_path, rows.schema)
+        if range_key is not None:
+            staged = within_range(staged, rows, range_key)
         append_rows(idempotent_load(rows, staged, keys, order), staged_path)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
