@@ -170,11 +170,10 @@ def lookup_first(t: Tables) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, name) = 1""")
 def join_fanout_dedupe(t: Tables) -> DataFrame:
     """Several names per concept, one kept: names and observations are reduced before they meet."""
-    one_name = choose.pick_one(t.concept_name.select("concept_id", F.col("name").alias("concept_name")), ["concept_id"])
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     single = choose.pick_one(lines, ["l_orderkey", "l_linenumber"])
     kept = lookups.semi_on(single, t.orders, {"l_orderkey": "o_orderkey"})
-    return kept.join(one_name, F.col("l_partkey") == F.col("concept_id")).drop("concept_id")
+    return lookups.lookup_first(kept, t.concept_name, {"l_partkey": "concept_id"}, {"name": "concept_name"}, how="inner")
 
 
 @query("join_staged_concept", f"""

@@ -221,7 +221,7 @@ def find_encounter_mapping(t: Tables) -> DataFrame:
 def find_encounters(t: Tables) -> DataFrame:
     """Two-key lookups of a whole batch at once: the orders of large accepted lineitems."""
     staged = t.orders.select(F.col("o_custkey").alias("patient_id"), F.col("o_orderkey").alias("encounter_id"), "o_orderdate")
-    big = t.lineitem.where("l_returnflag = 'A' AND l_quantity > 30").select(F.col("l_orderkey").alias("encounter_id")).distinct()
+    big = t.lineitem.where("l_returnflag = 'A' AND l_quantity > 30").select(F.col("l_orderkey").alias("encounter_id"))
     wanted = big.join(staged.select("patient_id", "encounter_id"), "encounter_id")
     return finders.find_each(staged, "encounters", "by_patient_and_encounter", wanted)
 
@@ -284,7 +284,7 @@ def find_orders(t: Tables) -> DataFrame:
 def find_patients(t: Tables) -> DataFrame:
     staged = t.customer.select(F.col("c_custkey").alias("person_id"), F.col("c_name").alias("uuid"),
                                F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("parent_location_uuid"))
-    return finders.find_each(staged, "patients", "by_person", t.events.select(F.col("user_id").alias("person_id")).distinct())
+    return finders.find_each(staged, "patients", "by_person", t.events.select(F.col("user_id").alias("person_id")))
 
 
 @query("find_programs", f"""
@@ -295,7 +295,7 @@ def find_programs(t: Tables) -> DataFrame:
     staged = t.events.select(F.col("event_id").alias("patient_program_id"), F.col("user_id").alias("patient_id"),
                              code_of("event_type", PROGRAM_ID_OF_EVENT, 0).alias("program_id"))
     wanted = t.events.where("event_type = 'view' AND value > 100").select(
-        F.col("user_id").alias("patient_id"), code_of("event_type", PROGRAM_ID_OF_EVENT, 0).alias("program_id")).distinct()
+        F.col("user_id").alias("patient_id"), code_of("event_type", PROGRAM_ID_OF_EVENT, 0).alias("program_id"))
     return finders.find_each(staged, "programs", "by_patient_and_program", wanted)
 
 

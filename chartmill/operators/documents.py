@@ -75,11 +75,12 @@ def patient_documents(patients: DataFrame, identifiers: DataFrame, generated: st
                       max_items: int = 1000) -> DataFrame:
     """(person_id, part, parts, document): the generated identifier first, then the mapped ones by value.
 
-    A patient with more than `max_items` identifiers gets further documents that carry the rest of them.
+    `identifiers` are the staged ones, one row per (patient, type, identifier).  A patient with more than
+    `max_items` of them gets further documents that carry the rest.
     """
     mapped = identifiers.where(F.coalesce(F.col("target_type_uuid"), F.lit("")) != "")
-    distinct = mapped.select(F.col("patient_id").alias("person_id"), "identifier", "target_type_uuid").distinct()
-    listed = collect_parts(distinct, ["person_id"], ["identifier", "target_type_uuid"], "_listed", max_items)
+    entries = mapped.select(F.col("patient_id").alias("person_id"), "identifier", "target_type_uuid")
+    listed = collect_parts(entries, ["person_id"], ["identifier", "target_type_uuid"], "_listed", max_items)
     own = F.transform(
         F.coalesce(F.col("_listed"), F.array().cast("array<struct<identifier:string,target_type_uuid:string>>")),
         lambda i: F.struct(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chartmill.operators.choose import latest
 from chartmill.operators.delivery import pending
+from chartmill.operators.lookups import distinct_keys
 
 ALL, LATEST, PENDING, DISTINCT_PARENTS = "all", "latest", "pending", "distinct parents"
 
@@ -105,7 +106,7 @@ def find(df: DataFrame, entity: str, finder: str, *values, id_column: str = "id"
 def find_each(df: DataFrame, entity: str, finder: str, wanted: DataFrame) -> DataFrame:
     """All rows that match any row of `wanted`, which holds the finder's key columns."""
     shape = FINDERS[entity][finder]
-    return df.join(wanted.select(*shape), list(shape), "left_semi")
+    return df.join(distinct_keys(wanted.select(*shape)), list(shape), "left_semi")
 
 
 def _equal(columns: Sequence[str], values: Sequence):

@@ -1,7 +1,8 @@
 """Joins of facts to dimensions, to staged entities and to each other's staged state.
 
-No broadcast hints here: a side is broadcast when Spark's own size check (file statistics before the run,
-shuffle statistics during it) finds it small, and shuffled beyond that.
+A side is broadcast only when a size check finds it small: `dimension` counts a bounded number of its rows, and
+everywhere else Spark's own check decides (file statistics before the run, shuffle statistics during it).  A
+larger side is shuffled.
 """
 
 from __future__ import annotations
@@ -14,6 +15,18 @@ from pyspark.sql import functions as F
 from chartmill.operators.choose import pick_one
 
 
+SMALL_ROWS = 10_000
+
+
+def dimension(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark a table for broadcast if it has at most `max_rows` rows; leave it alone otherwise.
+
+    Tables read over JDBC and grouped tables carry no usable size estimate, and without one Spark would shuffle
+    the facts by, say, an encounter type of fifty values.  The check fetches at most `max_rows` + 1 constants.
+    """
+    return F.broadcast(df) if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
+
+
 def star_join(fact: DataFrame, *dims: tuple[DataFrame, Mapping[str, str]], how: str = "inner") -> DataFrame:
     """Join a fact to dimensions; each comes with {fact column: dimension column}.
 
@@ -27,9 +40,15 @@ def star_join(fact: DataFrame, *dims: tuple[DataFrame, Mapping[str, str]], how:
     return out
 
 
-def semi_on(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
-    """Rows of `df` that have a partner in `other`."""
-    return df.join(_keys(other, on), _match(df, on), "left_semi")
+def semi_on(df: DataFrame, other: DataFrame, on: Mapping[str, str], repeated: bool = False) -> DataFrame:
+    """Rows of `df` that have a partner in `other`; say so if `other` repeats its keys, and they are reduced first."""
+    keys = _keys(other, on)
+    return df.join(distinct_keys(keys) if repeated else keys, _match(df, on), "left_semi")
+
+
+def distinct_keys(df: DataFrame) -> DataFrame:
+    """Distinct rows, as the side of a join whose other side may have a hot key (see `one_per_key`)."""
+    return df.withColumn("_hash", F.hash(*df.columns)).distinct().drop("_hash")
 
 
 def anti_staged(df: DataFrame, staged: DataFrame, keys: Sequence[str], nullable: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from chartmill.functions import dictionaries, fixed_values as fixed
 from chartmill.functions.columns import first_text, or_default, raw_or_code, truthy
 from chartmill.operators.choose import pick_one, pivot_measures, top_n
 from chartmill.operators.incremental import after_cursor
-from chartmill.operators.lookups import anti_staged, lookup_first, semi_on
+from chartmill.operators.lookups import anti_staged, dimension, lookup_first, semi_on
 from chartmill.plans.registration import Tables, at_locations
 
 
@@ -31,7 +31,7 @@ def programs(src: Tables, patients: DataFrame, location_uuids: Sequence[str], pa
         "location_id", F.col("uuid").alias("location_uuid"))
     seen = (
         src["encounter"].select("patient_id", "location_id")
-        .join(places, "location_id")
+        .join(dimension(places), "location_id")
         .groupBy("patient_id").agg(F.min("location_uuid").alias("location_uuid"))
     )
     seen = lookup_first(seen, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "target_patient_uuid"}, how="inner")
@@ -40,7 +40,7 @@ def programs(src: Tables, patients: DataFrame, location_uuids: Sequence[str], pa
         enrolments = after_cursor(enrolments, "patient_program_id", staged, inclusive=True)
     program = src["program"].select(
         "program_id", "concept_id", F.col("uuid").alias("program_uuid"), F.col("name").alias("program_name"))
-    single = pick_one(enrolments.join(program, "program_id"), ["patient_id", "concept_id"], ["patient_program_id"])
+    single = pick_one(enrolments.join(dimension(program), "program_id"), ["patient_id", "concept_id"], ["patient_program_id"])
     placed = single.join(seen, "patient_id")
     mapped = dictionaries.map_codes(placed, dictionaries.programs(spark), "program_uuid", "program_uuid", default="")
     rows = mapped.select(
@@ -58,7 +58,7 @@ def encounters(src: Tables, patients: DataFrame, location_uuids: Sequence[str],
     rows = at_locations(src, "encounter", location_uuids).where(F.col("voided") == 0)
     rows = _recent(rows, "encounter_id", staged, look_back)
     types = src["encounter_type"].select("encounter_type_id", F.col("name").alias("encounter_name"))
-    typed = rows.withColumnRenamed("encounter_type", "encounter_type_id").join(types, "encounter_type_id")
+    typed = rows.withColumnRenamed("encounter_type", "encounter_type_id").join(dimension(types), "encounter_type_id")
     gated = semi_on(typed, patients, {"patient_id": "person_id"})
     # Codes are added after duplicates are gone, so the shuffled rows stay narrow.
     staged_columns = gated.select(
@@ -95,12 +95,12 @@ def orders(src: Tables, patients: DataFrame, dictionary: DataFrame, staged: Data
     """
     spark = src["orders"].sparkSession
     reasoned = src["orders"].where(truthy("order_reason"))
-    if first is not None:
-        reasoned = top_n(reasoned, ["date_created", "order_id"], first)
     single = _not_staged(reasoned, staged, ["uuid"], ["date_created", "order_id"])
+    if first is not None:
+        single = top_n(single, ["date_created", "order_id"], first)
     types = src["encounter_type"].select("encounter_type_id")
     at = src["encounter"].select("encounter_id", F.col("encounter_type").alias("encounter_type_id"))
-    typed = single.join(at, "encounter_id").join(types, "encounter_type_id", "left_semi")
+    typed = single.join(at, "encounter_id").join(dimension(types), "encounter_type_id", "left_semi")
     mapped = dictionaries.map_codes(
         typed, dictionaries.encounter_types(spark).drop("target_type_id"), "encounter_type_id", "encounter_type_id", "")
     known = lookup_first(mapped, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "_patient"})
@@ -133,7 +133,7 @@ def triage(src: Tables, location_ids: Sequence[int] | None = None, staged: DataF
         signs = signs.where(F.col("person_id") == person_id)
     signs = _recent(signs, "encounter_id", staged, look_back)
     wide = pivot_measures(
-        signs.join(concepts, "concept_id", "left_semi"), ["person_id", "encounter_id"], "concept_id", "value_numeric",
+        signs.join(dimension(concepts), "concept_id", "left_semi"), ["person_id", "encounter_id"], "concept_id", "value_numeric",
         measures, [F.min("location_id").alias("location_id"), F.max("obs_datetime").alias("obs_datetime")],
     )
     at = src["encounter"].select("encounter_id", "encounter_datetime", "visit_id")
@@ -155,34 +155,34 @@ def hiv_enrollment(
 ) -> DataFrame:
     """Typed observations of enrolment encounters, one per (person, encounter, concept); `concepts=None` takes all.
 
-    A concept has a name per language; one is taken before the join instead of multiplying the observations.
+    What depends on the concept alone (type, name, target uuid) is joined among the dictionaries, so the
+    observations are joined to it once.  They meet the encounters first: that filters them, and the shuffle by
+    encounter serves the choice of one row per key as well.
     """
     kinds = src["concept_datatype"].where(F.col("name") != "N/A").select(
         F.col("concept_datatype_id").alias("datatype_id"), F.col("name").alias("value_type"))
     named = pick_one(src["concept_name"].select("concept_id", F.col("name").alias("concept_name")), ["concept_id"])
     wanted = F.lit(True) if concepts is None else F.col("concept_id").isin(*concepts)
     described = (
-        src["concept"].where(wanted).select("concept_id", "datatype_id")
-        .join(kinds, "datatype_id").join(named, "concept_id")
+        src["concept"].where(wanted).select("concept_id", "datatype_id", F.col("concept_id").cast("string").alias("_concept"))
+        .join(dimension(kinds), "datatype_id").join(named, "concept_id")
     )
-    observed = _recent(src["obs"].where(wanted), "encounter_id", staged, look_back).select(
-        "person_id", "encounter_id", "concept_id", "obs_datetime", first_text(*value_columns).alias("value"))
-    keys = ["person_id", "encounter_id", "concept_id"]
-    single = _not_staged(observed, staged, keys, ["obs_datetime"])
+    code = {"target_concept_uuid": "target_concept_uuid"}
+    described = lookup_first(described, dictionary, {"_concept": "source_concept_id"}, code).drop("_concept")
+    types = src["encounter_type"].select(F.col("encounter_type_id").alias("encounter_type"), F.col("name").alias("encounter_name"))
+    places = src["location"].select("location_id", F.col("uuid").alias("location_uuid"))
     at = (
         src["encounter"].where(F.col("encounter_type").isin(*encounter_types) & F.col("location_id").isin(*location_ids))
         .where(F.col("voided") == 0)
-        .select("encounter_id", "encounter_datetime", "encounter_type", "location_id",
-                F.col("creator").alias("provider_id"))
-        .join(src["encounter_type"].select(F.col("encounter_type_id").alias("encounter_type"),
-                                           F.col("name").alias("encounter_name")), "encounter_type")
-        .join(src["location"].select("location_id", F.col("uuid").alias("location_uuid")), "location_id")
+        .select("encounter_id", "encounter_datetime", "encounter_type", "location_id", F.col("creator").alias("provider_id"))
+        .join(dimension(types), "encounter_type").join(dimension(places), "location_id").drop("location_id")
     )
-    joined = single.join(at, "encounter_id").join(described, "concept_id")
-    codes = {"target_concept_uuid": "target_concept_uuid"}
-    coded = lookup_first(joined.withColumn("_concept", F.col("concept_id").cast("string")), dictionary,
-                         {"_concept": "source_concept_id"}, codes)
-    valued = lookup_first(coded, dictionary, {"value": "source_concept_id"}, {"target_concept_uuid": "_value_code"})
+    observed = _recent(src["obs"].where(wanted), "encounter_id", staged, look_back).select(
+        "person_id", "encounter_id", "concept_id", "obs_datetime", first_text(*value_columns).alias("value"))
+    keys = ["person_id", "encounter_id", "concept_id"]
+    single = _not_staged(observed.join(at, "encounter_id"), staged, keys, ["obs_datetime", "value"])
+    valued = lookup_first(single.join(dimension(described), "concept_id"), dictionary, {"value": "source_concept_id"},
+                          {"target_concept_uuid": "_value_code"})
     return valued.select(
         *keys, "encounter_datetime", "encounter_type", "encounter_name", "location_uuid", "concept_name", "obs_datetime",
         "value", "value_type", "datatype_id", "provider_id", F.lit(fixed.ENROLLMENT_CATEGORY).alias("category"),

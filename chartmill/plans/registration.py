@@ -15,7 +15,7 @@ from chartmill.functions import dictionaries, fixed_values as fixed
 from chartmill.functions.columns import flag_text, strip_for_type
 from chartmill.operators.choose import pick_one
 from chartmill.operators.incremental import after_cursor, before_cursor
-from chartmill.operators.lookups import anti_staged, new_rows
+from chartmill.operators.lookups import anti_staged, dimension, new_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -27,7 +27,7 @@ ADDRESS_COLUMNS = ["address1", "county_district", "address4", "address5", "addre
 def at_locations(src: Tables, table: str, location_uuids: Sequence[str]) -> DataFrame:
     """Rows of a table that belong to the chosen locations."""
     chosen = src["location"].where(F.col("uuid").isin(*location_uuids)).select("location_id")
-    return src[table].join(chosen, "location_id", "left_semi")
+    return src[table].join(dimension(chosen), "location_id", "left_semi")
 
 
 def with_person(rows: DataFrame, src: Tables, person_columns: Sequence[str]) -> DataFrame:
@@ -82,7 +82,7 @@ def patients(src: Tables, location_uuids: Sequence[str], parent_location: str, s
     if first_run_rows is not None:
         seen = seen.orderBy(F.desc("person_id")).limit(first_run_rows)
     places = src["location"].select("location_id", F.col("name").alias("location_name"))
-    rows = with_person(seen.join(places, "location_id"), src, ["uuid", "voided", *PERSON_COLUMNS]).select(
+    rows = with_person(seen.join(dimension(places), "location_id"), src, ["uuid", "voided", *PERSON_COLUMNS]).select(
         "uuid", "person_id", *NAME_COLUMNS, "gender", "birthdate", *ADDRESS_COLUMNS, "dead", "birthdate_estimated",
         "voided", "location_id", "location_name", F.lit(parent_location).alias("parent_location_uuid"),
         F.lit(None).cast("string").alias("target_patient_uuid"), F.lit(None).cast("string").alias("response_code"),
@@ -100,7 +100,7 @@ def identifiers(src: Tables, new_patients: DataFrame, parent_location: str, stag
     types = src["patient_identifier_type"].select(
         F.col("patient_identifier_type_id").alias("identifier_type"), F.col("uuid").alias("type_uuid")
     )
-    typed = active.join(wanted, "patient_id", "left_semi").join(types, "identifier_type")
+    typed = active.join(wanted, "patient_id", "left_semi").join(dimension(types), "identifier_type")
     rows = dictionaries.map_codes(typed, dictionaries.identifier_types(spark), "type_uuid", "type_uuid", default="").select(
         "patient_id", "type_uuid", "target_type_uuid",
         strip_for_type("identifier", "type_uuid", fixed.DASH_FREE_IDENTIFIER_TYPE).alias("identifier"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chartmill.functions import fixed_values as fixed
 from chartmill.functions.columns import entry_point, first_care_date, patient_type
 from chartmill.operators.choose import join_names, pick_one
-from chartmill.operators.lookups import semi_on
+from chartmill.operators.lookups import dimension, one_per_key, semi_on
 from chartmill.plans.registration import Tables
 
 
@@ -29,7 +29,8 @@ def regimens(
     names = src["concept_name"].where(
         (F.col("locale") == locale) & (F.col("concept_name_type") == "FULLY_SPECIFIED")
     ).select(F.col("concept_id").alias("value_coded"), "name")
-    names = names.groupBy("value_coded").agg(F.min("name").alias("name"))
+    # A drug a third of the patients take is a hot key of the joins below.
+    names = dimension(one_per_key(names, ["value_coded"], F.min("name").alias("name")))
     in_force = src["obs"].where(F.col("voided") == 0)
     drugs = in_force.where(F.col("concept_id") == drug_concept)
     if location_ids is not None:
@@ -69,7 +70,7 @@ def patient_types(
     at = src["encounter"].where((F.col("voided") == 0) & F.col("encounter_type").isin(*encounter_types))
     if location_ids is not None:
         at = at.where(F.col("location_id").isin(*location_ids))
-    at = at.join(src["form"].select("form_id"), "form_id", "left_semi")
+    at = at.join(dimension(src["form"].select("form_id")), "form_id", "left_semi")
     return at.join(single, "encounter_id").select(
         "patient_id", "encounter_id", "encounter_datetime",
         patient_type("form_id", "concept_id", transfer_in).alias("patient_type"),
@@ -83,8 +84,8 @@ def initial_obs(src: Tables, patients: DataFrame, concept: int = fixed.INITIAL_O
     told = src["obs"].where(F.col("concept_id") == concept).select(
         "encounter_id", "concept_id", "obs_datetime", "value_coded")
     known = semi_on(src["encounter"].select("encounter_id", "patient_id"), patients, {"patient_id": "person_id"})
-    described = src["concept"].select("concept_id")
-    return told.join(described, "concept_id", "left_semi").join(known, "encounter_id").select(
+    described = src["concept"].where(F.col("concept_id") == concept).select("concept_id")
+    return told.join(dimension(described), "concept_id", "left_semi").join(known, "encounter_id").select(
         "patient_id", "encounter_id", "concept_id", "obs_datetime", "value_coded",
         F.lit(fixed.INITIAL_OBS_TARGET_UUID).alias("target_concept_uuid"), F.lit("").alias("target_value"),
     )
@@ -98,7 +99,7 @@ def initial_encounters(src: Tables, patient_id: int | None = None,
         at = at.where(F.col("patient_id") == patient_id)
     types = src["encounter_type"].select(F.col("encounter_type_id").alias("encounter_type"))
     observed = src["obs"].select("encounter_id").distinct()
-    return at.join(types, "encounter_type", "left_semi").join(observed, "encounter_id", "left_semi").orderBy("encounter_id")
+    return at.join(dimension(types), "encounter_type", "left_semi").join(observed, "encounter_id", "left_semi").orderBy("encounter_id")
 
 
 def lab_concepts(src: Tables, locale: str = "en") -> DataFrame:
