@@ -95,20 +95,26 @@ def identifier_sql(value: str, kind: str, preferred: str) -> str:
     return obj(("identifier", value), ("identifierType", kind), ("location", f"'{fixed.DOCUMENT_LOCATION}'"), ("preferred", f"'{preferred}'"))
 
 
+MAX_ITEMS = 1000
+PATIENT_DOCUMENT_SQL = obj(
+    ("identifiers", "@'[' || concat_ws(',', " + identifier_sql('generated', f"'{fixed.GENERATED_IDENTIFIER_TYPE}'", 'true') + ", items) || ']'"),
+    ("person", "@" + person_sql('address1', 'address1', 'address4', 'address4')))
+
+
 @query("doc_patient", f"""
-    WITH listed AS (SELECT patient_id, string_agg({identifier_sql('identifier', 'target_type_uuid', 'false')}, ','
-                        ORDER BY identifier, target_type_uuid) AS items
-                    FROM ({IDENTIFIERS_SQL}) WHERE target_type_uuid <> '' GROUP BY patient_id),
+    WITH mapped AS (SELECT patient_id, identifier, target_type_uuid, CAST(ceil(count(*) OVER (PARTITION BY patient_id) / {MAX_ITEMS}) AS INTEGER) AS parts
+                    FROM ({IDENTIFIERS_SQL}) WHERE target_type_uuid <> ''),
+         listed AS (SELECT patient_id, parts, CAST(CAST('0x' || substr(md5(identifier), 1, 8) AS BIGINT) % parts AS INTEGER) AS part,
+                           string_agg({identifier_sql('identifier', 'target_type_uuid', 'false')}, ',' ORDER BY identifier, target_type_uuid) AS items
+                    FROM mapped GROUP BY ALL),
          who AS (SELECT c_custkey AS person_id, 'G-' || c_custkey AS generated, {person_columns_sql('c_name', 'c_nationkey', 'c_acctbal')} FROM customer)
-    SELECT person_id, 0 AS part, 1 AS parts, {obj(
-        ("identifiers", "@'[' || concat_ws(',', " + identifier_sql('generated', f"'{fixed.GENERATED_IDENTIFIER_TYPE}'", 'true') + ", items) || ']'"),
-        ("person", "@" + person_sql('address1', 'address1', 'address4', 'address4')))} AS document
+    SELECT person_id, coalesce(part, 0) AS part, coalesce(parts, 1) AS parts, {PATIENT_DOCUMENT_SQL} AS document
     FROM who LEFT JOIN listed ON person_id = patient_id""")
 def doc_patient(t: Tables) -> DataFrame:
     patients = t.customer.select(
         F.col("c_custkey").alias("person_id"), F.concat(F.lit("G-"), F.col("c_custkey").cast("string")).alias("generated_identifier"),
         *person_columns("c_name", "c_nationkey", "c_acctbal"))
-    return documents.patient_documents(patients, identifiers(t))
+    return documents.patient_documents(patients, identifiers(t), max_items=MAX_ITEMS)
 
 
 @query("doc_user", f"""

@@ -31,15 +31,16 @@ def date_text(col: Column | str) -> Column:
 def collect_parts(items: DataFrame, keys: Sequence[str], entry: Sequence[str], alias: str, max_items: int = 1000):
     """The items of each key as sorted arrays; a key with more than `max_items` is spread over numbered parts.
 
-    Parts are drawn by the item's hash, so a key that holds a third of all rows ends up in many rows of about
-    `max_items` entries, built by many tasks.  Items must be distinct within their key.
+    Parts are drawn by the hash of the first entry column, so a key that holds a third of all rows ends up in many
+    rows of about `max_items` entries, built by many tasks.  That column must hardly repeat within a key.
     """
     big = one_per_key(items, keys, F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_items)
     parts = F.coalesce(F.ceil(F.col("_n") / max_items), F.lit(1)).cast("int")
+    draw = F.conv(F.substring(F.md5(F.col(entry[0]).cast("string")), 1, 8), 16, 10).cast("long")
     spread = (
         items.join(big, list(keys), "left")
         .withColumn("parts", parts)
-        .withColumn("part", F.pmod(F.xxhash64(*entry), F.col("parts")).cast("int"))
+        .withColumn("part", F.when(F.col("parts") > 1, (draw % F.col("parts")).cast("int")).otherwise(0))
         .drop("_n")
     )
     return (
