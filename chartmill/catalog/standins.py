@@ -57,6 +57,9 @@ def type_of_price(price: str = "o_totalprice", step: int = 1700) -> Column:
     return (F.floor(F.col(price) / step) + 1).cast("int")
 
 
+_SCHEMAS: dict = {}
+
+
 class Tables:
     """The given tables of one scale, and the clinical tables derived from them."""
 
@@ -68,7 +71,11 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A given table; its schema is looked up in the file once per process, not once per query."""
+        path = self.path(name)
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def scratch(self, label: str) -> str:
         return run_dir(self.spark, label)

@@ -52,11 +52,15 @@ def delivery_state(response: Column | str = "response_code") -> Column:
 
 
 def gate_encounters(encounters: DataFrame, patients: DataFrame, visits: DataFrame) -> DataFrame:
-    """An encounter may go when its patient is staged and its visit, if it has one, was delivered."""
+    """An encounter may go when its patient is staged and its visit, if it has one, was delivered.
+
+    Staged visits are unique by visit id; a person may be staged under several parent locations.
+    """
     known = lookup_first(encounters, patients.withColumn("_staged", F.lit(True)), {"patient_id": "person_id"},
                          {"_staged": "_staged", "target_patient_uuid": "target_patient_uuid"})
     known = lookup_first(known, visits.withColumn("_visit", F.lit(True)), {"visit_id": "visit_id"},
-                         {"_visit": "_visit", "response_code": "_visit_code", "target_visit_uuid": "target_visit_uuid"})
+                         {"_visit": "_visit", "response_code": "_visit_code", "target_visit_uuid": "target_visit_uuid"},
+                         unique=True)
     reason = (
         F.when(F.col("_staged").isNull(), "patient not staged")
         .when(F.col("visit_id").isNull(), F.lit(None).cast("string"))

@@ -70,15 +70,19 @@ def new_rows(df: DataFrame, staged: DataFrame, keys: Sequence[str], order: Seque
 
 
 def lookup_first(df: DataFrame, entity: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
-                 order: Sequence[str] = (), how: str = "left") -> DataFrame:
+                 order: Sequence[str] = (), how: str = "left", unique: bool = False) -> DataFrame:
     """Join to the first entity row of each key; `take` names {entity column: new column}.
 
-    Rows without a match stay, with nulls; `how="inner"` drops them.
+    Rows without a match stay, with nulls; `how="inner"` drops them.  Say `unique` only of an entity whose natural
+    key is the lookup key; it saves reducing it.
     """
     keys = [F.col(right).alias(f"_k{i}") for i, right in enumerate(on.values())]
     payload = list(dict.fromkeys([*order, *take]))
-    slim = one_per_key(entity, keys, F.min(F.struct(*payload)).alias("_row")).select(
-        *[f"_k{i}" for i in range(len(on))], *[F.col("_row")[c].alias(alias) for c, alias in take.items()])
+    if unique:
+        slim = entity.select(*keys, *[F.col(c).alias(alias) for c, alias in take.items()])
+    else:
+        slim = one_per_key(entity, keys, F.min(F.struct(*payload)).alias("_row")).select(
+            *[f"_k{i}" for i in range(len(on))], *[F.col("_row")[c].alias(alias) for c, alias in take.items()])
     condition = _all(df[left] == slim[f"_k{i}"] for i, left in enumerate(on))
     return df.join(slim, condition, how).drop(*[f"_k{i}" for i in range(len(on))])
 

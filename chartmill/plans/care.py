@@ -15,7 +15,7 @@ from chartmill.functions import dictionaries, fixed_values as fixed
 from chartmill.functions.columns import first_text, or_default, raw_or_code, truthy
 from chartmill.operators.choose import pick_one, pivot_measures, top_n
 from chartmill.operators.incremental import after_cursor
-from chartmill.operators.lookups import anti_staged, dimension, lookup_first, semi_on
+from chartmill.operators.lookups import anti_staged, dimension, lookup_first, new_rows, semi_on
 from chartmill.plans.registration import Tables, at_locations
 
 
@@ -136,10 +136,12 @@ def triage(src: Tables, location_ids: Sequence[int] | None = None, staged: DataF
         signs.join(dimension(concepts), "concept_id", "left_semi"), ["person_id", "encounter_id"], "concept_id", "value_numeric",
         measures, [F.min("location_id").alias("location_id"), F.max("obs_datetime").alias("obs_datetime")],
     )
+    # The staged rows go out before the encounters come in: the reduced rows are partitioned by the staged key.
+    keys = ["person_id", "encounter_id"]
+    fresh = wide if staged is None else anti_staged(wide, staged, keys)
     at = src["encounter"].select("encounter_id", "encounter_datetime", "visit_id")
-    rows = wide.join(at, "encounter_id").select(
-        "person_id", "encounter_id", "encounter_datetime", "visit_id", "location_id", "obs_datetime", *measures.values())
-    return _not_staged(rows, staged, ["person_id", "encounter_id"], distinct=True)
+    return fresh.join(at, "encounter_id").select(
+        *keys, "encounter_datetime", "visit_id", "location_id", "obs_datetime", *measures.values())
 
 
 def hiv_enrollment(
@@ -169,6 +171,8 @@ def hiv_enrollment(
     )
     code = {"target_concept_uuid": "target_concept_uuid"}
     described = lookup_first(described, dictionary, {"_concept": "source_concept_id"}, code).drop("_concept")
+    if concepts is not None:
+        described = dimension(described)
     types = src["encounter_type"].select(F.col("encounter_type_id").alias("encounter_type"), F.col("name").alias("encounter_name"))
     places = src["location"].select("location_id", F.col("uuid").alias("location_uuid"))
     at = (
@@ -181,7 +185,7 @@ def hiv_enrollment(
         "person_id", "encounter_id", "concept_id", "obs_datetime", first_text(*value_columns).alias("value"))
     keys = ["person_id", "encounter_id", "concept_id"]
     single = _not_staged(observed.join(at, "encounter_id"), staged, keys, ["obs_datetime", "value"])
-    valued = lookup_first(single.join(dimension(described), "concept_id"), dictionary, {"value": "source_concept_id"},
+    valued = lookup_first(single.join(described, "concept_id"), dictionary, {"value": "source_concept_id"},
                           {"target_concept_uuid": "_value_code"})
     return valued.select(
         *keys, "encounter_datetime", "encounter_type", "encounter_name", "location_uuid", "concept_name", "obs_datetime",
@@ -213,10 +217,8 @@ def _recent(rows: DataFrame, key: str, staged: DataFrame | None, look_back: int
     return after_cursor(rows, key, staged, look_back=look_back)
 
 
-def _not_staged(rows: DataFrame, staged: DataFrame | None, keys: Sequence[str], order: Sequence[str] = (),
-                distinct: bool = False) -> DataFrame:
-    single = rows if distinct else pick_one(rows, keys, order)
-    return single if staged is None else anti_staged(single, staged, keys)
+def _not_staged(rows: DataFrame, staged: DataFrame | None, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    return pick_one(rows, keys, order) if staged is None else new_rows(rows, staged, keys, order)
 
 
 def _no_response() -> Column:
