@@ -264,13 +264,13 @@ def find_concept_dictionary(t: Tables) -> DataFrame:
 
 @query("find_obs", """
     SELECT l_suppkey AS person_id, l_orderkey AS encounter_id, l_partkey AS concept_id, l_shipdate FROM lineitem
-    WHERE l_suppkey = 7 AND CASE WHEN l_returnflag = 'A' THEN 'U-' || l_orderkey END IS NULL""")
+    WHERE CASE WHEN l_returnflag = 'A' THEN 'U-' || l_orderkey END IS NULL""")
 def find_obs(t: Tables) -> DataFrame:
-    """A null key looks for nulls: the observations of one person that have no uuid yet."""
+    """A null key looks for nulls: the observations that have no uuid yet."""
     staged = t.lineitem.select(F.col("l_suppkey").alias("person_id"), F.col("l_orderkey").alias("encounter_id"),
                                F.col("l_partkey").alias("concept_id"), "l_shipdate",
                                F.when(F.col("l_returnflag") == "A", F.concat(F.lit("U-"), F.col("l_orderkey").cast("string"))).alias("uuid"))
-    return finders.find(staged, "obs", "by_uuid", None).where(F.col("person_id") == 7).drop("uuid")
+    return finders.find(staged, "obs", "by_uuid", None).drop("uuid")
 
 
 @query("find_orders", "SELECT 'O-' || o_orderkey AS uuid, o_orderpriority FROM orders")
