@@ -96,6 +96,17 @@ def test_stream_equals_batch(spark, source, tmp_path):
     assert rows(readers.read_staged(spark, staged, source.schema)) == rows(source)
 
 
+def test_stream_on_a_clock(spark, source, tmp_path):
+    source.write.parquet(f"{tmp_path}/in")
+    stream = loads.file_stream(spark, f"{tmp_path}/in", source.schema)
+    running = loads.stage_stream(stream, f"{tmp_path}/staged", f"{tmp_path}/cp", ["p"], order=["k"], every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    assert sorted(r[0] for r in rows(readers.read_staged(spark, f"{tmp_path}/staged", source.schema))) == [1, *range(3, 31, 3)]
+
+
 def test_read_staged_before_and_after_the_first_load(spark, source, tmp_path):
     path = f"{tmp_path}/none"
     assert readers.read_staged(spark, path, source.schema).count() == 0
