@@ -24,7 +24,8 @@ def after_cursor(df: DataFrame, key: str, staged: DataFrame, staged_key: str | N
                  look_back=None) -> DataFrame:
     """Rows whose key is above (or, with `inclusive`, at least) the largest staged key.
 
-    `look_back` lowers the cursor: a number for keys, an interval column for times.
+    `look_back` lowers the cursor: a number for keys, an interval column for times.  Only the key column of `staged`
+    is read for the edge; a one-row table that keeps the last load's edge does as well.
     """
     cursor = _edge(staged, staged_key or key, F.max, _sentinel(df, key, _LOWEST, _FIRST_DAY), look_back)
     return df.where(F.col(key) >= cursor if inclusive else F.col(key) > cursor)

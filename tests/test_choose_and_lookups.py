@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartmill.operators import choose, lookups, numbering
+from chartmill.plans import care
 
 
 def rows(df):
@@ -120,8 +121,9 @@ def test_a_dimension_beyond_the_limit_is_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_a_hot_lookup_key_is_split_at_run_time(spark):
-    """A third of the rows look up one key; adaptive execution must be able to split their partition."""
+@pytest.fixture
+def tiny_thresholds(spark):
+    """Adaptive execution takes partitions of some kilobytes for large ones, and broadcasts nothing by itself."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
@@ -132,26 +134,47 @@ def test_a_hot_lookup_key_is_split_at_run_time(spark):
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    try:
-        n = 60_000
-        hot = F.when(F.col("id") < n // 3, 1).otherwise(F.col("id"))
-        fact = spark.range(n).select(F.md5(F.col("id").cast("string")).alias("x"), hot.alias("p")).repartition(16)
-        entity = spark.range(n).select(F.col("id").alias("person"), F.col("id").cast("string").alias("uuid")).repartition(5)
-
-        def split(found):
-            right = (F.col("u") == F.col("p").cast("string")) if "u" in found.columns else F.lit(True)
-            got = found.agg(F.count(F.lit(1)), F.max(F.length("x")), F.sum(right.cast("int")))
-            assert [tuple(r) for r in got.collect()] == [(n, 32, n)]
-            return "skew=true" in plan_of(got)
-
-        assert split(lookups.lookup_first(fact, entity, {"p": "person"}, {"uuid": "u"}))
-        assert split(lookups.semi_on(fact, entity.unionByName(entity), {"p": "person"}, repeated=True))
-        # The straight way, a grouped side joined on its own keys, cannot be split.
-        grouped = choose.pick_one(entity, ["person"]).withColumnRenamed("uuid", "u")
-        assert not split(fact.join(grouped, F.col("p") == F.col("person"), "left"))
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_lookup_key_is_split_at_run_time(spark, tiny_thresholds):
+    """A third of the rows look up one key; adaptive execution must be able to split their partition."""
+    n = 60_000
+    hot = F.when(F.col("id") < n // 3, 1).otherwise(F.col("id"))
+    fact = spark.range(n).select(F.md5(F.col("id").cast("string")).alias("x"), hot.alias("p")).repartition(16)
+    entity = spark.range(n).select(F.col("id").alias("person"), F.col("id").cast("string").alias("uuid")).repartition(5)
+
+    def split(found):
+        right = (F.col("u") == F.col("p").cast("string")) if "u" in found.columns else F.lit(True)
+        got = found.agg(F.count(F.lit(1)), F.max(F.length("x")), F.sum(right.cast("int")))
+        assert [tuple(r) for r in got.collect()] == [(n, 32, n)]
+        return "skew=true" in plan_of(got)
+
+    assert split(lookups.lookup_first(fact, entity, {"p": "person"}, {"uuid": "u"}))
+    assert split(lookups.lookup_first(fact, entity, {"p": "person"}, {"uuid": "u"}, unique=True))
+    assert split(lookups.semi_on(fact, entity.unionByName(entity), {"p": "person"}, repeated=True))
+    # The straight way, a grouped side joined on its own keys, cannot be split.
+    grouped = choose.pick_one(entity, ["person"]).withColumnRenamed("uuid", "u")
+    assert not split(fact.join(grouped, F.col("p") == F.col("person"), "left"))
+
+
+def test_a_hot_patient_is_split_in_the_encounter_job(spark, tiny_thresholds):
+    n = 60_000
+    hot = F.when(F.col("id") < n // 3, 1).otherwise(F.col("id"))
+    encounter = spark.range(n).select(
+        F.col("id").alias("encounter_id"), hot.alias("patient_id"), F.lit(14).alias("encounter_type"), F.lit(1).cast("long").alias("location_id"),
+        F.lit(0).alias("voided"), F.xxhash64("id").alias("visit_id"), F.lit("2020-01-01").cast("timestamp_ntz").alias("encounter_datetime"),
+    ).repartition(16)
+    src = {
+        "encounter": encounter, "encounter_type": spark.createDataFrame([(14, "T")], "encounter_type_id int, name string"),
+        "location": spark.createDataFrame([(1, "L")], "location_id long, uuid string")}
+    patients = spark.range(n).select(F.col("id").alias("person_id")).repartition(5)
+    staged = encounter.where("encounter_id < 100").select("patient_id", "encounter_id")
+    got = care.encounters(src, patients, ["L"], staged, look_back=None).agg(F.count(F.lit(1)), F.countDistinct("encounter_id"), F.min("target_type_id"))
+    assert [tuple(r) for r in got.collect()] == [(n - 100, n - 100, 21)]
+    assert "skew=true" in plan_of(got)
 
 
 def test_dense_positions_are_one_to_n(spark):
