@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from chartmill.catalog.registry import query
 from chartmill.catalog.standins import DICTIONARY_SQL, PATIENTS_SQL, Tables
-from chartmill.functions import fixed_values as fixed
-from chartmill.functions.columns import or_default
 from chartmill.operators import choose, lookups
 from chartmill.plans import reference_data
 

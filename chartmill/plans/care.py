@@ -96,11 +96,12 @@ def orders(src: Tables, patients: DataFrame, dictionary: DataFrame, staged: Data
     spark = src["orders"].sparkSession
     reasoned = src["orders"].where(truthy("order_reason"))
     single = _not_staged(reasoned, staged, ["uuid"], ["date_created", "order_id"])
-    if first is not None:
-        single = top_n(single, ["date_created", "order_id"], first)
     types = src["encounter_type"].select("encounter_type_id")
     at = src["encounter"].select("encounter_id", F.col("encounter_type").alias("encounter_type_id"))
     typed = single.join(at, "encounter_id").join(dimension(types), "encounter_type_id", "left_semi")
+    if first is not None:
+        # After the joins, so that orders without an encounter cannot hold up the queue run after run.
+        typed = top_n(typed, ["date_created", "order_id"], first)
     mapped = dictionaries.map_codes(
         typed, dictionaries.encounter_types(spark).drop("target_type_id"), "encounter_type_id", "encounter_type_id", "")
     known = lookup_first(mapped, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "_patient"})

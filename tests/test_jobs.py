@@ -72,7 +72,7 @@ def src(spark):
                    {"visit_id": 102, "voided": 0}, {"visit_id": 103, "voided": 1}),
         "orders": t("orders", *[{"order_id": i, "uuid": f"o{i}", "patient_id": p, "encounter_id": e, "order_reason": why, "concept_id": 8,
                                  "date_created": DAY - datetime.timedelta(days=i), "orderer": 70}
-                                for i, p, e, why in ((1, 1, 10, 55), (2, 9, 11, 56), (3, 1, 10, 0), (4, 1, 10, None), (1, 1, 10, 55))]),
+                                for i, p, e, why in ((1, 1, 10, 55), (2, 9, 11, 56), (3, 1, 10, 0), (4, 1, 10, None), (1, 1, 10, 55), (9, 1, 999, 55))]),
         "concept": t("concept", {"concept_id": 5089, "uuid": "a8a660ca-1350-11df-a1f1-0026b9348838", "datatype_id": 1},
                      {"concept_id": 5090, "uuid": "a8a6619c-1350-11df-a1f1-0026b9348838", "datatype_id": 1},
                      {"concept_id": 1724, "uuid": "c", "datatype_id": 3}, {"concept_id": 966, "uuid": "d", "datatype_id": 4},
