@@ -247,11 +247,11 @@ def find_hiv_enrollment(t: Tables) -> DataFrame:
 
 @query("find_identifiers", f"""
     SELECT c_custkey AS patient_id, {code_of_sql('c_mktsegment', IDENTIFIER_TYPE_OF_SEGMENT)} AS type_uuid,
-           'NATION_' || c_nationkey AS parent_location_uuid FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_nationkey = 7""")
+           'NATION_' || c_nationkey AS parent_location_uuid FROM customer WHERE c_mktsegment = 'MACHINERY'""")
 def find_identifiers(t: Tables) -> DataFrame:
     staged = t.customer.select(F.col("c_custkey").alias("patient_id"), code_of("c_mktsegment", IDENTIFIER_TYPE_OF_SEGMENT).alias("type_uuid"),
                                F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("parent_location_uuid"))
-    return finders.find(staged, "identifiers", "by_type_and_location", IDENTIFIER_TYPE_OF_SEGMENT["MACHINERY"], "NATION_7")
+    return finders.find(staged, "identifiers", "by_type", IDENTIFIER_TYPE_OF_SEGMENT["MACHINERY"])
 
 
 @query("find_concept_dictionary", f"""
