@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from chartmill.llm.shared import WORD, words_of, written
 
 CELLS = 4096
-BUCKET_ROWS = 8192
+BUCKET_ROWS = 2048
 GOLDEN = 0.6180339887498949
 #: Broadcast only if counted to be no more than this.
 SMALL = 50_000
