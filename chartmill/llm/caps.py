@@ -144,8 +144,8 @@ def verified(dealt: DataFrame, cosine: float, kind: type) -> DataFrame:
             # Two vectors of the same chunk meet in several parts; they count in that chunk's own.
             fits = (i < j) & ((len(chunks) == 1) | (own[i] != own[j]))
             i, j = i[fits], j[fits]
-            for at in range(0, len(i), 1 << 16):
-                a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            for at in range(0, len(i), 1 << 13):
+                a, b = i[at : at + (1 << 13)], j[at : at + (1 << 13)]
                 new = first_shared(lists[a], lists[b], here)
                 a, b = a[new], b[new]
                 np.add.at(weight, a, copies[b])
