@@ -4,8 +4,8 @@ A bidirectional LSTM (numpy) reads the blocks of a page as a sequence: the path
 hashed words, and figures about the text.  So a block is judged with the whole page as context.  Blocks judged to be main
 text are joined in page order by one line feed.
 
-It is trained on the driver with two bounded sets: `sample` pages of the table, chosen by the hash of page_id among those
-of at most `sample_chars` characters, labelled by what the page's own marks say (`teacher`); and as many practice pages,
+It is trained on the driver with two bounded sets: about `sample` pages of the table (never over four times as many), drawn by the hash of
+page_id among those of at most `sample_chars` characters, labelled by what the page's own marks say (`teacher`); and as many practice pages,
 made of the sample's sentences in other layouts (`practice`), labelled by construction.  All pages are read and labelled
 whole.
 
@@ -242,7 +242,11 @@ def texts_of(pages: list[str], labeller: Labeller) -> list[str]:
 def extract(pages: DataFrame, sample: int = 300, sample_chars: int = 100_000) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    few = pages.select("page_id", html.alias("html")).where(F.length("html") <= sample_chars).orderBy(F.xxhash64("page_id", F.lit("sample")), "page_id", "html").limit(sample)
+    # Pages whose hash is below a share of all hashes: about `sample` of them, however many partitions there are.
+    shortened = pages.where(F.length(html) <= sample_chars)
+    share = min(1.0, sample / max(1, shortened.count()))
+    drawn = F.pmod(F.xxhash64("page_id", F.lit("sample")), F.lit(1 << 30)) < share * (1 << 30)
+    few = shortened.where(drawn).select(html.alias("html")).orderBy(F.xxhash64("html")).limit(4 * sample)
     labeller = trained([r["html"] for r in few.collect()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
