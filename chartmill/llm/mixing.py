@@ -66,11 +66,11 @@ def packed(docs: DataFrame, with_text: bool) -> DataFrame:
 
 
 def offsets(base: DataFrame, n_docs: int, seed: int) -> DataFrame:
-    """Each row with `start`: how many words of its source come before it.
+    """Each row, without its text, with `start`: how many words of its source come before it.
 
     Sums go in two steps, inside buckets of bounded size and over the buckets, so that a hot source is not one window."""
     buckets = max(1, -(-n_docs // BUCKET_ROWS))
-    dealt = base.withColumn("h", F.xxhash64("doc_id", "text_hash", F.lit(seed))).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
+    dealt = base.drop("text").withColumn("h", F.xxhash64("doc_id", "text_hash", F.lit(seed))).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
     sums = dealt.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     over = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("source", "bucket", F.coalesce(F.sum("words").over(over), F.lit(0)).alias("bucket_start"))
@@ -120,8 +120,8 @@ def slots_of(drawn: DataFrame, targets: DataFrame, most: int, seed: int) -> Data
     return every.withColumn("turn", turn).select("shard", slot.alias("slot"), "nr", "turn", permuted(F.pmod("k", "blocks"), F.col("blocks"), F.col("nr"), F.col("turn"), seed).alias("block"))
 
 
-def plan(docs: DataFrame, block: int, shard_slots: int, seed: int, weights: Sequence[int], most: int, with_text: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sources, the pieces of documents in blocks, and the slots with the blocks they take."""
+def plan(docs: DataFrame, block: int, shard_slots: int, seed: int, weights: Sequence[int], most: int, with_text: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The documents, the sources, the pieces of documents in blocks, and the slots with the blocks they take."""
     base = packed(docs, with_text)
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     targets = written(source_targets(base, weights, most).withColumn("blocks", blocks).withColumn("share", F.when(F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(0.0)), "targets")
@@ -137,12 +137,12 @@ def plan(docs: DataFrame, block: int, shard_slots: int, seed: int, weights: Sequ
     closes = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
     pieces = pieces.withColumn("first_word", opens - F.col("start")).withColumn("n_words", F.coalesce(closes - opens, F.lit(0)))
     drawn = written(draws(targets, n_slots, shard_slots, seed), "draws")
-    return targets, pieces, slots_of(drawn, targets, most, seed)
+    return base, targets, pieces, slots_of(drawn, targets, most, seed)
 
 
 def taken(docs: DataFrame, block: int = 128, shard_slots: int = 1024, seed: int = 7, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
     """One row per document: doc_id, source, size, its source's size and target, and how many of its words the mix takes."""
-    targets, pieces, slots = plan(docs, block, shard_slots, seed, weights, most, False)
+    _, targets, pieces, slots = plan(docs, block, shard_slots, seed, weights, most, False)
     times = slots.groupBy("nr", "block").agg(F.count("*").alias("times"))
     met = pieces.select("row", "doc_id", "size", "nr", "block", "n_words").join(times, ["nr", "block"], "left")
     per = met.groupBy("row", "doc_id", "size", "nr").agg(F.sum(F.col("n_words") * F.coalesce("times", F.lit(0))).cast("long").alias("taken"))
@@ -152,8 +152,11 @@ def taken(docs: DataFrame, block: int = 128, shard_slots: int = 1024, seed: int
 def mixed_blocks(docs: DataFrame, block: int = 2048, shard_slots: int = 1024, seed: int = 7, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The mixture itself: for each slot the pieces of documents in its block, in order of `piece`.  Words are joined by
     one space; a block is `block` words but for the last of a source."""
-    targets, pieces, slots = plan(docs, block, shard_slots, seed, weights, most, True)
-    cut = pieces.where("n_words > 0").withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    base, _, pieces, slots = plan(docs, block, shard_slots, seed, weights, most, True)
+    cut = pieces.where("n_words > 0").select("row", "nr", "block", F.col("start").alias("piece"), "first_word", "n_words")
+    # A document's pieces are as many as its own length asks for; its text is shuffled once and taken apart once.
+    cuts = slots.join(cut, ["nr", "block"]).groupBy("row").agg(F.collect_list(F.struct("shard", "slot", "turn", "block", "piece", "first_word", "n_words")).alias("cuts"))
+    whole = base.select("row", "doc_id", "source", "text").join(cuts, "row").withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    each = whole.select("doc_id", "source", "words", F.explode("cuts").alias("cut")).select("doc_id", "source", "words", "cut.*")
     text = F.array_join(F.slice("words", (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int")), " ")
-    cut = cut.select("nr", "block", "doc_id", "source", F.col("start").alias("piece"), "first_word", "n_words", text.alias("text"))
-    return slots.join(cut, ["nr", "block"]).select("shard", "slot", "source", "turn", "block", "piece", "doc_id", "first_word", "n_words", "text")
+    return each.select("shard", "slot", "source", "turn", "block", "piece", "doc_id", "first_word", "n_words", text.alias("text"))
