@@ -185,7 +185,8 @@ def deduplicated(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFr
     rows = written(grouped(docs, shingle, distance).select("doc_id", "key", "component"), "grouped")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key"))["key"]
     chosen = written(rows.groupBy("component").agg(first.alias("key")).select("key"), "chosen")
-    dropped = rows.select("key").join(chosen, "key", "left_anti").distinct()
+    # Written, their size is known, so that the documents are only shuffled if there are many.
+    dropped = written(rows.select("key").join(chosen, "key", "left_anti").distinct(), "dropped")
     kept = docs.select(F.struct("*").alias("doc"), row_key().alias("key")).join(dropped, "key", "left_anti")
     # A chosen row that stands in the table more than once.
     repeated = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").join(chosen, "key", "left_semi").select("key"), "repeated")
