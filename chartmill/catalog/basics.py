@@ -47,12 +47,12 @@ DICTIONARY_COLUMNS_SQL = """
            CAST(p_partkey AS VARCHAR) AS source_concept_id, 'coded' AS concept_type, CAST(p_size AS VARCHAR) AS ciel,
            lower(p_type) AS target_parent, upper(p_name) AS target_label,
            p_brand || '-' || p_partkey AS target_concept_uuid, CAST(p_size AS VARCHAR) AS target_concept_id
-    FROM part WHERE p_size > 12"""
+    FROM part"""
 
 
 def dictionary_file(t: Tables) -> str:
     path = t.scratch("dictionary-csv")
-    t.dictionary.write.option("header", True).csv(path)
+    t.full_dictionary.write.option("header", True).csv(path)
     return path
 
 
@@ -98,9 +98,9 @@ def append_staged(t: Tables) -> DataFrame:
     rows = t.orders.select(F.col("o_custkey").alias("patient_id"), F.col("o_orderkey").alias("encounter_id"),
                            F.col("o_orderdate").alias("encounter_datetime"), "o_orderstatus")
     path, keys = t.scratch("staged"), ["patient_id", "encounter_id"]
-    for batch in (rows.where("o_orderstatus = 'F'"), rows):
+    for run, batch in enumerate((rows.where("o_orderstatus = 'F'"), rows)):
         source = writers.with_row_id(batch.drop("o_orderstatus"), keys)
-        writers.append_rows(idempotent_load(source, readers.read_staged(t.spark, path, source.schema), keys), path)
+        writers.append_rows(idempotent_load(source, readers.read_staged(t.spark, path, source.schema, first_run=run == 0), keys), path)
     return readers.read_staged(t.spark, path, source.schema)
 
 
@@ -138,6 +138,8 @@ LEDGER_SQL = """
     ledger AS (SELECT l_orderkey, l_shipdate,
                       CASE l_returnflag WHEN 'A' THEN '201' WHEN 'R' THEN '400' ELSE '500' END AS code,
                       CASE l_returnflag WHEN 'A' THEN 'U-' || l_partkey END AS uuid FROM lineitem),
+    made AS (SELECT l_orderkey, code, uuid FROM ledger WHERE code = '201' QUALIFY row_number() OVER (
+                   PARTITION BY l_orderkey ORDER BY l_shipdate DESC, uuid DESC) = 1),
     newest AS (SELECT l_orderkey, code, uuid FROM ledger QUALIFY row_number() OVER (
                    PARTITION BY l_orderkey ORDER BY l_shipdate DESC, code DESC, uuid DESC NULLS LAST) = 1)"""
 
@@ -152,9 +154,8 @@ def answered(t: Tables, rule: str) -> DataFrame:
 
 @query("apply_responses", f"""
     WITH {LEDGER_SQL}
-    SELECT o_orderkey, CASE WHEN code = '201' THEN code END AS response_code,
-           CASE WHEN code = '201' THEN uuid END AS target_uuid
-    FROM orders LEFT JOIN newest ON o_orderkey = l_orderkey""")
+    SELECT o_orderkey, code AS response_code, uuid AS target_uuid
+    FROM orders LEFT JOIN made ON o_orderkey = l_orderkey""")
 def apply_responses(t: Tables) -> DataFrame:
     return answered(t, delivery.CREATED_ONLY)
 

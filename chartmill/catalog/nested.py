@@ -95,26 +95,22 @@ def identifier_sql(value: str, kind: str, preferred: str) -> str:
     return obj(("identifier", value), ("identifierType", kind), ("location", f"'{fixed.DOCUMENT_LOCATION}'"), ("preferred", f"'{preferred}'"))
 
 
-MAX_ITEMS = 1000
-PATIENT_DOCUMENT_SQL = obj(
-    ("identifiers", "@'[' || concat_ws(',', " + identifier_sql('generated', f"'{fixed.GENERATED_IDENTIFIER_TYPE}'", 'true') + ", items) || ']'"),
-    ("person", "@" + person_sql('address1', 'address1', 'address4', 'address4')))
-
-
 @query("doc_patient", f"""
-    WITH mapped AS (SELECT patient_id, identifier, target_type_uuid, CAST(ceil(count(*) OVER (PARTITION BY patient_id) / {MAX_ITEMS}) AS INTEGER) AS parts
-                    FROM ({IDENTIFIERS_SQL}) WHERE target_type_uuid <> ''),
-         listed AS (SELECT patient_id, parts, CAST(CAST('0x' || substr(md5(identifier), 1, 8) AS BIGINT) % parts AS INTEGER) AS part,
-                           string_agg({identifier_sql('identifier', 'target_type_uuid', 'false')}, ',' ORDER BY identifier, target_type_uuid) AS items
-                    FROM mapped GROUP BY ALL),
-         who AS (SELECT c_custkey AS person_id, 'G-' || c_custkey AS generated, {person_columns_sql('c_name', 'c_nationkey', 'c_acctbal')} FROM customer)
-    SELECT person_id, coalesce(part, 0) AS part, coalesce(parts, 1) AS parts, {PATIENT_DOCUMENT_SQL} AS document
-    FROM who LEFT JOIN listed ON person_id = patient_id""")
+    WITH who AS (SELECT c_custkey AS person_id, 'G-' || c_custkey AS generated, {person_columns_sql('c_name', 'c_nationkey', 'c_acctbal')} FROM customer)
+    SELECT person_id, {obj(("identifiers", "@" + arr(identifier_sql('generated', f"'{fixed.GENERATED_IDENTIFIER_TYPE}'", 'true'))),
+                           ("person", "@" + person_sql('address1', 'address1', 'address4', 'address4')))} AS document FROM who""")
 def doc_patient(t: Tables) -> DataFrame:
     patients = t.customer.select(
         F.col("c_custkey").alias("person_id"), F.concat(F.lit("G-"), F.col("c_custkey").cast("string")).alias("generated_identifier"),
         *person_columns("c_name", "c_nationkey", "c_acctbal"))
-    return documents.patient_documents(patients, identifiers(t), max_items=MAX_ITEMS)
+    return documents.patient_documents(patients)
+
+
+@query("doc_patient_identifier", f"""
+    SELECT patient_id AS person_id, identifier, {identifier_sql('identifier', 'target_type_uuid', 'false')} AS document
+    FROM ({IDENTIFIERS_SQL}) WHERE target_type_uuid <> ''""")
+def doc_patient_identifier(t: Tables) -> DataFrame:
+    return documents.identifier_documents(identifiers(t))
 
 
 @query("doc_user", f"""
@@ -185,10 +181,8 @@ def doc_order(t: Tables) -> DataFrame:
 
 
 @query("doc_encounter_bundle", f"""
-    WITH single AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem QUALIFY row_number() OVER (
-             PARTITION BY l_orderkey, l_linenumber ORDER BY 'S-' || l_suppkey, l_quantity) = 1),
-         listed AS (SELECT l_orderkey, string_agg({obj(("person", "'S-' || l_suppkey"), ("concept", "l_linenumber"), ("value", "@l_quantity"))},
-                        ',' ORDER BY l_linenumber) AS items FROM single GROUP BY l_orderkey)
+    WITH listed AS (SELECT l_orderkey, string_agg({obj(("person", "'S-' || l_suppkey"), ("concept", "l_linenumber"), ("value", "@l_quantity"))},
+                        ',' ORDER BY l_linenumber, 'S-' || l_suppkey, l_quantity) AS items FROM lineitem GROUP BY l_orderkey)
     SELECT o_orderkey AS encounter_id, {obj(
         ("encounterProviders", "@" + arr(obj(("provider", "'PR-' || o_custkey"), ("encounterRole", f"'{fixed.ENCOUNTER_ROLE}'")))),
         ("patient", "'P-' || o_custkey"), ("encounterDatetime", moment("o_orderdate")), ("encounterType", f"'{fixed.BUNDLE_ENCOUNTER_TYPE}'"),

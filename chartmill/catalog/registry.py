@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chartmill.catalog.standins import Tables
-from chartmill.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -16,7 +15,7 @@ SQL: dict[str, str] = {}
 def query(name: str, sql: str):
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Tables(prepare(spark), folder))
+            return build(Tables(spark, folder))
 
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")

@@ -207,8 +207,12 @@ class Tables:
 
     @cached_property
     def dictionary(self) -> DataFrame:
-        """Concept dictionary: the parts of a quarter of the sizes have no entry."""
-        return self.part.where("p_size > 12").select(
+        """Concept dictionary of the lookups: the parts of a quarter of the sizes have no entry."""
+        return self.full_dictionary.where("CAST(ciel AS INT) > 12")
+
+    @cached_property
+    def full_dictionary(self) -> DataFrame:
+        return self.part.select(
             F.col("p_type").alias("source_parent"), F.col("p_name").alias("source_label"),
             F.col("p_brand").alias("source_concept_uuid"), F.col("p_partkey").cast("string").alias("source_concept_id"),
             F.lit("coded").alias("concept_type"), F.col("p_size").cast("string").alias("ciel"),

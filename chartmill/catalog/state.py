@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.catalog.basics import ANSWER_SQL, with_answer
+from chartmill.catalog.basics import ANSWER_SQL, uuid_sql, with_answer
 from chartmill.catalog.registry import query
 from chartmill.catalog.standins import (
-    DICTIONARY_SQL, IDENTIFIER_TYPE_OF_SEGMENT, PATIENTS_SQL, PROGRAM_ID_OF_EVENT, PROGRAM_OF_EVENT, PROGRAMS_SQL,
-    TYPES_SQL, Tables, code_of, code_of_sql, type_of_price,
+    DICTIONARY_SQL, ENCOUNTER_SQL, ENCOUNTER_TYPE_SQL, IDENTIFIER_TYPE_OF_SEGMENT, PARENT, PATIENTS_SQL, PLACE_IDS_SQL, PLACES,
+    PROGRAM_ID_OF_EVENT, PROGRAM_OF_EVENT, PROGRAMS_SQL, TYPES_SQL, Tables, code_of, code_of_sql, type_of_price,
 )
-from chartmill.functions import dictionaries
-from chartmill.operators import choose, delivery, finders, incremental, numbering
+from chartmill.functions import dictionaries, fixed_values as fixed
+from chartmill.operators import choose, delivery, finders, incremental
+from chartmill.plans import care, registration
+from chartmill.schemas import staged_schema
 from chartmill.sources import readers, writers
 from chartmill.streaming import loads
 
@@ -83,25 +85,34 @@ def idempotent_load(t: Tables) -> DataFrame:
     path, keys = t.scratch("idempotent"), ["o_custkey", "o_orderkey"]
     rows = t.orders.select(*keys, "o_orderdate")
     finished = t.orders.where("o_orderstatus = 'F'").select(*rows.columns)
-    for source in (finished, rows, rows):
-        staged = readers.read_staged(t.spark, path, rows.schema)
+    for run, source in enumerate((finished, rows, rows)):
+        staged = readers.read_staged(t.spark, path, rows.schema, first_run=run == 0)
         fresh = incremental.idempotent_load(source, staged, keys, gate=(t.patients, {"o_custkey": "person_id"}))
         writers.append_rows(fresh, path)
     return readers.read_staged(t.spark, path, rows.schema)
 
 
-@query("minute_batches", """
-    SELECT user_id, event_type, event_id FROM events
-    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts >= TIMESTAMP '2024-01-16', event_id) = 1""")
+@query("minute_batches", f"""
+    SELECT patient_id, encounter_id, e.encounter_type AS encounter_type_id, name AS encounter_name, encounter_datetime, location_id,
+           visit_id, d.target_type_id, d.target_type_uuid, CAST(NULL AS VARCHAR) AS response_code
+    FROM ({ENCOUNTER_SQL}) e JOIN ({ENCOUNTER_TYPE_SQL}) et ON e.encounter_type = et.encounter_type_id
+    LEFT JOIN {TYPES_SQL} ON e.encounter_type = d.encounter_type_id
+    WHERE voided = 0 AND location_id IN ({PLACE_IDS_SQL}) AND patient_id IN (SELECT person_id FROM ({PATIENTS_SQL}))""")
 def minute_batches(t: Tables) -> DataFrame:
-    """Events that come in two halves, loaded as micro-batches: each user's first event of each type."""
-    inbox, staged, checkpoint = t.scratch("inbox"), t.scratch("staged"), t.scratch("checkpoint")
-    rows = t.events.select("event_id", "user_id", "event_type")
-    for part in (BEFORE, SINCE):
-        t.events.where(part).select(*rows.columns).write.mode("append").parquet(inbox)
-        stream = loads.file_stream(t.spark, inbox, rows.schema)
-        loads.stage_stream(stream, staged, checkpoint, ["user_id", "event_type"], order=["event_id"]).awaitTermination()
-    return readers.read_staged(t.spark, staged, rows.schema)
+    """The encounter job as a stream: encounters come in two halves, and between them the patients of all segments but
+    one are staged, whose first encounters have waited."""
+    inbox, staged, checkpoint, waiting = t.scratch("inbox"), t.scratch("staged"), t.scratch("checkpoint"), t.scratch("waiting")
+    building = t.patients.join(t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("person_id")), "person_id", "left_semi")
+    dimensions = {name: t.clinical[name] for name in ("encounter_type", "location")}
+    halves = (("encounter_datetime < TIMESTAMP_NTZ'1996-01-01 00:00:00'", building), ("encounter_datetime >= TIMESTAMP_NTZ'1996-01-01 00:00:00'", t.patients))
+    for run, (half, patients) in enumerate(halves):
+        t.encounter.where(half).write.mode("append").parquet(inbox)
+        stream = loads.file_stream(t.spark, inbox, t.encounter.schema)
+        loads.stage_stream(
+            stream, staged, checkpoint, ["patient_id", "encounter_id"], range_key="encounter_id", waiting_path=waiting, first_run=run == 0,
+            transform=lambda told, known=patients: care.encounters({**dimensions, "encounter": told}, known, PLACES),
+        ).awaitTermination()
+    return t.spark.read.parquet(staged)
 
 
 # ---- delivery state -----------------------------------------------------------------------------------------
@@ -191,16 +202,28 @@ def gate_program(t: Tables) -> DataFrame:
 # ---- identifiers from a pool --------------------------------------------------------------------------------
 
 
-@query("allocate_identifiers", """
-    WITH fresh AS (SELECT c_custkey, row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey) AS n
-                   FROM customer),
+@query("allocate_identifiers", f"""
+    WITH first AS (SELECT c_custkey, row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey) AS n
+                   FROM customer WHERE c_mktsegment = 'BUILDING'),
+         second AS (SELECT c_custkey, (SELECT count(*) FROM first)
+                        + row_number() OVER (ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey) AS n
+                    FROM customer WHERE c_mktsegment <> 'BUILDING'),
          pool AS (SELECT p_partkey AS identifier, row_number() OVER (
                       ORDER BY substr(md5(CAST(p_partkey AS VARCHAR)), 1, 3), p_partkey) AS n
                   FROM part WHERE p_type <> 'PROMO')
-    SELECT c_custkey, identifier FROM fresh LEFT JOIN pool USING (n)""")
+    SELECT c_custkey AS patient_id, '{fixed.GENERATED_IDENTIFIER_TYPE}' AS type_uuid, '{fixed.GENERATED_IDENTIFIER_TYPE}' AS target_type_uuid,
+           CAST(identifier AS VARCHAR) AS identifier, 'true' AS preferred, CAST(NULL AS BIGINT) AS location_id, CAST(0 AS INTEGER) AS voided,
+           '{PARENT}' AS parent_location_uuid
+    FROM (SELECT * FROM first UNION ALL SELECT * FROM second) JOIN pool USING (n)""")
 def allocate_identifiers(t: Tables) -> DataFrame:
-    pool = t.part.where("p_type <> 'PROMO'").select(F.col("p_partkey").alias("identifier"))
-    return numbering.allocate(t.customer.select("c_custkey"), "c_custkey", pool, "identifier")
+    """Two runs: the patients of one segment, then all; what the first issued is staged and not issued again."""
+    pool = t.part.where("p_type <> 'PROMO'").select(F.col("p_partkey").alias("number"))
+    everyone = t.customer.select(F.col("c_custkey").alias("person_id"), "c_mktsegment")
+    path, schema = t.scratch("identifiers"), staged_schema("identifiers")
+    for run, patients in enumerate((everyone.where("c_mktsegment = 'BUILDING'"), everyone)):
+        staged = readers.read_staged(t.spark, path, schema, first_run=run == 0)
+        writers.append_rows(registration.issued_identifiers(patients, pool, "number", PARENT, staged), path)
+    return readers.read_staged(t.spark, path, schema)
 
 
 # ---- finders ------------------------------------------------------------------------------------------------
@@ -308,10 +331,16 @@ def find_triage(t: Tables) -> DataFrame:
     return finders.find(staged, "triage", "latest")
 
 
-@query("find_users", "SELECT s_suppkey AS id, s_name AS uuid, s_nationkey FROM supplier ORDER BY s_suppkey DESC LIMIT 1")
+@query("find_users", f"""
+    SELECT uuid, parent_location_uuid, s_nationkey, id, load_number FROM (
+        SELECT s_name AS uuid, '{PARENT}' AS parent_location_uuid, s_nationkey, {uuid_sql('s_name', f"'{PARENT}'")} AS id,
+               CAST(CASE WHEN s_acctbal < 0 THEN 1 ELSE 2 END AS BIGINT) AS load_number FROM supplier)
+    ORDER BY load_number DESC, id DESC LIMIT 1""")
 def find_users(t: Tables) -> DataFrame:
-    staged = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("uuid"), "s_nationkey")
-    return finders.find(staged, "users", "latest")
+    """Two loads; the newest row is of the second, whatever the ids of the first are."""
+    rows = t.supplier.select(F.col("s_name").alias("uuid"), F.lit(PARENT).alias("parent_location_uuid"), "s_nationkey", "s_acctbal")
+    loads_ = [writers.with_stored_columns(rows.where(part).drop("s_acctbal"), "users", n) for n, part in ((1, "s_acctbal < 0"), (2, "s_acctbal >= 0"))]
+    return finders.find(loads_[0].unionByName(loads_[1]), "users", "latest")
 
 
 @query("find_visits", f"SELECT o_orderkey AS visit_id, o_custkey AS patient_id FROM orders WHERE {ANSWER_SQL} IS NULL")

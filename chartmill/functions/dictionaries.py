@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmill.functions import fixed_values as fixed
+from chartmill.operators.lookups import dimension
 
 
 def first_wins(pairs: Iterable[tuple]) -> list[tuple]:
@@ -88,7 +89,7 @@ def map_codes(df: DataFrame, dictionary: DataFrame, key: str, dictionary_key: st
     """Add the dictionary's other columns to every row; unmapped rows get nulls, or `default` as text."""
     targets = [c for c in dictionary.columns if c != dictionary_key]
     renamed = dictionary.withColumnRenamed(dictionary_key, "_key")
-    out = df.join(F.broadcast(renamed), df[key] == F.col("_key"), "left").drop("_key")
+    out = df.join(dimension(renamed), df[key] == F.col("_key"), "left").drop("_key")
     if default is not None:
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(default)) for c in targets})
     return out

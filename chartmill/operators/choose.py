@@ -31,8 +31,8 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> D
 
 
 def latest(df: DataFrame, key: str) -> DataFrame:
-    """The single row with the largest key."""
-    rest = [c for c in df.columns if c != key]
+    """The single row with the largest key; of several, the one with the largest `id`, if there is one, and so on."""
+    rest = sorted((c for c in df.columns if c != key), key=lambda c: c != "id")
     return (
         df.agg(F.max(F.struct(key, *rest)).alias("_row"))
         .where(F.col("_row").isNotNull())

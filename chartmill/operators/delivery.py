@@ -25,11 +25,13 @@ def apply_responses(rows: DataFrame, ledger: DataFrame, key: str, rule: str, tar
     """Write the newest answer of each row back on it.
 
     `ledger` has (key, attempt, code, uuid).  `rows` gains or keeps `response_code` and the `target` column.
-    The ledger is reduced to one answer per key before the join, and map-side before the shuffle.
+    Under `created` the newest 201 counts, whatever came after it.  The ledger is reduced to one answer per key before
+    the join, and map-side before the shuffle.
     """
+    first = (F.col("code") == fixed.CREATED) if rule == CREATED_ONLY else F.lit(True)
     newest = (
         ledger.groupBy(F.col(key).alias("_key"))
-        .agg(F.max(F.struct("attempt", "code", "uuid")).alias("_answer"))
+        .agg(F.max(F.struct(F.coalesce(first, F.lit(False)).alias("first"), "attempt", "code", "uuid")).alias("_answer"))
         .select("_key", F.col("_answer.code").alias("_code"), F.col("_answer.uuid").alias("_uuid"))
     )
     old_code = F.col("response_code") if "response_code" in rows.columns else F.lit(None).cast("string")

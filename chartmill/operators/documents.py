@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from chartmill.functions import fixed_values as fixed
 from chartmill.functions.columns import flag_text
-from chartmill.operators.choose import pick_one
-from chartmill.operators.lookups import one_per_key
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
@@ -28,28 +26,6 @@ def date_text(col: Column | str) -> Column:
     return F.date_format(col, DATE_FORMAT)
 
 
-def collect_parts(items: DataFrame, keys: Sequence[str], entry: Sequence[str], alias: str, max_items: int = 1000):
-    """The items of each key as sorted arrays; a key with more than `max_items` is spread over numbered parts.
-
-    Parts are drawn by the hash of the first entry column, so a key that holds a third of all rows ends up in many
-    rows of about `max_items` entries, built by many tasks.  That column must hardly repeat within a key.
-    """
-    big = one_per_key(items, keys, F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_items)
-    parts = F.coalesce(F.ceil(F.col("_n") / max_items), F.lit(1)).cast("int")
-    draw = F.conv(F.substring(F.md5(F.col(entry[0]).cast("string")), 1, 8), 16, 10).cast("long")
-    spread = (
-        items.join(big, list(keys), "left")
-        .withColumn("parts", parts)
-        .withColumn("part", F.when(F.col("parts") > 1, (draw % F.col("parts")).cast("int")).otherwise(0))
-        .drop("_n")
-    )
-    return (
-        spread.repartition(*[F.col(k) for k in keys], F.col("part"))
-        .groupBy(*keys, "part", "parts")
-        .agg(F.sort_array(F.collect_list(F.struct(*entry))).alias(alias))
-    )
-
-
 def _names() -> Column:
     return F.array(
         F.struct(
@@ -72,42 +48,32 @@ def _person(addresses: Sequence[str]) -> Column:
     )
 
 
-def patient_documents(patients: DataFrame, identifiers: DataFrame, generated: str = "generated_identifier",
-                      max_items: int = 1000) -> DataFrame:
-    """(person_id, part, parts, document): the generated identifier first, then the mapped ones by value.
+def patient_documents(patients: DataFrame, generated: str = "generated_identifier") -> DataFrame:
+    """(person_id, document): one registration per patient, with the generated identifier.
 
-    `identifiers` are the staged ones, one row per (patient, type, identifier).  A patient with more than
-    `max_items` of them gets further documents that carry the rest.
+    All other identifiers are documents of their own (`identifier_documents`), so a document has the same shape and
+    size however many a patient has.
     """
-    mapped = identifiers.where(F.coalesce(F.col("target_type_uuid"), F.lit("")) != "")
-    entries = mapped.select(F.col("patient_id").alias("person_id"), "identifier", "target_type_uuid")
-    listed = collect_parts(entries, ["person_id"], ["identifier", "target_type_uuid"], "_listed", max_items)
-    own = F.transform(
-        F.coalesce(F.col("_listed"), F.array().cast("array<struct<identifier:string,target_type_uuid:string>>")),
-        lambda i: F.struct(
-            i["identifier"].alias("identifier"),
-            i["target_type_uuid"].alias("identifierType"),
-            F.lit(fixed.DOCUMENT_LOCATION).alias("location"),
-            F.lit("false").alias("preferred"),
-        ),
-    )
-    first = F.array(
-        F.struct(
-            F.col(generated).alias("identifier"),
-            F.lit(fixed.GENERATED_IDENTIFIER_TYPE).alias("identifierType"),
-            F.lit(fixed.DOCUMENT_LOCATION).alias("location"),
-            F.lit("true").alias("preferred"),
-        )
-    )
     document = F.struct(
-        F.concat(first, own).alias("identifiers"),
+        F.array(_identifier(F.col(generated), F.lit(fixed.GENERATED_IDENTIFIER_TYPE), "true")).alias("identifiers"),
         _person(["address1", "address1", "address4", "address4"]).alias("person"),
     )
-    return patients.join(listed, "person_id", "left").select(
-        "person_id",
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("parts", F.lit(1)).alias("parts"),
-        F.to_json(document).alias("document"),
+    return patients.select("person_id", F.to_json(document).alias("document"))
+
+
+def identifier_documents(identifiers: DataFrame) -> DataFrame:
+    """(person_id, identifier, document): one document per staged identifier whose type is mapped."""
+    mapped = identifiers.where(F.coalesce(F.col("target_type_uuid"), F.lit("")) != "")
+    document = _identifier(F.col("identifier"), F.col("target_type_uuid"), "false")
+    return mapped.select(F.col("patient_id").alias("person_id"), "identifier", F.to_json(document).alias("document"))
+
+
+def _identifier(value: Column, kind: Column, preferred: str) -> Column:
+    return F.struct(
+        value.alias("identifier"),
+        kind.alias("identifierType"),
+        F.lit(fixed.DOCUMENT_LOCATION).alias("location"),
+        F.lit(preferred).alias("preferred"),
     )
 
 
@@ -174,11 +140,10 @@ def order_documents(orders: DataFrame, id_field: str = "targetOrderId", uuid_fie
 def encounter_bundles(encounters: DataFrame, obs: DataFrame) -> DataFrame:
     """(encounter_id, document) with provider, visit and observations nested.
 
-    One observation per (encounter, concept) is kept first, as in the staged observations, so the array of an
-    encounter is bounded by the number of concepts however often its rows repeat.
+    Every observation given is rendered.  The staged ones hold one per person, encounter and concept, so the array of
+    an encounter is as long as what was asked in it.
     """
-    single = pick_one(obs.select("encounter_id", "concept_id", "person_uuid", "value"), ["encounter_id", "concept_id"])
-    listed = single.groupBy("encounter_id").agg(
+    listed = obs.groupBy("encounter_id").agg(
         F.sort_array(F.collect_list(F.struct("concept_id", "person_uuid", "value"))).alias("_listed")
     )
     entries = F.transform(

@@ -15,6 +15,7 @@ from chartmill.operators.choose import latest
 from chartmill.operators.delivery import pending
 from chartmill.operators.lookups import distinct_keys
 
+LOAD = "load_number"
 ALL, LATEST, PENDING, DISTINCT_PARENTS = "all", "latest", "pending", "distinct parents"
 
 # entity -> finder -> key columns, or one of the shapes above.
@@ -88,12 +89,16 @@ FINDERS: dict[str, dict[str, tuple[str, ...] | str]] = {
 
 
 def find(df: DataFrame, entity: str, finder: str, *values, id_column: str = "id") -> DataFrame:
-    """Run a named finder.  A value of None looks for nulls."""
+    """Run a named finder.  A value of None looks for nulls.
+
+    The latest row is the one of the newest load, and of its rows the one with the largest id; tables that have no
+    load number go by the id alone.
+    """
     shape = FINDERS[entity][finder]
     if shape == ALL:
         return df
     if shape == LATEST:
-        return latest(df, id_column)
+        return latest(df, LOAD) if LOAD in df.columns else latest(df, id_column)
     if shape == PENDING:
         return pending(df)
     if shape == DISTINCT_PARENTS:

@@ -18,13 +18,15 @@ from chartmill.operators.choose import pick_one
 SMALL_ROWS = 10_000
 
 
-def dimension(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def dimension(df: DataFrame, max_rows: int = SMALL_ROWS, bound: DataFrame | None = None) -> DataFrame:
     """Mark a table for broadcast if it has at most `max_rows` rows; leave it alone otherwise.
 
     Tables read over JDBC and grouped tables carry no usable size estimate, and without one Spark would shuffle
-    the facts by, say, an encounter type of fifty values.  The check fetches at most `max_rows` + 1 constants.
+    the facts by, say, an encounter type of fifty values.  The check counts at most `max_rows` + 1 rows,
+    of `df` or of `bound`: a plain table that `df` cannot have more rows than, so that no grouping runs for the check.
     """
-    return F.broadcast(df) if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
+    counted = (df if bound is None else bound).select(F.lit(1)).limit(max_rows + 1).count()
+    return F.broadcast(df) if counted <= max_rows else df
 
 
 def star_join(fact: DataFrame, *dims: tuple[DataFrame, Mapping[str, str]], how: str = "inner") -> DataFrame:

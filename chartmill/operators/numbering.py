@@ -26,8 +26,15 @@ def dense_position(df: DataFrame, key: str, alias: str = "position", digits: int
     )
 
 
-def allocate(rows: DataFrame, row_key: str, pool: DataFrame, pool_key: str) -> DataFrame:
-    """Give every row its own identifier from the pool; rows beyond the pool's size get none."""
+def allocate(rows: DataFrame, row_key: str, pool: DataFrame, pool_key: str, issued: DataFrame | None = None) -> DataFrame:
+    """Give every row its own identifier from the pool; rows beyond the pool's size get none.
+
+    `issued` holds the pairs (row_key, pool_key) of earlier runs: their rows and identifiers are left out before
+    anything is numbered, so that no identifier is issued twice.
+    """
+    if issued is not None:
+        rows = rows.join(issued.select(row_key), row_key, "left_anti")
+        pool = pool.join(issued.select(pool_key), pool_key, "left_anti")
     numbered = dense_position(rows, row_key, "_position")
     free = dense_position(pool.select(pool_key), pool_key, "_position")
     return numbered.join(free, "_position", "left").drop("_position")

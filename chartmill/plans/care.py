@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 
 from chartmill.functions import dictionaries, fixed_values as fixed
 from chartmill.functions.columns import first_text, or_default, raw_or_code, truthy
-from chartmill.operators.choose import pick_one, pivot_measures, top_n
+from chartmill.operators.choose import pick_one, pivot_measures
 from chartmill.operators.incremental import after_cursor
 from chartmill.operators.lookups import anti_staged, dimension, lookup_first, new_rows, semi_on
 from chartmill.plans.registration import Tables, at_locations
 
 
+# Concepts and codes are a few short texts each: at most some tens of megabytes are broadcast.
+DICTIONARY_ROWS = 200_000
+
+
 def programs(src: Tables, patients: DataFrame, location_uuids: Sequence[str], parent_location: str,
-             staged: DataFrame | None = None) -> DataFrame:
+             staged: DataFrame | None = None, look_back: int | None = None) -> DataFrame:
     """Program enrolments of staged patients seen at the chosen locations, one per (patient, program concept).
 
     The enrolment keeps its own location id; the location uuid is the lowest of the places the patient was seen.
@@ -36,8 +40,8 @@ def programs(src: Tables, patients: DataFrame, location_uuids: Sequence[str], pa
     )
     seen = lookup_first(seen, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "target_patient_uuid"}, how="inner")
     enrolments = src["patient_program"].drop("uuid")
-    if staged is not None:
-        enrolments = after_cursor(enrolments, "patient_program_id", staged, inclusive=True)
+    if staged is not None and look_back is not None:
+        enrolments = after_cursor(enrolments, "patient_program_id", staged, inclusive=True, look_back=look_back)
     program = src["program"].select(
         "program_id", "concept_id", F.col("uuid").alias("program_uuid"), F.col("name").alias("program_name"))
     single = pick_one(enrolments.join(dimension(program), "program_id"), ["patient_id", "concept_id"], ["patient_program_id"])
@@ -52,7 +56,7 @@ def programs(src: Tables, patients: DataFrame, location_uuids: Sequence[str], pa
 
 
 def encounters(src: Tables, patients: DataFrame, location_uuids: Sequence[str], staged: DataFrame | None = None,
-               look_back: int | None = 0) -> DataFrame:
+               look_back: int | None = None) -> DataFrame:
     """Encounters in force of staged patients at the chosen locations, with their mapped type."""
     spark = src["encounter"].sparkSession
     rows = at_locations(src, "encounter", location_uuids).where(F.col("voided") == 0)
@@ -70,7 +74,7 @@ def encounters(src: Tables, patients: DataFrame, location_uuids: Sequence[str],
 
 
 def visits(src: Tables, patients: DataFrame, location_uuids: Sequence[str], staged: DataFrame | None = None,
-           look_back: int | None = 0) -> DataFrame:
+           look_back: int | None = None) -> DataFrame:
     """Visits in force with at least one encounter of a staged patient at the chosen locations.
 
     Patient and location come from the visit's lowest encounter.
@@ -88,25 +92,30 @@ def visits(src: Tables, patients: DataFrame, location_uuids: Sequence[str], stag
 
 
 def orders(src: Tables, patients: DataFrame, dictionary: DataFrame, staged: DataFrame | None = None,
-           first: int | None = None) -> DataFrame:
-    """Clinical orders that give a reason; `first` keeps the oldest n by creation time, as one run's share.
+           look_back=None) -> DataFrame:
+    """Clinical orders that give a reason, at an encounter of a known type: the oldest of each uuid.
 
-    The mapped encounter type, the patient's target uuid and the mapped reason are separate columns.
+    The mapped encounter type, the patient's target uuid and the mapped reason are separate columns.  With `look_back`
+    (an interval) only orders created since the newest staged one, less that much, are read.
     """
     spark = src["orders"].sparkSession
-    reasoned = src["orders"].where(truthy("order_reason"))
-    single = _not_staged(reasoned, staged, ["uuid"], ["date_created", "order_id"])
+    reasoned = src["orders"].where(truthy("order_reason")).select(
+        "order_id", "uuid", "order_type_id", "concept_id", "patient_id", "encounter_id", "orderer", "instructions", "urgency",
+        "order_reason", "order_reason_non_coded", "order_number", "order_action", "care_setting", "date_created")
+    if staged is not None and look_back is not None:
+        reasoned = after_cursor(reasoned, "date_created", staged, inclusive=True, look_back=look_back)
+    if staged is not None:
+        # Staged orders go out while the rows are plain; what is left is a delta.
+        reasoned = anti_staged(reasoned, staged, ["uuid"])
     types = src["encounter_type"].select("encounter_type_id")
     at = src["encounter"].select("encounter_id", F.col("encounter_type").alias("encounter_type_id"))
-    typed = single.join(at, "encounter_id").join(dimension(types), "encounter_type_id", "left_semi")
-    if first is not None:
-        # After the joins, so that orders without an encounter cannot hold up the queue run after run.
-        typed = top_n(typed, ["date_created", "order_id"], first)
+    placed = reasoned.join(at, "encounter_id").join(dimension(types), "encounter_type_id", "left_semi")
+    single = pick_one(placed, ["uuid"], ["date_created", "order_id"])
     mapped = dictionaries.map_codes(
-        typed, dictionaries.encounter_types(spark).drop("target_type_id"), "encounter_type_id", "encounter_type_id", "")
+        single, dictionaries.encounter_types(spark).drop("target_type_id"), "encounter_type_id", "encounter_type_id", "")
     known = lookup_first(mapped, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "_patient"})
-    coded = lookup_first(known.withColumn("_reason_key", F.col("order_reason").cast("string")), dictionary,
-                         {"_reason_key": "source_concept_id"}, {"target_concept_uuid": "_reason"})
+    coded = lookup_first(known.withColumn("_reason_key", F.col("order_reason").cast("string")), concept_codes(dictionary),
+                         {"_reason_key": "source_concept_id"}, {"target_concept_uuid": "_reason"}, unique=True)
     return coded.select(
         "order_id", "uuid", "order_type_id", "concept_id", "patient_id", "encounter_id", "encounter_type_id",
         F.col("orderer").cast("string").alias("orderer"), "instructions", "urgency",
@@ -120,7 +129,7 @@ def orders(src: Tables, patients: DataFrame, dictionary: DataFrame, staged: Data
 
 def triage(src: Tables, location_ids: Sequence[int] | None = None, staged: DataFrame | None = None, person_id: int | None = None,
            measures: Mapping[int, str] | None = None, concept_uuids: Sequence[str] | None = None,
-           look_back: int | None = 0) -> DataFrame:
+           look_back: int | None = None) -> DataFrame:
     """Vital signs as one wide row per (person, encounter): the largest value of each sign.
 
     The observations are reduced before they meet the encounters.
@@ -154,7 +163,7 @@ def hiv_enrollment(
     concepts: Sequence[int] | None = fixed.ENROLLMENT_CONCEPTS,
     raw_types: Sequence[int] = (1, 2),
     value_columns: Sequence[str | Column] = ("value_coded", "value_datetime", "value_numeric", "value_text"),
-    look_back: int | None = 0,
+    look_back: int | None = None,
 ) -> DataFrame:
     """Typed observations of enrolment encounters, one per (person, encounter, concept); `concepts=None` takes all.
 
@@ -170,10 +179,11 @@ def hiv_enrollment(
         src["concept"].where(wanted).select("concept_id", "datatype_id", F.col("concept_id").cast("string").alias("_concept"))
         .join(dimension(kinds), "datatype_id").join(named, "concept_id")
     )
+    codes = concept_codes(dictionary)
     code = {"target_concept_uuid": "target_concept_uuid"}
-    described = lookup_first(described, dictionary, {"_concept": "source_concept_id"}, code).drop("_concept")
-    if concepts is not None:
-        described = dimension(described)
+    described = lookup_first(described, codes, {"_concept": "source_concept_id"}, code, unique=True).drop("_concept")
+    # One row per concept at most, so the concepts bound it.
+    described = dimension(described, DICTIONARY_ROWS, src["concept"])
     types = src["encounter_type"].select(F.col("encounter_type_id").alias("encounter_type"), F.col("name").alias("encounter_name"))
     places = src["location"].select("location_id", F.col("uuid").alias("location_uuid"))
     at = (
@@ -186,8 +196,8 @@ def hiv_enrollment(
         "person_id", "encounter_id", "concept_id", "obs_datetime", first_text(*value_columns).alias("value"))
     keys = ["person_id", "encounter_id", "concept_id"]
     single = _not_staged(observed.join(at, "encounter_id"), staged, keys, ["obs_datetime", "value"])
-    valued = lookup_first(single.join(described, "concept_id"), dictionary, {"value": "source_concept_id"},
-                          {"target_concept_uuid": "_value_code"})
+    valued = lookup_first(single.join(described, "concept_id"), codes, {"value": "source_concept_id"},
+                          {"target_concept_uuid": "_value_code"}, unique=True)
     return valued.select(
         *keys, "encounter_datetime", "encounter_type", "encounter_name", "location_uuid", "concept_name", "obs_datetime",
         "value", "value_type", "datatype_id", "provider_id", F.lit(fixed.ENROLLMENT_CATEGORY).alias("category"),
@@ -208,6 +218,12 @@ def enrollment_summary(src: Tables, location_ids: Sequence[int], staged: DataFra
     return _not_staged(rows, staged, ["person_id"], ["encounter_id"])
 
 
+def concept_codes(dictionary: DataFrame) -> DataFrame:
+    """The dictionary as one code per concept, for any number of joins; broadcast if the dictionary is small enough."""
+    codes = pick_one(dictionary.select("source_concept_id", "target_concept_uuid"), ["source_concept_id"])
+    return dimension(codes, DICTIONARY_ROWS, dictionary)
+
+
 def _recent(rows: DataFrame, key: str, staged: DataFrame | None, look_back: int | None) -> DataFrame:
     """Rows above the staged cursor lowered by `look_back`; `None` takes all and leaves it to the anti-join.
 

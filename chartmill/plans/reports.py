@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartmill.functions import fixed_values as fixed
-from chartmill.functions.columns import entry_point, first_care_date, patient_type
-from chartmill.operators.choose import join_names, pick_one
+from chartmill.functions.columns import entry_point, patient_type
+from chartmill.operators.choose import join_names
 from chartmill.operators.lookups import dimension, one_per_key, semi_on
 from chartmill.plans.registration import Tables
 
@@ -30,7 +30,7 @@ def regimens(
         (F.col("locale") == locale) & (F.col("concept_name_type") == "FULLY_SPECIFIED")
     ).select(F.col("concept_id").alias("value_coded"), "name")
     # A drug a third of the patients take is a hot key of the joins below.
-    names = dimension(one_per_key(names, ["value_coded"], F.min("name").alias("name")))
+    names = dimension(one_per_key(names, ["value_coded"], F.min("name").alias("name")), bound=names)
     in_force = src["obs"].where(F.col("voided") == 0)
     drugs = in_force.where(F.col("concept_id") == drug_concept)
     if location_ids is not None:
@@ -60,22 +60,28 @@ def patient_types(
     encounter_types: Sequence[int] = fixed.ENROLLMENT_ENCOUNTER_TYPES,
     transfer_in: bool = False,
 ) -> DataFrame:
-    """Patient type, entry point and first-care date of each enrolment encounter."""
+    """Patient type, entry point and first-care date of each enrolment encounter that tells one of them.
+
+    Each is taken from the observations of its own concept: the smallest value, if there are several.
+    """
     concepts = [fixed.ENTRY_POINT_CONCEPT, fixed.FIRST_CARE_DATE_CONCEPT]
     if transfer_in:
         concepts.append(fixed.TRANSFER_IN_CONCEPT)
-    told = src["obs"].where(F.col("concept_id").isin(*concepts)).select(
-        "encounter_id", "concept_id", "value_coded", "value_datetime")
-    single = pick_one(told, ["encounter_id"], ["concept_id"])
+    concept = F.col("concept_id")
+    single = src["obs"].where(concept.isin(*concepts)).groupBy("encounter_id").agg(
+        F.min(F.when(concept == fixed.ENTRY_POINT_CONCEPT, F.col("value_coded"))).alias("_entry"),
+        F.min(F.when(concept == fixed.FIRST_CARE_DATE_CONCEPT, F.col("value_datetime"))).alias("first_care_date"),
+        F.max(F.when(concept == fixed.TRANSFER_IN_CONCEPT, concept)).alias("_transfer"),
+    )
     at = src["encounter"].where((F.col("voided") == 0) & F.col("encounter_type").isin(*encounter_types))
     if location_ids is not None:
         at = at.where(F.col("location_id").isin(*location_ids))
     at = at.join(dimension(src["form"].select("form_id")), "form_id", "left_semi")
     return at.join(single, "encounter_id").select(
         "patient_id", "encounter_id", "encounter_datetime",
-        patient_type("form_id", "concept_id", transfer_in).alias("patient_type"),
-        entry_point("concept_id", "value_coded").alias("entry_point"),
-        first_care_date("concept_id", "value_datetime").alias("first_care_date"),
+        patient_type("form_id", "_transfer", transfer_in).alias("patient_type"),
+        entry_point(F.lit(fixed.ENTRY_POINT_CONCEPT), "_entry").alias("entry_point"),
+        "first_care_date",
     )
 
 

@@ -90,9 +90,37 @@ STAGED_DDL = {
         parent_name string, facility_code string, status int""",
 }
 
+# What makes a staged row of each entity the same row again.
+STAGED_KEYS = {
+    "users": ["uuid", "parent_location_uuid"],
+    "patients": ["person_id", "parent_location_uuid"],
+    "identifiers": ["patient_id", "type_uuid", "identifier"],
+    "programs": ["patient_id", "program_id"],
+    "encounters": ["patient_id", "encounter_id"],
+    "encounter_mapping": ["encounter_type_id"],
+    "enrollments": ["person_id"],
+    "hiv_enrollment": ["person_id", "encounter_id", "concept_id"],
+    "visits": ["visit_id"],
+    "orders": ["uuid"],
+    "triage": ["person_id", "encounter_id"],
+    "regimen_switch": ["person_id", "encounter_id", "concept_id"],
+    "obs": ["person_id", "encounter_id", "concept_id"],
+    "concept_dictionary": ["source_concept_id"],
+    "locations": ["child_id"],
+}
+# Entities whose source has no uuid that could be kept; staging gives them one.
+GIVEN_UUID = ("programs", "enrollments")
+
+
 def source_schema(name: str) -> StructType:
     return StructType.fromDDL(SOURCE_DDL[name])
 
 
 def staged_schema(name: str) -> StructType:
     return StructType.fromDDL(STAGED_DDL[name])
+
+
+def stored_schema(name: str) -> StructType:
+    """A staged entity as it is stored: with its generated id and the number of the load that brought the row."""
+    given = "uuid string, " if name in GIVEN_UUID else ""
+    return StructType.fromDDL(f"{STAGED_DDL[name]}, {given}id string, load_number long")

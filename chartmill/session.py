@@ -29,12 +29,9 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    made = tempfile.mkdtemp(prefix="chartmill-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    return tempfile.mkdtemp(prefix="chartmill-")
 
 
-def run_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared scratch root, never used twice."""
-    return f"{scratch_root(spark)}/chartmill/{label}-{uuid.uuid4().hex}"
+def run_dir(spark: SparkSession, label: str, root: str | None = None) -> str:
+    """A new folder below `root` or else the session's shared scratch folder, never used twice."""
+    return f"{(root or scratch_root(spark)).rstrip('/')}/chartmill/{label}-{uuid.uuid4().hex}"

@@ -35,12 +35,13 @@ def read_jdbc(spark: SparkSession, **options) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(**options)).load()
 
 
-def read_staged(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A staged entity as a relation; empty before its first load."""
+def read_staged(spark: SparkSession, path: str, schema: StructType, first_run: bool = False) -> DataFrame:
+    """A staged entity as a relation.  A missing folder is an error, lest a mistyped path loads everything again; only
+    on the first run it may be missing, and the entity is empty."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        if not first_run or missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 

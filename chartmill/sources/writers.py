@@ -1,6 +1,7 @@
 """Writing staged rows, mapping snapshots and outbox documents.
 
-Spark commits a write as a whole, so a lost executor or a failed job leaves no half-written rows, and the
+With a committer that renames at the end (the default on HDFS and POSIX folders; on object stores one made for them, or
+a table format), a write is committed as a whole: a lost executor or a failed job leaves no half-written rows, and the
 anti-join of the next run skips what an earlier run did commit.
 """
 
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartmill.functions.columns import natural_uuid
+from chartmill.operators.choose import pick_one
+from chartmill.schemas import GIVEN_UUID, STAGED_KEYS
 
 
 def with_row_id(df: DataFrame, keys: Sequence[str], alias: str = "row_id") -> DataFrame:
@@ -19,6 +22,15 @@ def with_row_id(df: DataFrame, keys: Sequence[str], alias: str = "row_id") -> Da
     return df.withColumn(alias, natural_uuid(*keys))
 
 
+def with_stored_columns(df: DataFrame, entity: str, load_number: int) -> DataFrame:
+    """Rows of a staged entity with what every stored row has: an id out of the natural key, and the number of the
+    load, which orders rows by when they were staged.  Programs and enrolments get a uuid of their own as well."""
+    keys = STAGED_KEYS[entity]
+    if entity in GIVEN_UUID and "uuid" not in df.columns:
+        df = df.withColumn("uuid", natural_uuid(F.lit(entity), *keys))
+    return df.withColumns({"id": natural_uuid(*keys), "load_number": F.lit(load_number).cast("long")})
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -26,9 +38,10 @@ def append_rows(df: DataFrame, path: str) -> None:
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target with the source's rows put in: matching keys replaced, new keys added.
 
-    Write the result to a new folder and read from there on; never over the input.  `source` must hold one row
-    per key.
+    Write the result to a new folder and read from there on; never over the input.  Of a key that `source` repeats,
+    the smallest row by all columns is put in.
     """
+    source = pick_one(source, keys)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 

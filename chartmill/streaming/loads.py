@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from chartmill.operators.incremental import idempotent_load, within_range
+from chartmill.operators.lookups import anti_staged
 from chartmill.sources.readers import read_staged
 from chartmill.sources.writers import append_rows
 
@@ -30,22 +31,35 @@ def stage_stream(
     order: Sequence[str] = (),
     every: str | None = None,
     range_key: str | None = None,
+    waiting_path: str | None = None,
+    first_run: bool = False,
 ) -> StreamingQuery:
     """Run the batch load on every micro-batch.
 
     `range_key`, one of the keys and never null, limits the staged rows read to the batch's range of it; name a
     key that grows over time.
 
+    With `waiting_path`, the rows of a batch that are not staged by it, such as encounters of a patient who is not
+    staged yet, are kept there and put to the transform again with every later batch.  With `first_run`, nothing may be
+    staged yet.
+
     A micro-batch that is replayed after a failure finds its rows staged and adds none.  Without `every` (say
     '1 minute') the stream takes what is there and stops.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        rows = transform(batch)
-        staged = read_staged(batch.sparkSession, staged_path, rows.schema)
+        spark = batch.sparkSession
+        told = batch
+        if waiting_path is not None:
+            told = batch.unionByName(read_staged(spark, waiting_path, batch.schema, first_run=True))
+        rows = transform(told)
+        staged = read_staged(spark, staged_path, rows.schema, first_run)
         if range_key is not None:
             staged = within_range(staged, rows, range_key)
         append_rows(idempotent_load(rows, staged, keys, order), staged_path)
+        if waiting_path is not None:
+            now = read_staged(spark, staged_path, rows.schema)
+            append_rows(anti_staged(batch, now, [k for k in keys if k in batch.columns]), waiting_path)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}

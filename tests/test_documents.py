@@ -21,15 +21,9 @@ def people(spark):
 
 
 def test_patient_document(spark, people):
-    identifiers = spark.createDataFrame([(1, "B-2", "T2"), (1, "A-1", "T1"), (1, "C-3", ""), (1, "D-4", None)],
-                                        "patient_id int, identifier string, target_type_uuid string")
-    out = documents.patient_documents(people, identifiers)
-    assert {(r["part"], r["parts"]) for r in out.collect()} == {(0, 1)}
-    got = docs(out, "person_id")
-    assert [i["identifier"] for i in got[1]["identifiers"]] == ["G1", "A-1", "B-2"]
-    assert got[1]["identifiers"][0] == {"identifier": "G1", "identifierType": fixed.GENERATED_IDENTIFIER_TYPE,
-                                        "location": fixed.DOCUMENT_LOCATION, "preferred": "true"}
-    assert got[1]["identifiers"][1]["preferred"] == "false"
+    got = docs(documents.patient_documents(people), "person_id")
+    assert got[1]["identifiers"] == [{"identifier": "G1", "identifierType": fixed.GENERATED_IDENTIFIER_TYPE,
+                                      "location": fixed.DOCUMENT_LOCATION, "preferred": "true"}]
     assert got[1]["person"] == {
         "gender": "F", "birthdate": "1980-02-03", "birthdateEstimated": "false", "dead": "true",
         "names": [{"givenName": "Ann", "familyName": "Bee"}],
@@ -38,16 +32,17 @@ def test_patient_document(spark, people):
     assert "birthdate" not in got[2]["person"] and got[2]["person"]["names"][0]["middleName"] == "Eff"
 
 
-def test_a_patient_with_very_many_identifiers_gets_several_documents(spark, people):
-    many = spark.range(1000).select(F.lit(1).alias("patient_id"), F.concat(F.lit("I"), F.col("id").cast("string")).alias("identifier"),
+def test_identifier_documents_of_a_hot_patient(spark):
+    """One document per mapped identifier, however many a patient has, without a shuffle."""
+    many = spark.range(3000).select(F.lit(1).alias("patient_id"), F.concat(F.lit("I"), F.col("id").cast("string")).alias("identifier"),
                                     F.lit("T").alias("target_type_uuid"))
-    few = spark.createDataFrame([(2, "X", "T")], many.schema)
-    out = documents.patient_documents(people, many.unionByName(few), max_items=50).collect()
-    hot = [r for r in out if r["person_id"] == 1]
-    assert len(out) == len(hot) + 1 and {r["parts"] for r in hot} == {20}
-    listed = [i["identifier"] for r in hot for i in json.loads(r["document"])["identifiers"] if i["identifier"] != "G1"]
-    assert sorted(listed) == sorted(f"I{n}" for n in range(1000))
-    assert max(len(json.loads(r["document"])["identifiers"]) for r in hot) < 100
+    few = spark.createDataFrame([(1, "B-2", ""), (1, "C-3", None), (2, "X", "T2")], "patient_id int, identifier string, target_type_uuid string")
+    out = documents.identifier_documents(many.unionByName(few))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = out.collect()
+    assert sorted((r["person_id"], r["identifier"]) for r in rows) == sorted([(1, f"I{n}") for n in range(3000)] + [(2, "X")])
+    assert json.loads(next(r for r in rows if r["person_id"] == 2)["document"]) == {
+        "identifier": "X", "identifierType": "T2", "location": fixed.DOCUMENT_LOCATION, "preferred": "false"}
 
 
 def test_user_document_has_a_role_and_no_password(people):
@@ -74,13 +69,14 @@ def test_encounter_without_visit(spark):
     assert "visit" not in got[1] and got[2]["visit"] == "V2" and "visit" not in got[3]
 
 
-def test_bundle_holds_one_observation_per_concept(spark):
+def test_bundle_renders_every_observation_with_one_shuffle(spark):
     encounters = spark.sql("""SELECT encounter_id, 'P' AS target_patient_uuid, 'D' AS provider_uuid,
         TIMESTAMP_NTZ'2020-01-01 00:00:00' AS encounter_datetime FROM VALUES (1), (2) AS t(encounter_id)""")
-    obs = spark.range(3000).select(F.lit(1).alias("encounter_id"), (F.col("id") % 3).alias("concept_id"), F.lit("P").alias("person_uuid"),
-                                   F.col("id").cast("double").alias("value"))
-    got = docs(documents.encounter_bundles(encounters, obs), "encounter_id")
-    assert [(o["concept"], o["value"]) for o in got[1]["obs"]] == [("0", 0.0), ("1", 1.0), ("2", 2.0)]
+    obs = spark.range(30).select(F.lit(1).alias("encounter_id"), (F.col("id") % 3).alias("concept_id"), F.lit("P").alias("person_uuid"),
+                                 F.col("id").cast("double").alias("value"))
+    out = documents.encounter_bundles(encounters, obs)
+    got = docs(out, "encounter_id")
+    assert [(o["concept"], o["value"]) for o in got[1]["obs"]] == [(str(c), float(v)) for c in range(3) for v in range(c, 30, 3)]
     assert got[2]["obs"] == [] and got[2]["encounterProviders"][0]["provider"] == "D" and got[2]["visit"]["patient"] == "P"
 
 

@@ -35,10 +35,11 @@ def test_two_runs(spark, tmp_path):
     patients = spark.createDataFrame([(1, "P1"), (2, "P2"), (3, None)], "person_id long, target_patient_uuid string")
     paths = {name: f"{tmp_path}/{name}" for name in ("encounters", "visits", "outbox")}
 
+    counts = []
+
     def staged(name):
-        return readers.read_staged(spark, paths[name], staged_schema(name))
+        return readers.read_staged(spark, paths[name], staged_schema(name), first_run=not counts)
 
-    counts = []
     for last in (20, 20, 33):
         src = clinic(spark, last)
         writers.append_rows(care.visits(src, patients, ["L"], staged("visits"), look_back=None), paths["visits"])

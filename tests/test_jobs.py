@@ -123,7 +123,11 @@ def test_users(spark, src):
     assert {u: (r["given_name"], r["address1"]) for u, r in by(got, "user_id").items()} == {70: ("a7", "S1"), 71: ("a7", "S1")}
     loaded = staged(spark, "users", [{"uuid": "u70", "user_id": 70, "parent_location_uuid": "X"}])
     assert set(by(registration.users(src, ["L1"], "X", loaded), "user_id")) == {71}
-    assert set(by(registration.users(src, ["L1"], "Y", loaded, cursor=False), "user_id")) == {70, 71}
+    assert set(by(registration.users(src, ["L1"], "Y", loaded), "user_id")) == {70, 71}
+    # An account with a smaller id that comes later is found unless a cursor is asked for.
+    later = staged(spark, "users", [{"uuid": "u71", "user_id": 71, "parent_location_uuid": "X"}])
+    assert set(by(registration.users(src, ["L1"], "X", later), "user_id")) == {70}
+    assert registration.users(src, ["L1"], "X", later, cursor=True).count() == 0
 
 
 def test_patients_from_the_newest_down(spark, src):
@@ -131,9 +135,10 @@ def test_patients_from_the_newest_down(spark, src):
     same_schema(got, "patients")
     assert {p: (r["location_id"], r["location_name"], r["given_name"]) for p, r in by(got, "person_id").items()} == {
         1: (1, "One", "a1"), 2: (1, "One", "a2"), 3: (1, "One", "a3")}
-    first = registration.patients(src, ["L1"], "X", first_run_rows=1)
-    assert set(by(first, "person_id")) == {3}
+    first = got.where("person_id = 3")
     assert set(by(registration.patients(src, ["L1"], "X", first), "person_id")) == {1, 2}
+    assert set(by(registration.patients(src, ["L1"], "X", got.where("person_id = 1")), "person_id")) == {2, 3}
+    assert registration.patients(src, ["L1"], "X", got.where("person_id = 1"), cursor=True).count() == 0
     assert set(by(registration.patients(src, ["L1"], "X", staged(spark, "patients")), "person_id")) == {1, 2, 3}
 
 
@@ -153,7 +158,8 @@ def test_programs(spark, src, patients):
         (1, 2): (1, "TP1", "L1"), (1, 3): (3, "TP1", "L1"), (2, 1): (4, None, "L1")}
     assert rows[2, 1]["target_program_uuid"].startswith("dfdc6d40") and rows[1, 2]["target_program_uuid"] == ""
     loaded = staged(spark, "programs", [{"patient_id": 1, "program_id": 3, "patient_program_id": 3}])
-    assert set(by(care.programs(src, patients, ["L1"], "X", loaded), "patient_id", "program_id")) == {(2, 1)}
+    assert set(by(care.programs(src, patients, ["L1"], "X", loaded), "patient_id", "program_id")) == {(1, 2), (2, 1)}
+    assert set(by(care.programs(src, patients, ["L1"], "X", loaded, look_back=0), "patient_id", "program_id")) == {(2, 1)}
     assert care.programs(src, nobody(spark), ["L1"], "X").count() == 0
 
 
@@ -164,9 +170,9 @@ def test_encounters(spark, src, patients):
     assert {k: r["target_type_id"] for k, r in rows.items()} == {10: 21, 11: None, 12: None, 16: 7, 17: 7}
     assert rows[11]["target_type_uuid"].startswith("e24209cc") and rows[12]["target_type_uuid"] is None
     part = got.where("encounter_id IN (10, 16)")
-    assert set(by(care.encounters(src, patients, ["L1", "L2"], part), "encounter_id")) == {17}
+    assert set(by(care.encounters(src, patients, ["L1", "L2"], part, look_back=0), "encounter_id")) == {17}
     assert set(by(care.encounters(src, patients, ["L1", "L2"], part, look_back=5), "encounter_id")) == {12, 17}
-    assert set(by(care.encounters(src, patients, ["L1", "L2"], part, look_back=None), "encounter_id")) == {11, 12, 17}
+    assert set(by(care.encounters(src, patients, ["L1", "L2"], part), "encounter_id")) == {11, 12, 17}
     assert care.encounters(src, patients, ["L1", "L2"], got, look_back=None).count() == 0
     assert care.encounters(src, nobody(spark), ["L1"]).count() == 0
 
@@ -177,8 +183,8 @@ def test_visits(spark, src, patients):
     assert {k: (r["patient_id"], r["location_id"], r["target_patient_uuid"]) for k, r in by(got, "visit_id").items()} == {
         100: (1, 1, "TP1"), 101: (1, 1, "TP1")}
     assert set(by(care.visits(src, patients, ["L1", "L2"], got.where("visit_id = 100")), "visit_id")) == {101}
-    assert care.visits(src, patients, ["L1", "L2"], got.where("visit_id = 101")).count() == 0
-    assert set(by(care.visits(src, patients, ["L1", "L2"], got.where("visit_id = 101"), look_back=None), "visit_id")) == {100}
+    assert care.visits(src, patients, ["L1", "L2"], got.where("visit_id = 101"), look_back=0).count() == 0
+    assert set(by(care.visits(src, patients, ["L1", "L2"], got.where("visit_id = 101")), "visit_id")) == {100}
 
 
 def test_orders(spark, src, patients, dictionary):
@@ -188,10 +194,7 @@ def test_orders(spark, src, patients, dictionary):
     assert set(rows) == {"o1", "o2"}
     assert (rows["o1"]["target_patient_uuid"], rows["o1"]["target_reason_uuid"], rows["o1"]["target_type_uuid"][:4]) == ("TP1", "D55", "e87a")
     assert (rows["o2"]["target_patient_uuid"], rows["o2"]["target_reason_uuid"]) == ("Not Found", "")
-    first = care.orders(src, patients, dictionary, first=1)
-    assert set(by(first, "uuid")) == {"o2"}
-    # The next run goes on where the first one stopped.
-    assert set(by(care.orders(src, patients, dictionary, first, first=1), "uuid")) == {"o1"}
+    assert set(by(care.orders(src, patients, dictionary, got.where("uuid = 'o2'")), "uuid")) == {"o1"}
     assert care.orders(src, patients, dictionary, got).count() == 0
 
 
