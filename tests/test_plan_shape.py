@@ -46,3 +46,11 @@ def test_filters_reach_the_scan(spark):
     plan = QUERIES["incr_ascending"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(event_id,ScalarSubquery" in plan
     assert "GreaterThanOrEqual(c_acctbal,0.0)" in QUERIES["semi_migrated"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name,key", [("job_orders", "_reason_key"), ("job_hiv_enrollment", "value#")])
+def test_facts_are_not_shuffled_by_a_coded_value(spark, name, key):
+    """The dictionary is broadcast after a check of its own, also without Spark's estimates."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and key in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
