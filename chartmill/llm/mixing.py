@@ -30,8 +30,10 @@ BUCKET_ROWS = 2048
 GOLDEN = 0.6180339887498949
 #: Broadcast only if counted to be no more than this.
 SMALL = 50_000
-#: Primes above any number of blocks of a source: multipliers that share no factor with it.
-PRIMES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497)
+#: Primes far above any number of blocks of a source: multipliers that share no factor with it.
+PRIMES = (2305843009213693951, 2305843009213693921, 2305843009213693907, 2305843009213693723, 2305843009213693693, 2305843009213693669, 2305843009213693613, 2305843009213693561)
+#: Products of half a multiplier and an index stay within 63 bits below this many blocks of a source.
+MOST_BLOCKS = 1 << 42
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -101,11 +103,15 @@ def draws(targets: DataFrame, n_slots: int, shard_slots: int, seed: int) -> Data
 
 
 def permuted(index: Column, n: Column, nr: Column, turn: Column, seed: int) -> Column:
-    """A one-to-one map of 0 .. n-1: i -> a * i + b mod n with a hashed prime a above n and a hashed b."""
+    """A one-to-one map of 0 .. n-1: i -> a * i + b mod n with a hashed prime a above n and a hashed b.
+
+    The multiplier is taken in two halves of 21 bits, so that no product leaves a long."""
     primes = F.array(*(F.lit(p) for p in PRIMES))
     a = F.pmod(F.get(primes, F.pmod(F.xxhash64(nr, turn, F.lit(seed), F.lit("a")), F.lit(len(PRIMES))).cast("int")), n)
     b = F.pmod(F.xxhash64(nr, turn, F.lit(seed), F.lit("b")), n)
-    return F.pmod(a * index + b, n)
+    half = 1 << 21
+    upper = F.pmod(F.pmod(F.shiftright(a, 21) * index, n) * half, n)
+    return F.pmod(upper + F.pmod(F.pmod(a, F.lit(half)) * index, n) + b, n)
 
 
 def slots_of(drawn: DataFrame, targets: DataFrame, most: int, seed: int) -> DataFrame:
@@ -127,7 +133,7 @@ def plan(docs: DataFrame, block: int, shard_slots: int, seed: int, weights: Sequ
     targets = written(source_targets(base, weights, most).withColumn("blocks", blocks).withColumn("share", F.when(F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(0.0)), "targets")
     known = targets.agg(F.sum("docs"), F.sum("share"), F.max("blocks")).first()
     n_docs, n_slots = int(known[0] or 0), round(known[1] or 0)
-    if (known[2] or 0) >= PRIMES[-1]:
+    if (known[2] or 0) >= MOST_BLOCKS:
         raise ValueError(f"{known[2]} blocks in one source: use longer blocks")
     named = targets.select(F.col("source").alias("named"), "nr")
     placed = offsets(base, n_docs, seed).join(small(named), F.col("source").eqNullSafe(F.col("named"))).drop("named")
