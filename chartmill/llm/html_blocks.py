@@ -175,7 +175,8 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
         for name in one.split():
             h = zlib.crc32(name.encode("utf-8", "surrogatepass"))
             out[3 * len(KINDS) + h % PATH_DIMS] += (1 if h & 1024 else -1) * 0.5
-    return out
+    # A very deep path stays within what others have.
+    return np.clip(out, -2, 2)
 
 
 def features(pages: list[list[Block]]) -> list[np.ndarray]:
@@ -186,7 +187,8 @@ def features(pages: list[list[Block]]) -> list[np.ndarray]:
     words = np.zeros((len(texts), WORD_DIMS), np.float32)
     slot = (hashes % np.uint64(WORD_DIMS)).astype(np.int64)
     np.add.at(words, (rows, slot), np.where(hashes >> np.uint64(60) & np.uint64(1), 1, -1).astype(np.float32))
-    words /= np.sqrt(np.maximum(counts, 1))[:, None]
+    # Of length one, so that a text that repeats a word very often looks no different in size.
+    words /= np.maximum(np.linalg.norm(words, axis=1), 1)[:, None]
     out, at = [], 0
     for page in pages:
         own = np.zeros((len(page), N_FEATURES), np.float32)
@@ -196,7 +198,7 @@ def features(pages: list[list[Block]]) -> list[np.ndarray]:
             size = len(b.text)
             own[i, -10:-2] = (
                 min(np.log1p(n[i]) / 4, 2), min(size / max(n[i], 1) / 8, 2), min(b.linked / size, 1), b.text[-1] in ".!?:;\"”»", (b.text.count(",") + b.text.count(".")) / size * 10,
-                len(b.path) / 10, b.text[:1].isupper(), n[i] < 4,
+                min(len(b.path) / 10, 2), b.text[:1].isupper(), n[i] < 4,
             )
             own[i, -2:] = i / len(page), (len(page) - i) / len(page)
         own[:, -(10 + WORD_DIMS) : -10] = words[at : at + len(page)]
