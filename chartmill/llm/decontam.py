@@ -45,7 +45,7 @@ def seeds(rows: DataFrame, masks: dict[int, tuple[int, ...]], keep: list[str]) -
     return at.withColumn("laid", F.explode(F.array(*laid))).where("laid is not null").select(*keep, "pos", "laid.mask", "laid.seed")
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch: int = 13, min_words: int = 5) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch: int = 13, min_words: int = 5, small: int = SMALL) -> DataFrame:
     """(key, doc_id, item_id, shift, matched, item_words, score) for every alignment that counts; `shift` is the word of
     the document at which the item's first word falls."""
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).where(F.size("words") >= min_words).distinct()
@@ -55,16 +55,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch:
     # A mask of a short item's own length only serves items of that length.
     wanted = wanted.where((F.col("mask") < 100) | (F.size("words") + 100 == F.col("mask")))
     wanted = wanted.select("mask", "seed", "item_id", F.col("pos").alias("item_pos"), F.size("words").alias("item_words")).distinct()
-    if wanted.limit(SMALL + 1).count() <= SMALL:
-        wanted = F.broadcast(wanted)
+    few = wanted.limit(small + 1).count() <= small
     rows = docs.select(row_key().alias("key"), "doc_id", word_hashes(F.col("text")).alias("words"))
-    hits = seeds(rows, masks, ["key", "doc_id", "words"]).join(wanted, ["mask", "seed"])
-    shift = F.col("pos") - F.col("item_pos")
-    lead = F.greatest(F.lit(0), -shift)
-    beside = F.slice("words", shift + lead + 1, F.greatest(F.lit(0), F.col("item_words") - lead))
-    # The words beside the item, found once for each alignment.
-    aligned = hits.select("key", "doc_id", "item_id", "item_words", shift.alias("shift"), lead.alias("lead"), beside.alias("beside"))
-    aligned = aligned.groupBy("key", "doc_id", "item_id", "item_words", "shift", "lead").agg(F.any_value("beside").alias("beside"))
+    shift, lead = F.col("pos") - F.col("item_pos"), F.greatest(F.lit(0), -F.col("shift"))
+    beside = F.slice("words", F.col("shift") + lead + 1, F.greatest(F.lit(0), F.col("item_words") - lead))
+    at = ["key", "doc_id", "item_id", "item_words", "shift"]
+    if few:
+        # Documents stay where they are, so the words beside an item are at hand; they are kept once for each alignment.
+        hits = seeds(rows, masks, ["key", "doc_id", "words"]).join(F.broadcast(wanted), ["mask", "seed"]).withColumn("shift", shift)
+        aligned = hits.select(*at, lead.alias("lead"), beside.alias("beside")).groupBy(*at, "lead").agg(F.any_value("beside").alias("beside"))
+    else:
+        # Only hashes and positions are shuffled; the words of the documents that were hit join once alignments are known.
+        hits = seeds(rows, masks, ["key", "doc_id"]).join(wanted, ["mask", "seed"]).withColumn("shift", shift)
+        met = written(hits.select(*at).distinct(), "alignments")
+        hit = rows.join(met.select("key").distinct(), "key", "left_semi").select("key", "words").dropDuplicates(["key"])
+        aligned = met.join(hit, "key").select(*at, lead.alias("lead"), beside.alias("beside"))
     # Two items may share an id: the words' number tells which one a hit came from, and all that fit are compared.
     whole = items.select("item_id", F.col("words").alias("item"), F.size("words").alias("item_words"))
     pairs = aligned.join(whole, ["item_id", "item_words"])
