@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartmill.llm.shared import components, split_hot, written
+from chartmill.llm.shared import components, in_arrow, split_hot, written
 from chartmill.llm.simhash import spanning
 
 MAX_CODEWORDS = 512
@@ -107,7 +107,7 @@ def coded(vectors: DataFrame, threshold: float, size: int, blocks: int, codes: i
                     names=["rep", "copies", "dim", "vector", "passed"],
                 )
 
-    return vectors.select("rep", "copies", "vector").mapInArrow(run, "rep long, copies long, dim int, vector binary, passed array<long>")
+    return in_arrow(vectors.select("rep", "copies", "vector"), run, "rep long, copies long, dim int, vector binary, passed array<long>")
 
 
 def first_shared(a: np.ndarray, b: np.ndarray, here: int) -> np.ndarray:
@@ -177,7 +177,7 @@ def verified(dealt: DataFrame, cosine: float, kind: type) -> DataFrame:
         if sum(b.num_rows for b in held) > 1:
             yield done()
 
-    return ordered.select(*keys, "rep", "copies", "vector", "passed", "own").mapInArrow(run, "a long, b long, weight long")
+    return in_arrow(ordered.select(*keys, "rep", "copies", "vector", "passed", "own"), run, "a long, b long, weight long")
 
 
 def near_duplicates(rows: DataFrame, cosine: float = 0.9, bucket: int = 256, shared: float = 20.0, codes: int = 8, limit: int = 2048, seed: int = 11) -> DataFrame:

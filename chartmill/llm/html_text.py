@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartmill.llm.html_blocks import N_FEATURES, Block, blocks_of, features, teacher
+from chartmill.llm.shared import in_arrow
 
 HIDDEN = 20
 MARK = ""
@@ -257,4 +258,4 @@ def extract(pages: DataFrame, sample: int = 300, sample_chars: int = 100_000) ->
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", F.col("url").cast("string"), html.alias("html")).mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return in_arrow(pages.select("page_id", F.col("url").cast("string"), html.alias("html")), run, f"page_id {kind}, url string, text string, n_chars long")

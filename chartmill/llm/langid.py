@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import written
+from chartmill.llm.shared import in_arrow, written
 from chartmill.llm.tokens import mixed, slices
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -81,7 +81,7 @@ def learnt(docs: DataFrame, languages: Sequence[str], per_language: int) -> np.n
         at = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at[0]), pa.array(at[1]), pa.array(sums[at])], names=["language", "slot", "n"])
 
-    counted = labelled.where(drawn).select("lang", "text").mapInArrow(count, "language long, slot long, n long")
+    counted = in_arrow(labelled.where(drawn).select("lang", "text"), count, "language long, slot long, n long")
     # A row for each language and slot at most.
     table = counted.groupBy("language", "slot").agg(F.sum("n").alias("n")).toPandas()
     sums = np.zeros((len(languages), SLOTS))
@@ -111,7 +111,7 @@ def likelihoods(rows: DataFrame, text: str, logs: np.ndarray, markup: bool, temp
                 yield pa.RecordBatch.from_arrays([*(own.column(i) for i in range(len(kept))), pa.array(list(np.maximum(ll, -1e9)), pa.list_(pa.float64()))], names=[*kept, "ll"])
 
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", ll array<double>"
-    return rows.select(*kept, F.col(text).cast("string")).mapInArrow(run, schema)
+    return in_arrow(rows.select(*kept, F.col(text).cast("string")), run, schema)
 
 
 def softmax(logs: Column) -> Column:

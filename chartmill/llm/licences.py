@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import written
+from chartmill.llm.shared import in_arrow, written
 
 #: The known texts are broadcast only if they are no more than this.
 SMALL = 20_000
@@ -95,7 +95,7 @@ def known_digests(known: DataFrame) -> DataFrame:
             texts = [t.as_py() or "" for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array([digest(canonical(t) or words(t)) for t in texts], pa.string()), batch.column(0)], names=["digest", "name"])
 
-    found = known.select("name", "text").mapInArrow(run, "digest string, name string")
+    found = in_arrow(known.select("name", "text"), run, "digest string, name string")
     rows = found.where("digest is not null").groupBy("digest").agg(F.min("name").alias("licence"))
     return F.broadcast(rows) if rows.limit(SMALL + 1).count() <= SMALL else rows
 
@@ -115,7 +115,7 @@ def digests(docs: DataFrame) -> DataFrame:
                 )
 
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, digest string, lines array<string>")
+    return in_arrow(rows, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, digest string, lines array<string>")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:

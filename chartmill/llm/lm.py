@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import make_dir, mounted, new_folder
+from chartmill.llm.shared import in_arrow, make_dir, mounted, new_folder
 from chartmill.llm.tokens import mixed, slices, word_hashes
 
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
@@ -250,7 +250,7 @@ def train(texts: DataFrame, buckets_per_split: int = 4) -> Model:
         ends = counts[keys == END]
         return pa.table({"bucket": [bucket], "size": [len(keys)], "distinct": [int((counts > 0).sum())], "total": [int(counts.sum())], "texts": [int(ends[0]) if len(ends) else 0], "most": [[int(i) for i in most]], "counts": [[int(counts[i]) for i in most]], "start": [int(np.searchsorted(keys, START)) if (keys == START).any() else -1]})
 
-    seen = only.mapInArrow(count_words, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_words, "bucket long, size long, distinct long, total long, texts long, most array<long>, counts array<long>, start long").collect()
+    seen = in_arrow(only, count_words, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_words, "bucket long, size long, distinct long, total long, texts long, most array<long>, counts array<long>, start long").collect()
     sizes = np.zeros(n, np.int64)
     for r in seen:
         sizes[r["bucket"]] = r["size"]
@@ -310,7 +310,7 @@ def train(texts: DataFrame, buckets_per_split: int = 4) -> Model:
         return pa.table({"bucket": [bucket], "pairs": [[sum(x) for x in zip(*n_lists, strict=True)] or [0] * 4], "words": [[int((columns[0] == k).sum()) for k in (1, 2, 3, 4)]], "types": [int((columns[0] > 0).sum())], "all": [int(columns[0].sum())]})
 
     if model.total:
-        sides = only.mapInArrow(count_pairs, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_pairs, "bucket long, block binary, n array<long>")
+        sides = in_arrow(only, count_pairs, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_pairs, "bucket long, block binary, n array<long>")
         done = sides.groupBy("bucket").applyInArrow(merge_sides, "bucket long, pairs array<long>, words array<long>, types long, all long").collect()
         for b in set(range(n)) - {r["bucket"] for r in done}:
             for name in SIDES:
@@ -390,7 +390,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
+    return in_arrow(rows, run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
 
 
 def scores(docs: DataFrame) -> DataFrame:

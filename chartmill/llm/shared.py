@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_arrow(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """mapInArrow by a function of this package.  Python workers of a local master find the package also where the program
+    was started in another folder; on a cluster it is installed or sent with the job."""
+    seen = rows.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in seen.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        seen["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return rows.mapInArrow(function, schema)
+
+
 def words_of(text: Column) -> Column:
     """How many words a text has; none if it is null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import components, split_hot, written
+from chartmill.llm.shared import components, in_arrow, split_hot, written
 
 SLICE = 1 << 16
 PARTS = 3
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["doc_id", "key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, key long, fp long")
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("string")), run, "doc_id long, key long, fp long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -161,7 +161,7 @@ def index_links(distinct: DataFrame, distance: int = 2, limit: int = 2048) -> Da
             out |= codes[1:] != codes[:-1]
         return out
 
-    return ordered.select(*keys, "fp").mapInArrow(run, "a long, b long")
+    return in_arrow(ordered.select(*keys, "fp"), run, "a long, b long")
 
 
 def grouped(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:

@@ -423,6 +423,8 @@ def test_decontamination(spark, no_docs):
         assert held <= want and r["contaminated"] == bool(held) and r["n_items"] == len(held)
         missed += len(want - held)
     assert missed <= 1 and sum(r["contaminated"] for r in got) > 30
+    # A benchmark too large to broadcast is joined by a shuffle, with the same result.
+    assert sorted(map(str, decontam.report(frame, benchmark, small=0).collect())) == sorted(map(str, got))
     clean = decontam.clean(frame, benchmark)
     assert clean.columns == frame.columns and clean.count() == sum(not r["contaminated"] for r in got)
     assert decontam.report(no_docs, benchmark).count() == 0 and decontam.report(frame, benchmark.limit(0)).where("contaminated").count() == 0
@@ -511,6 +513,13 @@ def test_blocks():
     assert [b.text for b in html_blocks.blocks_of("<style>x</style>İİ<SCRIPT>y</SCRIPT >z")] == ["İİz"]
 
 
+def test_long_and_deep_blocks():
+    """A text that repeats one word, and a very deep path, give features no larger than others do."""
+    many = html_blocks.Block(("html", "body", "article", "p"), "word " * 20_000, 0)
+    deep = html_blocks.Block(("html", *["div box"] * 5_000, "p"), "Some words.", 0)
+    assert np.abs(html_blocks.features([[many, deep]])[0][:, :-10]).max() <= 2
+
+
 def test_extraction(spark):
     rng = np.random.default_rng(12)
     sentences = [s.capitalize() + "." for s in SENTENCES]
@@ -631,3 +640,9 @@ def test_permutation(spark):
     for n in (1, 2, 7, 1000):
         frame = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(3), F.lit(1), 7).alias("x"))
         assert sorted(r["x"] for r in frame.collect()) == list(range(n))
+    # As many blocks as are allowed: equal to exact arithmetic, so no product left a long.
+    n = mixing.MOST_BLOCKS - 1
+    a, b = spark.range(1).select(F.get(F.array(*(F.lit(p) for p in mixing.PRIMES)), F.pmod(F.xxhash64(F.lit(3), F.lit(1), F.lit(7), F.lit("a")), F.lit(len(mixing.PRIMES))).cast("int")), F.pmod(F.xxhash64(F.lit(3), F.lit(1), F.lit(7), F.lit("b")), F.lit(n))).first()
+    some = [0, 1, 2, 12345, n // 2, n - 2, n - 1]
+    frame = spark.createDataFrame([(i,) for i in some], "id long").select("id", mixing.permuted(F.col("id"), F.lit(n), F.lit(3), F.lit(1), 7).alias("x"))
+    assert {r["id"]: r["x"] for r in frame.collect()} == {i: (a * i + b) % n for i in some}
