@@ -27,6 +27,8 @@ from chartmill.llm.shared import WORD, words_of, written
 
 CELLS = 4096
 BUCKET_ROWS = 2048
+#: Shards whose slots of a source are written out together.
+CHUNK_SHARDS = 256
 GOLDEN = 0.6180339887498949
 #: Broadcast only if counted to be no more than this.
 SMALL = 50_000
@@ -116,8 +118,13 @@ def permuted(index: Column, n: Column, nr: Column, turn: Column, seed: int) -> C
 
 def slots_of(drawn: DataFrame, targets: DataFrame, most: int, seed: int) -> DataFrame:
     """(shard, slot, nr, turn, block): which block of its source each slot takes."""
-    upto = Window.partitionBy("nr").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    runs = drawn.withColumn("first", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    # Sums go in two steps here too, so that a hot source's slots are written out by many tasks.
+    runs = drawn.withColumn("chunk", F.floor(F.col("shard") / CHUNK_SHARDS))
+    over = Window.partitionBy("nr").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.groupBy("nr", "chunk").agg(F.sum("n").alias("slots")).select("nr", "chunk", F.coalesce(F.sum("slots").over(over), F.lit(0)).alias("chunk_start"))
+    inside = Window.partitionBy("nr", "chunk").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, ["nr", "chunk"])
+    runs = runs.select("shard", "nr", "n", (F.col("chunk_start") + F.col("before")).alias("first"))
     every = runs.withColumn("k", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
     every = every.join(small(targets.select("nr", "blocks")), "nr").where(F.col("k") < F.col("blocks") * most)
     turn = F.floor(F.col("k") / F.col("blocks")).cast("long")
