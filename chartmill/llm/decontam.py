@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import written
+from chartmill.llm.shared import row_key, written
 
 #: Which words of a window are hashed.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 6, 7), (0, 2, 3, 5, 8))
@@ -34,10 +34,6 @@ def word_hashes(text: Column) -> Column:
     return F.when(clean == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(clean, " "), lambda w: F.xxhash64(w)))
 
 
-def row_key() -> Column:
-    return F.xxhash64(F.col("doc_id"), F.col("text"))
-
-
 def seeds(rows: DataFrame, masks: dict[int, tuple[int, ...]], keep: list[str]) -> DataFrame:
     """Every position `pos` of rows with `words`, with the hash of each mask laid there; `keep` columns stay."""
     at = rows.where("size(words) > 0").withColumn("pos", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
@@ -56,7 +52,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch:
     wanted = wanted.where((F.col("mask") < 100) | (F.size("words") + 100 == F.col("mask")))
     wanted = wanted.select("mask", "seed", "item_id", F.col("pos").alias("item_pos"), F.size("words").alias("item_words")).distinct()
     few = wanted.limit(small + 1).count() <= small
-    rows = docs.select(row_key().alias("key"), "doc_id", word_hashes(F.col("text")).alias("words"))
+    rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", word_hashes(F.col("text")).alias("words"))
     shift, lead = F.col("pos") - F.col("item_pos"), F.greatest(F.lit(0), -F.col("shift"))
     beside = F.slice("words", F.col("shift") + lead + 1, F.greatest(F.lit(0), F.col("item_words") - lead))
     at = ["key", "doc_id", "item_id", "item_words", "shift"]
@@ -95,7 +91,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     per_item = found.groupBy("key", "item_id").agg(F.max("matched").alias("matched"))
     # The list is bounded by the benchmark.
     per_doc = per_item.groupBy("key").agg(F.count("*").alias("n_items"), F.array_join(F.transform(F.sort_array(F.collect_set("item_id")), lambda i: i.cast("string")), ",").alias("items"), F.max("matched").alias("matched"))
-    rows = docs.select(row_key().alias("key"), "doc_id").join(per_doc, "key", "left")
+    rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id").join(per_doc, "key", "left")
     return rows.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.lit("")).alias("items"), F.coalesce("matched", F.lit(0)).cast("long").alias("matched"))
 
 
@@ -103,4 +99,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The documents that hold no benchmark passage, as they are."""
     # Written, their size is known, so that the documents are only shuffled if there are many.
     found = written(overlaps(docs, benchmark, **settings).select("key").distinct(), "contaminated")
-    return docs.select(F.struct("*").alias("doc"), row_key().alias("key")).join(found, "key", "left_anti").select("doc.*")
+    return docs.select(F.struct("*").alias("doc"), row_key("doc_id", "text").alias("key")).join(found, "key", "left_anti").select("doc.*")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import in_arrow, written
+from chartmill.llm.shared import in_arrow, row_key, written
 from chartmill.llm.tokens import mixed, slices
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -176,7 +176,7 @@ def identify(pages: DataFrame, docs: DataFrame, languages: Sequence[str] = LANGU
 
 def accepted(docs: DataFrame, languages: Sequence[str] = LANGUAGES, per_language: int = 500, temper: float = 0.25) -> DataFrame:
     """The documents in a known language, as they are.  Their `lang` is the declaration, their `source` the host."""
-    key = F.xxhash64("doc_id", "text", "lang", "source").alias("key")
+    key = row_key("doc_id", "text", "lang", "source").alias("key")
     keyed = docs.select(key, F.lower(F.coalesce(F.col("lang").cast("string"), F.lit(""))).alias("declared"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), F.lit("").alias("suffix"), "text")
     found = fused(likelihoods(keyed, "text", learnt(docs, languages, per_language), False, temper), languages)
     # Few are rejected, if any.  Written, their size is known, so that the documents are only shuffled if there are many.

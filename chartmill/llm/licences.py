@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import in_arrow, written
+from chartmill.llm.shared import in_arrow, row_key, written
 
 #: The known texts are broadcast only if they are no more than this.
 SMALL = 20_000
@@ -114,8 +114,8 @@ def digests(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "key", "digest", "lines"],
                 )
 
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("string").alias("text"))
-    return in_arrow(rows, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, digest string, lines array<string>")
+    rows = docs.select("doc_id", row_key("doc_id", "text").alias("key"), F.col("text").cast("string").alias("text"))
+    return in_arrow(rows, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key struct<a:long,b:long>, digest string, lines array<string>")
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:

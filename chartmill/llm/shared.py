@@ -56,6 +56,11 @@ def in_arrow(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
     return rows.mapInArrow(function, schema)
 
 
+def row_key(*columns: str) -> Column:
+    """What names a row: 128 bits of hashes of its columns, so that two of even 10^11 different rows do not share it."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit("key"), *columns).alias("b"))
+
+
 def words_of(text: Column) -> Column:
     """How many words a text has; none if it is null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import components, in_arrow, split_hot, written
+from chartmill.llm.shared import components, in_arrow, row_key, split_hot, written
 
 SLICE = 1 << 16
 PARTS = 3
@@ -45,19 +45,15 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
 
 
-def row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
-
-
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, key, fp): key is a hash of doc_id and text, fp holds the 64 bits as a signed long."""
+    """(doc_id, key, fp): key is hashes of doc_id and text, fp holds the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["doc_id", "key", "fp"])
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long"), row_key().alias("key"), F.col("text").cast("string")), run, "doc_id long, key long, fp long")
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), row_key("doc_id", "text").alias("key"), F.col("text").cast("string")), run, "doc_id long, key struct<a:long,b:long>, fp long")
 
 
 def gray_rank(fp: Column) -> Column:
@@ -187,7 +183,7 @@ def deduplicated(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFr
     chosen = written(rows.groupBy("component").agg(first.alias("key")).select("key"), "chosen")
     # Written, their size is known, so that the documents are only shuffled if there are many.
     dropped = written(rows.select("key").join(chosen, "key", "left_anti").distinct(), "dropped")
-    kept = docs.select(F.struct("*").alias("doc"), row_key().alias("key")).join(dropped, "key", "left_anti")
+    kept = docs.select(F.struct("*").alias("doc"), row_key("doc_id", "text").alias("key")).join(dropped, "key", "left_anti")
     # A chosen row that stands in the table more than once.
     repeated = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").join(chosen, "key", "left_semi").select("key"), "repeated")
     once = kept.join(repeated, "key", "left_anti")
