@@ -159,6 +159,25 @@ def plain_p(t, alphabet):
     return math.exp(-half) * (1 + half + half * half / 2)
 
 
+def test_secrets_lone(spark):
+    """A single secret is found wherever its p lies; words are not, nor are copies of a secret taken for many."""
+    rng = random.Random(8)
+    alphabet = dict((n, a) for n, _, a, _ in secrets.ENCODINGS)["alnum"]
+    tokens = [random_token(rng) for _ in range(400)]
+    ps = {t: plain_p(t, alphabet) for t in tokens}
+    assert sum(p >= secrets.GRID[0] for p in ps.values()) >= 396
+    low = [t for t in tokens if 0.005 < ps[t] < 0.45][:3]
+    for t in low:
+        docs = table(spark, [(1, f"see {t} here", "en", "a"), (2, SENTENCES[0], "en", "a")])
+        assert {r["doc_id"]: r["spans"] for r in secrets.report(docs).collect()} == {1: f"random:4:{4 + len(t)}", 2: ""}
+    docs = table(spark, [(i, f"see {low[0]} here", "en", "a") for i in range(60)])
+    assert sum(r["n_random"] for r in secrets.report(docs).collect()) == 60
+    one = spark.createDataFrame([("alnum", 5, 0.2)], "encoding string, length_class int, p double")
+    assert secrets.thresholds(one, 0.1).collect()[0]["threshold"] == secrets.GRID[0]
+    many = spark.createDataFrame([("alnum", 5, 0.001 + i / 1000) for i in range(400)], one.schema)
+    assert secrets.thresholds(many, 0.1).collect()[0]["threshold"] >= 0.4
+
+
 def test_secrets_masked(spark, rows):
     every = rows + [(900 + i, t, "en", "a") for i, t in enumerate(SECRETS)]
     docs = table(spark, every)
