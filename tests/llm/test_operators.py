@@ -178,6 +178,24 @@ def test_secrets_lone(spark):
     assert secrets.thresholds(many, 0.1).collect()[0]["threshold"] >= 0.4
 
 
+def test_secrets_glued(spark):
+    """A key is found in a run that glues it to its name or path, also one without digits; long words are not."""
+    rng = random.Random(9)
+    key = lambda symbols, n=40: "".join(rng.choice(symbols) for _ in range(n))
+    mixed, letters, url = random_token(rng), key(secrets.UPPER + secrets.LOWER), random_token(rng, 24) + "-" + random_token(rng, 24)
+    glued = [("aws_secret_access_key=", mixed), ("AUTH_KEY=", mixed), ("?sig=", letters), ("/var_lib/", letters), ("a+b/c_", mixed), ("a/b/", url), ("name=", mixed + "==")]
+    rows = [(i, f"{SENTENCES[0]} {a}{b} end", "en", "a") for i, (a, b) in enumerate(glued)] + [(100 + i, " ".join(SENTENCES[:2] * 3), "en", "a") for i in range(20)]
+    words = ["theriverrunspasttheoldmill", "nobodyinthevillagecouldsay", "whenthetowerclockhadshown"]
+    rows += [(200 + i, f"{SENTENCES[1]} {w} end", "en", "a") for i, w in enumerate(words)]
+    found = {r["doc_id"]: r["spans"] for r in secrets.report(table(spark, rows)).collect()}
+    for i, (a, b) in enumerate(glued):
+        at = len(SENTENCES[0]) + 1 + len(a)
+        # One span, which may hold the end of a path that fits the key's encoding.
+        (_, start, end), = (s.split(":") for s in found[i].split(","))
+        assert at - len(a) <= int(start) <= at and int(end) == at + len(b)
+    assert all(found[200 + i] == "" for i in range(len(words)))
+
+
 def test_secrets_masked(spark, rows):
     every = rows + [(900 + i, t, "en", "a") for i, t in enumerate(SECRETS)]
     docs = table(spark, every)
