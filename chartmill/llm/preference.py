@@ -53,16 +53,20 @@ def formatted(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def pairs_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs from plain conversations, which hold no preferences: each conversation is chosen as it is; its rejected side
-    has the messages of its last assistant turn replaced by those of its partner's (2 k and 2 k + 1 are partners).
-    Conversations without an assistant turn, or whose partner has none, are no pair."""
-    rows = conversations.where("conv_id is not null and turn is not null").select("conv_id", "turn", "role", "text")
-    last = rows.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"))
+    has the messages of its last assistant turn replaced by those of its partner's (2 k and 2 k + 1 are partners).  A
+    conversation without an assistant turn, or whose partner is missing or has none, is a pair with a chosen side only."""
+    # A null turn is the first one, here as in formatted().
+    rows = conversations.where("conv_id is not null").select("conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(FIRST)).alias("turn"), "role", "text")
+    ends = rows.groupBy("conv_id").agg(F.max(F.when(F.col("role") == "assistant", F.col("turn"))).alias("last"))
     partner = F.col("conv_id").bitwiseXOR(F.lit(1))
-    mine = last.join(last.select(partner.alias("conv_id"), F.col("last").alias("other")), "conv_id").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    others = ends.where("last is not null").select(partner.alias("conv_id"), F.col("last").alias("other"))
+    mine = ends.join(others, "conv_id", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64("turn", "role", "text"), F.lit(SALTS)).cast("int")
     dealt = rows.withColumn("salt", salt).join(mine, ["conv_id", "salt"])
-    chosen = dealt.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
-    kept = dealt.where((F.col("turn") != F.col("last"))).select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    plain = lambda turn: F.when(F.col(turn) != FIRST, F.col(turn)).alias("turn")
+    chosen = dealt.select(F.col("conv_id").alias("pair_id"), plain("turn"), "role", "text")
+    two = dealt.where("last is not null and other is not null")
+    kept = two.where(F.col("turn") != F.col("last")).select(F.col("conv_id").alias("pair_id"), plain("turn"), "role", "text")
     # The last assistant turn of a conversation stands at its partner's.
-    given = dealt.where(F.col("turn") == F.col("last")).select(partner.alias("pair_id"), F.col("other").alias("turn"), "role", "text")
+    given = two.where(F.col("turn") == F.col("last")).select(partner.alias("pair_id"), plain("other"), "role", "text")
     return chosen, kept.unionAll(given)

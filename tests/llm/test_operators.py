@@ -407,6 +407,19 @@ def test_preference(spark):
     assert preference.formatted(frame([]), frame([])).count() == 0
 
 
+def test_preference_keeps_every_message(spark):
+    """Conversations without a usable partner are pairs with one side, and null turns stay; the others are as before."""
+    said = [(0, 0, "user", "a"), (0, 1, "assistant", "b"), (1, 0, "user", "c"), (1, 1, "assistant", "d"), (2, 0, "user", "e"), (2, 1, "assistant", "f"), (3, 0, "user", "g"), (6, None, "system", "h"), (6, 1, "assistant", "i"), (9, None, "assistant", "j"), (None, 0, "user", "k")]
+    frame = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    rows = preference.formatted(*preference.pairs_of(frame)).collect()
+    got = {(r["pair_id"], r["part"], r["turn"], r["rendered"].split("\n")[1]) for r in rows}
+    assert got == {
+        (0, "prompt", 0, "a"), (0, "chosen", 1, "b"), (0, "rejected", 1, "d"), (1, "prompt", 0, "c"), (1, "chosen", 1, "d"), (1, "rejected", 1, "b"),
+        (2, "chosen", 0, "e"), (2, "chosen", 1, "f"), (3, "chosen", 0, "g"), (6, "chosen", None, "h"), (6, "chosen", 1, "i"), (9, "chosen", None, "j"),
+    }
+    assert len(rows) == len(got)
+
+
 # ---- 6
 
 def brute_overlap(words, item):
