@@ -9,8 +9,10 @@ compared with the words beside it, and the document counts as contaminated if
 * some stretch of the alignment scores `stretch` or more, an equal word counting 1 and a different one -4 (so that at least
   `share` = 4/5 of it are equal): a fragment of a longer item.
 
-Items too short for the masks get a mask of their own length; items of fewer than `min_words` words cannot be told from
-chance and are not looked for.  Null and empty texts hold nothing; repeated rows are judged alike, in the documents as in
+A mask is missed where substitutions hit each of its places.  For items of 5 to 8, 10 to 12, 15, 16 and 20 words as many
+as a fifth of the words could hide all masks, so these have more of their own: at any length of 5 to 120 words, no fifth of
+an item's words hides all.  Items of fewer than `min_words` words cannot be told from chance and are not looked for; with
+a smaller `min_words`, items of less than 5 words are looked up by all their words.  Null and empty texts hold nothing; repeated rows are judged alike, in the documents as in
 the benchmark.  Extra columns are ignored, or kept where documents are returned.  Empty tables are allowed on either side.
 """
 
@@ -24,6 +26,8 @@ from chartmill.llm.shared import row_key, written
 #: Which words of a window are hashed.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 6, 7), (0, 2, 3, 5, 8))
 SPAN = 9
+#: Lengths at which MASKS can miss a fifth of the words, and what closes that gap, laid like MASKS.
+THIN, MORE = (10, 11, 12, 15, 16, 20), (0, 1, 2, 4, 5)
 #: The seeds of the benchmark are broadcast only if they are no more than this.
 SMALL = 500_000
 
@@ -41,15 +45,35 @@ def seeds(rows: DataFrame, masks: dict[int, tuple[int, ...]], keep: list[str]) -
     return at.withColumn("laid", F.explode(F.array(*laid))).where("laid is not null").select(*keep, "pos", "laid.mask", "laid.seed")
 
 
+def own_masks(n: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(position, mask) that are laid on items of n words besides MASKS."""
+    if n in THIN:
+        return [(at, MORE) for at in range(n - MORE[-1])]
+    if n < 5:
+        return [(0, tuple(range(n)))]
+    if n >= SPAN:
+        return []
+    # One word may differ, so each mask leaves out another part of the item.
+    size = 1 if n == 5 else -(-n // 3)
+    left = [[i for i in range(n) if i // size != part] for part in range(-(-n // size))]
+    return [(places[0], tuple(i - places[0] for i in places)) for places in left]
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch: int = 13, min_words: int = 5, small: int = SMALL) -> DataFrame:
     """(key, doc_id, item_id, shift, matched, item_words, score) for every alignment that counts; `shift` is the word of
     the document at which the item's first word falls."""
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).where(F.size("words") >= min_words).distinct()
-    short = [r[0] for r in items.where(F.size("words") < SPAN).select(F.size("words")).distinct().collect()]
-    masks = dict(enumerate(MASKS)) | {100 + n: tuple(range(n)) for n in sorted(short)}
+    lengths = sorted(r[0] for r in items.where(F.size("words") <= THIN[-1]).select(F.size("words")).distinct().collect())
+    own = {n: own_masks(n) for n in lengths}
+    shapes = sorted({mask for laid in own.values() for _, mask in laid})
+    masks = dict(enumerate(MASKS)) | {100 + i: mask for i, mask in enumerate(shapes)}
     wanted = seeds(items, masks, ["item_id", "words"])
-    # A mask of a short item's own length only serves items of that length.
-    wanted = wanted.where((F.col("mask") < 100) | (F.size("words") + 100 == F.col("mask")))
+    # The masks of a length only serve items of that length.
+    serves = F.col("mask") < 100
+    for n, laid in own.items():
+        for shape in sorted({mask for _, mask in laid}):
+            serves = serves | ((F.size("words") == n) & (F.col("mask") == 100 + shapes.index(shape)) & F.col("pos").isin([at for at, mask in laid if mask == shape]))
+    wanted = wanted.where(serves)
     wanted = wanted.select("mask", "seed", "item_id", F.col("pos").alias("item_pos"), F.size("words").alias("item_words")).distinct()
     few = wanted.limit(small + 1).count() <= small
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id", word_hashes(F.col("text")).alias("words"))

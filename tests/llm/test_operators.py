@@ -3,6 +3,7 @@ extra columns whose names the operators use inside."""
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -480,6 +481,26 @@ def test_decontamination(spark, no_docs):
     assert decontam.report(no_docs, benchmark).count() == 0 and decontam.report(frame, benchmark.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_masks(spark):
+    """No allowed substitution hides an item of 5 to 16, or 20, words, and documents that hold it so are found."""
+    docs, items = [], []
+    for n in (*range(5, 17), 20):
+        laid = [{at + o for o in m} for m in decontam.MASKS for at in range(n - m[-1])] + [{at + o for o in m} for at, m in decontam.own_masks(n)]
+        assert all(max(places) < n for places in laid)
+        words = [f"n{n}w{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        before = [{at + o for o in m} for m in decontam.MASKS for at in range(n - m[-1])] + [set(range(n))]
+        for out in itertools.combinations(range(n), n // 5):
+            assert any(not places & set(out) for places in laid)
+            if not any(not places & set(out) for places in before):
+                docs.append((1000 * n + len(docs), " ".join(["so", *("changed" if i in out else w for i, w in enumerate(words)), "end"]), "en", "a"))
+    few = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: r["items"] for r in decontam.report(table(spark, docs), few).collect()}
+    assert len(docs) > 20 and got == {i: str(i // 1000) for i, *_ in docs}
+    short = spark.createDataFrame([(1, "two words")], "item_id long, text string")
+    assert decontam.report(table(spark, [(1, "here two words", "en", "a"), (2, "two more words", "en", "a")]), short, min_words=1).where("contaminated").count() == 1
+
+
 # ---- 7
 
 def brute_fingerprint(text):
