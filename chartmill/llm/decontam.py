@@ -13,7 +13,7 @@ A mask is missed where substitutions hit each of its places.  For items of 5 to
 as a fifth of the words could hide all masks, so these have more of their own: at any length of 5 to 120 words, no fifth of
 an item's words hides all.  Items of fewer than `min_words` words cannot be told from chance and are not looked for; with
 a smaller `min_words`, items of less than 5 words are looked up by all their words.  Null and empty texts hold nothing; repeated rows are judged alike, in the documents as in
-the benchmark.  Extra columns are ignored, or kept where documents are returned.  Empty tables are allowed on either side.
+the benchmark.  Items without id are looked for as well; together they are one item that is listed as null, before others.  Extra columns are ignored, or kept where documents are returned.  Empty tables are allowed on either side.
 """
 
 from __future__ import annotations
@@ -91,8 +91,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch:
         hit = rows.join(met.select("key").distinct(), "key", "left_semi").select("key", "words").dropDuplicates(["key"])
         aligned = met.join(hit, "key").select(*at, lead.alias("lead"), beside.alias("beside"))
     # Two items may share an id: the words' number tells which one a hit came from, and all that fit are compared.
-    whole = items.select("item_id", F.col("words").alias("item"), F.size("words").alias("item_words"))
-    pairs = aligned.join(whole, ["item_id", "item_words"])
+    whole = items.select(F.col("item_id").alias("whole_id"), F.col("words").alias("item"), F.size("words").alias("whole_words"))
+    pairs = aligned.join(whole, F.col("item_id").eqNullSafe(F.col("whole_id")) & (F.col("item_words") == F.col("whole_words")))
     equal = F.zip_with("beside", F.slice("item", F.col("lead") + 1, F.size("beside")), lambda a, b: F.when(a == b, 1).otherwise(0))
     pairs = pairs.withColumn("equal", equal)
     walked = F.aggregate(
@@ -114,7 +114,7 @@ def report(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     found = overlaps(docs, benchmark, **settings)
     per_item = found.groupBy("key", "item_id").agg(F.max("matched").alias("matched"))
     # The list is bounded by the benchmark.
-    per_doc = per_item.groupBy("key").agg(F.count("*").alias("n_items"), F.array_join(F.transform(F.sort_array(F.collect_set("item_id")), lambda i: i.cast("string")), ",").alias("items"), F.max("matched").alias("matched"))
+    per_doc = per_item.groupBy("key").agg(F.count("*").alias("n_items"), F.array_join(F.transform(F.sort_array(F.collect_set(F.struct("item_id"))), lambda i: F.coalesce(i["item_id"].cast("string"), F.lit("null"))), ",").alias("items"), F.max("matched").alias("matched"))
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id").join(per_doc, "key", "left")
     return rows.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.lit("")).alias("items"), F.coalesce("matched", F.lit(0)).cast("long").alias("matched"))
 

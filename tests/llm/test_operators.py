@@ -501,6 +501,14 @@ def test_decontamination_masks(spark):
     assert decontam.report(table(spark, [(1, "here two words", "en", "a"), (2, "two more words", "en", "a")]), short, min_words=1).where("contaminated").count() == 1
 
 
+def test_decontamination_without_id(spark):
+    items = spark.createDataFrame([(None, SENTENCES[0]), (None, SENTENCES[1]), (3, SENTENCES[3])], "item_id long, text string")
+    docs = table(spark, [(1, "so " + SENTENCES[0], "en", "a"), (2, SENTENCES[1] + " " + SENTENCES[3], "en", "a"), (3, SENTENCES[2], "en", "a")])
+    for small in (0, decontam.SMALL):
+        assert {r["doc_id"]: (r["contaminated"], r["n_items"], r["items"]) for r in decontam.report(docs, items, small=small).collect()} == {1: (True, 1, "null"), 2: (True, 2, "null,3"), 3: (False, 0, "")}
+        assert [r["doc_id"] for r in decontam.clean(docs, items, small=small).collect()] == [3]
+
+
 # ---- 7
 
 def brute_fingerprint(text):
