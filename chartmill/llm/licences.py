@@ -4,7 +4,8 @@ A text is brought to a canonical form: lower case, copyright lines left out, equ
 white space made single spaces.  Its SHA-256 digest is looked up among those of known licence texts, brought to the same
 form.  Whole texts are looked up, and the single lines of a text as well, for licence notices that stand in other text.
 
-The list of known texts is a parameter (name, text); a list of a few short licences and notices comes with the module.
+The list of known texts is a parameter (name, text).  With the module come short licences and notices, the whole texts in
+the folder licence_texts (each also without its appendix), and notices made of the names of licences.
 Null and empty texts have no canonical form and match nothing.  Repeated rows are looked up alike.  Extra columns are
 ignored.  An empty table gives an empty result.  If two known texts have the same canonical form the smaller name is used.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -69,6 +71,29 @@ KNOWN = (
 )
 
 
+#: Licences by name, as notices put them, and what may stand before.
+NAMES = (
+    ("MIT", "the MIT License"), ("ISC", "the ISC License"), ("Zlib", "the zlib License"), ("Unlicense", "the Unlicense"), ("BSL-1.0", "the Boost Software License, Version 1.0"),
+    ("BSD-2-Clause", "the BSD 2-Clause License"), ("BSD-3-Clause", "the BSD 3-Clause License"), ("CC0-1.0", "CC0 1.0"),
+    *((f"Apache-{v}", f"{name}{v}") for v in ("1.1", "2.0") for name in ("the Apache License, Version ", "the Apache License ")),
+    *((f"MPL-{v}", f"the Mozilla Public License{at}{v}") for v in ("1.1", "2.0") for at in (", version ", " ")),
+    *((f"{short}-{v}", f"the GNU {kind} Public License{at}{v.removesuffix('.0')}") for short, kind, versions in (("GPL", "General", ("1.0", "2.0", "3.0")), ("LGPL", "Lesser General", ("2.1", "3.0")), ("AGPL", "Affero General", ("3.0",))) for v in versions for at in (", version ", " v")),
+    *((f"CC-{kind}-{v}", f"{the}CC {kind} {v}{end}") for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for v in ("1.0", "2.0", "2.5", "3.0", "4.0") for the, end in (("", ""), ("the ", " license"))),
+)
+VERBS = ("Licensed", "Released", "Distributed", *(f"This {thing} is {verb}" for thing in ("work", "software", "project", "program", "file", "library", "code") for verb in ("licensed", "released", "distributed")))
+APPENDIX = re.compile(r"(?m)^\s*END OF TERMS AND CONDITIONS\s*$")
+
+
+def listed_texts() -> list[tuple[str, str]]:
+    """(name, text) of all that comes with the module."""
+    rows = [*KNOWN, *((f"notice:{name}", f"{verb} under {put}.") for name, put in NAMES for verb in VERBS)]
+    for file in sorted(resources.files("chartmill.llm").joinpath("licence_texts").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        end = APPENDIX.search(text)
+        rows += [(name, text)] + ([(name, text[: end.start()]), (name, text[: end.end()])] if end else [])
+    return rows
+
+
 def words(text: str) -> str:
     """Lower case, punctuation as spaces, and one spelling for words that have several."""
     plain = " ".join([SPELLINGS.get(w, w) for w in BREAK.sub(" ", text.lower()).split()])
@@ -122,7 +147,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, digest of its canonical form, the licence that this is, if any, how many of its
     different lines are known texts, and which, in order."""
     spark = docs.sparkSession
-    listed = known_digests(known if known is not None else spark.createDataFrame(list(KNOWN), "name string, text string"))
+    listed = known_digests(known if known is not None else spark.createDataFrame(listed_texts(), "name string, text string"))
     rows = written(digests(docs), "digests")
     # Known lines are few; only these are shuffled.
     found = rows.select("key", F.explode("lines").alias("digest")).join(listed, "digest").distinct()

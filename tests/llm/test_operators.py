@@ -8,6 +8,7 @@ import math
 import random
 import re
 import zlib
+from importlib import resources
 
 import numpy as np
 import pytest
@@ -661,6 +662,14 @@ def test_licences(spark, rows, no_docs):
     assert {r["doc_id"] for r in licences.scan(table(spark, rows), mine).where("licence = 'Y'").collect()} == {74, 75}
 
 
+def test_licences_whole_texts(spark):
+    texts = {f.name.removesuffix(".txt"): f.read_text() for f in resources.files("chartmill.llm").joinpath("licence_texts").iterdir()}
+    docs = [(i, t, "en", "a") for i, t in enumerate(texts.values())] + [(100, texts["GPL-3.0"].partition("END OF TERMS")[0], "en", "a"), (101, "x\nThis software is released under the Mozilla Public License 2.0\ny", "en", "a")]
+    got = {r["doc_id"]: r for r in licences.scan(table(spark, docs)).collect()}
+    assert [got[i]["licence"] for i in range(len(texts))] == list(texts) and len(texts) >= 13
+    assert got[100]["licence"] == "GPL-3.0" and got[101]["line_licences"] == "notice:MPL-2.0"
+
+
 # ---- 10
 
 def brute_targets(sizes, most=3):
