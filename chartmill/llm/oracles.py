@@ -199,6 +199,13 @@ hit AS (SELECT id, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY lice
 SELECT doc_id, w.digest, licence, coalesce(n, 0) AS n_lines, coalesce(names, '') AS line_licences FROM whole w LEFT JOIN listed USING (digest) LEFT JOIN hit USING (id)"""
 
 
+OP11 = """
+WITH d AS (SELECT row_number() OVER () AS nr, doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST, nr) = 1 AS kept, text_sha256
+FROM d WINDOW same AS (PARTITION BY text_sha256)"""
+
+
 SQL = {
     "op1_secret_scan": op1(), "op2_lm_scoring": op2(), "op3_embedding_dedup": op3(), "op5_chat_preference": OP5, "op6_decontamination": op6(), "op9_licence_scan": op9(),
+    "op11_exact_dedup": OP11,
 }

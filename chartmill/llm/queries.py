@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import caps, decontam, html_text, langid, licences, lm, mixing, preference, secrets, simhash
+from chartmill.llm import caps, decontam, digests, html_text, langid, licences, lm, mixing, preference, secrets, simhash
 from chartmill.llm.oracles import SQL
+from chartmill.llm.shared import new_folder
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -60,6 +61,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = digests.DigestIndex.create(spark, new_folder(spark, "digests"), digests.buckets_for(docs))
+    return index.decide(digests.add_newest_first(docs, index))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,6 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_lm_scoring, op3_embedding_dedup, op4_language_id, op5_chat_preference, op6_decontamination, op7_simhash_dedup,
-        op8_html_extraction, op9_licence_scan, op10_mixing, pipeline,
+        op8_html_extraction, op9_licence_scan, op10_mixing, op11_exact_dedup, pipeline,
     )
 }
