@@ -81,7 +81,8 @@ class DigestIndex:
     def compact(self, folder: str) -> DigestIndex:
         """A copy with one sorted file a bucket, for an index that many batches have been appended to."""
         other = DigestIndex.create(self.spark, folder, self.buckets)
-        self.entries().repartition(self.buckets, "digest").write.insertInto(other.name)
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
+        self.entries().repartition(self.buckets, bucket).write.insertInto(other.name)
         self.spark.catalog.refreshTable(other.name)
         return other
 
