@@ -205,7 +205,23 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM d WINDOW same AS (PARTITION BY text_sha256)"""
 
 
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS nr, doc_id, TERMS AS t FROM documents),
+i AS (SELECT row_number() OVER () AS it, item_id, TERMS AS t FROM benchmark),
+size AS (SELECT nr, doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+tf AS (SELECT nr, term, count(*) AS tf FROM (SELECT nr, unnest(t) AS term FROM d) GROUP BY ALL),
+q AS (SELECT it, item_id, term, count(*) AS q FROM (SELECT it, item_id, unnest(t) AS term FROM i) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+s AS (
+  SELECT it, item_id, nr, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN size USING (nr) CROSS JOIN total GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY it ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= 20""".replace(
+    "TERMS", r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
 SQL = {
     "op1_secret_scan": op1(), "op2_lm_scoring": op2(), "op3_embedding_dedup": op3(), "op5_chat_preference": OP5, "op6_decontamination": op6(), "op9_licence_scan": op9(),
-    "op11_exact_dedup": OP11,
+    "op11_exact_dedup": OP11, "op12_lexical_search": OP12,
 }
