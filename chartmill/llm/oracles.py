@@ -221,7 +221,56 @@ FROM (SELECT *, row_number() OVER (PARTITION BY it ORDER BY score DESC, doc_id N
     "TERMS", r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
 
+#: CRC-32 of the text `name` from a table of remainders, `tab`.
+POLY = "poly AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS i)))"
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+# Rows are taken from the last to the first; best holds, for each state that a repair may be in before a row, the least of
+# (cost, audit) of all that may follow, and the lines it gives.  Up to two rows are inserted before a row.
+OP13 = f"""
+WITH RECURSIVE {POLY},
+told AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+hit AS (SELECT *, {CRC} % 20 AS kind FROM told, poly),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hit WHERE kind <> 0),
+placed AS (SELECT *, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+faulty AS (
+  SELECT conv_id, turn, i, role, text, left(role, 1) AS initial, left(role, 1) || left(lead(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS pair,
+    CASE WHEN seen = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+ids AS (SELECT row_number() OVER () AS c, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+r AS (SELECT c, f.* FROM faulty f JOIN ids ON ids.conv_id IS NOT DISTINCT FROM f.conv_id),
+ends AS (SELECT ids.c, coalesce(max(i), 0) AS n FROM ids LEFT JOIN r USING (c) GROUP BY ids.c),
+-- one row inserted: from which state, to which, as what
+ins(q, z, line) AS (VALUES (0, 2, 'user:'), (1, 2, 'user:'), (2, 3, 'assistant:'), (3, 2, 'user:')),
+lead_in AS (
+  SELECT q, q AS z, 0 AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM (VALUES (0), (1), (2), (3)) AS s(q)
+  UNION ALL SELECT q, z, 3, 'I', [line] FROM ins
+  UNION ALL SELECT a.q, b.z, 6, 'II', [a.line, b.line] FROM ins a JOIN ins b ON a.z = b.q),
+steps(q, initial, z, rerole) AS (
+  VALUES (0, 's', 1, NULL), (0, 'u', 2, NULL), (1, 'u', 2, NULL), (2, 'a', 3, NULL), (3, 'u', 2, NULL), (0, '', 2, 'user'), (1, '', 2, 'user'), (2, '', 3, 'assistant'), (3, '', 2, 'user')),
+acts AS (
+  SELECT c, i, s.q, s.z, 3 * CAST(rerole IS NOT NULL AS INTEGER) + 3 * CAST(fault = 'truncated' AS INTEGER) AS cost, CASE WHEN rerole IS NULL THEN 'K' ELSE 'R' END AS audit, [coalesce(rerole, role) || ':' || text] AS lines
+  FROM r JOIN steps s ON fault NOT IN ('blank', 'duplicate') AND (rerole IS NOT NULL OR r.initial = s.initial)
+  UNION ALL SELECT c, i, s.q, s.q, 4, 'D', CAST([] AS VARCHAR[]) FROM r, (VALUES (0), (1), (2), (3)) AS s(q)),
+moves AS (SELECT a.c, a.i, l.q, a.z, l.cost + a.cost AS cost, l.audit || a.audit AS audit, l.lines || a.lines AS lines FROM acts a JOIN lead_in l ON l.z = a.q),
+best(c, i, q, b) AS (
+  SELECT c, n + 1, q, min(struct_pack(cost := CAST(cost AS BIGINT), audit := audit, lines := lines)) FROM ends, lead_in WHERE z IN (0, 3) GROUP BY ALL
+  UNION ALL
+  SELECT m.c, m.i, m.q, min(struct_pack(cost := CAST(m.cost + b.b.cost AS BIGINT), audit := m.audit || b.b.audit, lines := m.lines || b.b.lines))
+  FROM best b JOIN moves m ON m.c = b.c AND m.i = b.i - 1 AND m.z = b.q GROUP BY m.c, m.i, m.q),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  b.cost AS cost, b.audit AS audit, sha256(array_to_string(b.lines, chr(10))) AS repaired_sha256
+FROM ids JOIN best ON best.c = ids.c AND best.i = 1 AND best.q = 0 LEFT JOIN counts ON counts.c = ids.c"""
+
+
 SQL = {
     "op1_secret_scan": op1(), "op2_lm_scoring": op2(), "op3_embedding_dedup": op3(), "op5_chat_preference": OP5, "op6_decontamination": op6(), "op9_licence_scan": op9(),
-    "op11_exact_dedup": OP11, "op12_lexical_search": OP12,
+    "op11_exact_dedup": OP11, "op12_lexical_search": OP12, "op13_conversation_repair": OP13,
 }

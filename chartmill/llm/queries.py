@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import caps, decontam, digests, html_text, langid, lexical, licences, lm, mixing, preference, secrets, simhash
+from chartmill.llm import caps, decontam, digests, html_text, langid, lexical, licences, lm, mixing, preference, repair, secrets, simhash
 from chartmill.llm.oracles import SQL
 from chartmill.llm.shared import new_folder
 
@@ -71,6 +71,11 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decided, _ = repair.repairs(repair.damaged(table(spark, sf_dir, "conversations")))
+    return decided
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,6 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_lm_scoring, op3_embedding_dedup, op4_language_id, op5_chat_preference, op6_decontamination, op7_simhash_dedup,
-        op8_html_extraction, op9_licence_scan, op10_mixing, op11_exact_dedup, op12_lexical_search, pipeline,
+        op8_html_extraction, op9_licence_scan, op10_mixing, op11_exact_dedup, op12_lexical_search, op13_conversation_repair, pipeline,
     )
 }
