@@ -247,9 +247,9 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 20, block_entries: int =
         for r in counts.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
             df[r["term"]] = r["count"]
         rows = vectors(counts, weights(n_docs, df), n_docs, n_terms)
-        opening = rows.agg(F.percentile_approx("norm", max(0.0, 1 - OPENING / n_docs), 1000)).first()[0]
+        opening = rows.agg(F.percentile_approx("norm", max(0.0, 1 - OPENING / n_docs), 100_000)).first()[0]
         none = np.ones(len(block.nrs), np.int64)
-        floors = none if opening is None else floors_of(search(rows.where(F.col("norm") >= opening), block, none, k), block, k)
+        floors = none if opening is None else floors_of(search(rows.where(F.col("norm") >= opening).repartition(OPENING // BUCKET * 8), block, none, k), block, k)
         found = written(search(rows, block, floors, k), "found")
         best = found if best is None else best.unionAll(found)
     if best is None:
