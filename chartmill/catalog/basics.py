@@ -15,6 +15,7 @@ from chartmill.functions import dictionaries, fixed_values as fixed
 from chartmill.operators import delivery, documents
 from chartmill.operators.incremental import idempotent_load
 from chartmill.sources import readers, writers
+from chartmill.sources.ledger import Ledger
 
 UUID_SQL = "substr({m}, 1, 8) || '-' || substr({m}, 9, 4) || '-' || substr({m}, 13, 4) || '-' || " \
            "substr({m}, 17, 4) || '-' || substr({m}, 21, 12)"
@@ -97,11 +98,11 @@ def append_staged(t: Tables) -> DataFrame:
     """Two overlapping loads into one staged table: the finished orders, then all of them."""
     rows = t.orders.select(F.col("o_custkey").alias("patient_id"), F.col("o_orderkey").alias("encounter_id"),
                            F.col("o_orderdate").alias("encounter_datetime"), "o_orderstatus")
-    path, keys = t.scratch("staged"), ["patient_id", "encounter_id"]
-    for run, batch in enumerate((rows.where("o_orderstatus = 'F'"), rows)):
-        source = writers.with_row_id(batch.drop("o_orderstatus"), keys)
-        writers.append_rows(idempotent_load(source, readers.read_staged(t.spark, path, source.schema, first_run=run == 0), keys), path)
-    return readers.read_staged(t.spark, path, source.schema)
+    source, keys = rows.drop("o_orderstatus"), ("patient_id", "encounter_id")
+    ledger = Ledger(t.spark, t.scratch("staged"), source.schema, keys, "encounter_datetime")
+    for batch in (rows.where("o_orderstatus = 'F'"), rows):
+        ledger.load(lambda staged, batch=batch: idempotent_load(batch.drop("o_orderstatus"), staged, keys))
+    return ledger.staged().withColumnRenamed("id", "row_id").drop("load_number")
 
 
 @query("upsert_mapping", """

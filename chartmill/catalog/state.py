@@ -16,6 +16,7 @@ from chartmill.operators import choose, delivery, finders, incremental
 from chartmill.plans import care, registration
 from chartmill.schemas import staged_schema
 from chartmill.sources import readers, writers
+from chartmill.sources.ledger import Ledger
 from chartmill.streaming import loads
 
 # ---- incremental loads --------------------------------------------------------------------------------------
@@ -82,14 +83,13 @@ def first_run_or_delta(t: Tables) -> DataFrame:
     WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")
 def idempotent_load(t: Tables) -> DataFrame:
     """Three runs: the finished orders, all orders, all orders again; the last adds nothing."""
-    path, keys = t.scratch("idempotent"), ["o_custkey", "o_orderkey"]
+    keys = ("o_custkey", "o_orderkey")
     rows = t.orders.select(*keys, "o_orderdate")
+    ledger = Ledger(t.spark, t.scratch("idempotent"), rows.schema, keys, "o_orderkey")
     finished = t.orders.where("o_orderstatus = 'F'").select(*rows.columns)
-    for run, source in enumerate((finished, rows, rows)):
-        staged = readers.read_staged(t.spark, path, rows.schema, first_run=run == 0)
-        fresh = incremental.idempotent_load(source, staged, keys, gate=(t.patients, {"o_custkey": "person_id"}))
-        writers.append_rows(fresh, path)
-    return readers.read_staged(t.spark, path, rows.schema)
+    for source in (finished, rows, rows):
+        ledger.load(lambda staged, source=source: incremental.idempotent_load(source, staged, keys, gate=(t.patients, {"o_custkey": "person_id"})))
+    return ledger.staged().select(*rows.columns)
 
 
 @query("minute_batches", f"""
@@ -101,18 +101,107 @@ def idempotent_load(t: Tables) -> DataFrame:
 def minute_batches(t: Tables) -> DataFrame:
     """The encounter job as a stream: encounters come in two halves, and between them the patients of all segments but
     one are staged, whose first encounters have waited."""
-    inbox, staged, checkpoint, waiting = t.scratch("inbox"), t.scratch("staged"), t.scratch("checkpoint"), t.scratch("waiting")
-    building = t.patients.join(t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("person_id")), "person_id", "left_semi")
-    dimensions = {name: t.clinical[name] for name in ("encounter_type", "location")}
-    halves = (("encounter_datetime < TIMESTAMP_NTZ'1996-01-01 00:00:00'", building), ("encounter_datetime >= TIMESTAMP_NTZ'1996-01-01 00:00:00'", t.patients))
-    for run, (half, patients) in enumerate(halves):
+    halves = (("encounter_datetime < TIMESTAMP_NTZ'1996-01-01 00:00:00'", ["BUILDING"]), ("encounter_datetime >= TIMESTAMP_NTZ'1996-01-01 00:00:00'", None))
+    ledger = Ledger.of(t.spark, t.scratch("staged"), "encounters", "encounter_id")
+    inbox, checkpoint = t.scratch("inbox"), t.scratch("checkpoint")
+    for half, segments in halves:
         t.encounter.where(half).write.mode("append").parquet(inbox)
-        stream = loads.file_stream(t.spark, inbox, t.encounter.schema)
-        loads.stage_stream(
-            stream, staged, checkpoint, ["patient_id", "encounter_id"], range_key="encounter_id", waiting_path=waiting, first_run=run == 0,
-            transform=lambda told, known=patients: care.encounters({**dimensions, "encounter": told}, known, PLACES),
-        ).awaitTermination()
-    return t.spark.read.parquet(staged)
+        stage_encounters(t, ledger, inbox, checkpoint, segments)
+    return ledger.staged().drop("id", "load_number")
+
+
+def stage_encounters(t: Tables, ledger: Ledger, inbox: str, checkpoint: str, segments: list[str] | None) -> None:
+    """The encounters that are new in `inbox`, and those that wait, while the patients of some segments are staged."""
+    patients = t.patients
+    if segments is not None:
+        patients = patients.join(t.customer.where(F.col("c_mktsegment").isin(segments)).select(F.col("c_custkey").alias("person_id")), "person_id", "left_semi")
+    dimensions = {name: t.clinical[name] for name in ("encounter_type", "location")}
+    loads.stage_stream(
+        loads.file_stream(t.spark, inbox, t.encounter.schema), ledger, checkpoint, range_key="encounter_id",
+        transform=lambda told: care.encounters({**dimensions, "encounter": told}, patients, PLACES),
+        may_wait=lambda told: care.encounters_that_may_come({**dimensions, "encounter": told}, PLACES),
+    ).awaitTermination()
+
+
+#: Three batches by date, and the segments whose patients are staged while each is loaded.
+THIRDS = (("1995-01-01", "1900-01-01", ["BUILDING"]), ("1997-01-01", "1995-01-01", ["BUILDING", "MACHINERY"]), ("2999-01-01", "1997-01-01", ["BUILDING", "MACHINERY", "FURNITURE"]))
+COMES_SQL = f"voided = 0 AND location_id IN ({PLACE_IDS_SQL}) AND e.encounter_type IN (SELECT encounter_type_id FROM ({ENCOUNTER_TYPE_SQL}))"
+
+
+@query("minute_batches_waiting", " UNION ALL ".join(f"""
+    SELECT {nr} AS batch, encounter_id, patient_id FROM ({ENCOUNTER_SQL}) e
+    WHERE {COMES_SQL} AND encounter_datetime < TIMESTAMP '{until}' AND patient_id NOT IN (
+        SELECT person_id FROM ({PATIENTS_SQL}) JOIN customer ON c_custkey = person_id WHERE c_mktsegment IN ({', '.join(f"'{s}'" for s in segments)}))"""
+    for nr, (until, _, segments) in enumerate(THIRDS)))
+def minute_batches_waiting(t: Tables) -> DataFrame:
+    """Which encounters wait after each of three batches: those that can come but whose patient is not staged yet."""
+    ledger = Ledger.of(t.spark, t.scratch("staged"), "encounters", "encounter_id")
+    inbox, checkpoint, waiting = t.scratch("inbox"), t.scratch("checkpoint"), []
+    for nr, (until, since, segments) in enumerate(THIRDS):
+        t.encounter.where(f"encounter_datetime >= TIMESTAMP_NTZ'{since} 00:00:00' AND encounter_datetime < TIMESTAMP_NTZ'{until} 00:00:00'").write.mode("append").parquet(inbox)
+        stage_encounters(t, ledger, inbox, checkpoint, segments)
+        waiting.append(ledger.state(t.encounter.schema).select(F.lit(nr).alias("batch"), "encounter_id", "patient_id"))
+    return waiting[0].unionAll(waiting[1]).unionAll(waiting[2])
+
+
+# ---- committed loads ----------------------------------------------------------------------------------------
+
+
+def visits_of(t: Tables) -> DataFrame:
+    """Orders as visits of customers, in the staged form."""
+    plain = {"visit_id": "o_orderkey", "patient_id": "o_custkey", "date_started": "o_orderdate"}
+    known = {name: F.col(column) for name, column in plain.items()}
+    return t.orders.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in staged_schema("visits")], "o_orderstatus")
+
+
+def visit_ledger(t: Tables) -> Ledger:
+    """Two loads of visits, the finished ones and then all; a third one, of visits that are not there, is killed before
+    its commit; and a fourth brings nothing."""
+    ledger = Ledger.of(t.spark, t.scratch("visits"), "visits", "date_started")
+    rows = visits_of(t)
+    for load in (rows.where("o_orderstatus = 'F'"), rows):
+        ledger.append(incremental.idempotent_load(load.drop("o_orderstatus"), ledger.staged(), ledger.keys))
+    ledger.write(rows.withColumn("visit_id", -F.col("visit_id")).drop("o_orderstatus"))
+    ledger.append(incremental.idempotent_load(rows.drop("o_orderstatus"), ledger.staged(), ledger.keys))
+    return ledger
+
+
+VISIT_LOADS_SQL = f"""SELECT o_orderkey AS visit_id, o_custkey AS patient_id, o_orderdate AS date_started, {uuid_sql('o_orderkey')} AS id,
+    CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS BIGINT) AS load_number FROM orders"""
+
+
+@query("load_ledger", VISIT_LOADS_SQL)
+def load_ledger(t: Tables) -> DataFrame:
+    """What readers see of four loads: every visit once, with its id and the number of the load that brought it."""
+    return visit_ledger(t).staged().select("visit_id", "patient_id", "date_started", "id", "load_number")
+
+
+@query("load_ledger_compacted", VISIT_LOADS_SQL)
+def load_ledger_compacted(t: Tables) -> DataFrame:
+    ledger = visit_ledger(t)
+    ledger.compact()
+    return ledger.staged().select("visit_id", "patient_id", "date_started", "id", "load_number")
+
+
+@query("latest_staged_row", f"SELECT * FROM ({VISIT_LOADS_SQL}) ORDER BY load_number DESC, id DESC LIMIT 1")
+def latest_staged_row(t: Tables) -> DataFrame:
+    """The newest row by load, then id; only the newest load is read."""
+    return visit_ledger(t).newest().select("visit_id", "patient_id", "date_started", "id", "load_number")
+
+
+@query("ledger_first_run_or_delta", """
+    SELECT 'first' AS run, o_orderkey AS visit_id FROM orders
+    UNION ALL SELECT 'delta', o_orderkey FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderstatus = 'F')
+    UNION ALL SELECT 'back', o_orderkey FROM orders WHERE o_orderdate < (SELECT min(o_orderdate) FROM orders WHERE o_orderstatus = 'F')""")
+def ledger_first_run_or_delta(t: Tables) -> DataFrame:
+    """Cursors out of the log: over an empty ledger, and after the finished visits were loaded, on from there and back."""
+    ledger, rows = Ledger.of(t.spark, t.scratch("visits"), "visits", "date_started"), visits_of(t)
+    first = incremental.after_cursor(rows, "date_started", ledger.edges(), "high")
+    ledger.append(rows.where("o_orderstatus = 'F'").drop("o_orderstatus"))
+    delta = incremental.after_cursor(rows, "date_started", ledger.edges(), "high")
+    back = incremental.before_cursor(rows, "date_started", ledger.edges(), "low")
+    run = lambda df, name: df.select(F.lit(name).alias("run"), "visit_id")
+    return run(first, "first").unionAll(run(delta, "delta")).unionAll(run(back, "back"))
 
 
 # ---- delivery state -----------------------------------------------------------------------------------------
@@ -219,11 +308,10 @@ def allocate_identifiers(t: Tables) -> DataFrame:
     """Two runs: the patients of one segment, then all; what the first issued is staged and not issued again."""
     pool = t.part.where("p_type <> 'PROMO'").select(F.col("p_partkey").alias("number"))
     everyone = t.customer.select(F.col("c_custkey").alias("person_id"), "c_mktsegment")
-    path, schema = t.scratch("identifiers"), staged_schema("identifiers")
-    for run, patients in enumerate((everyone.where("c_mktsegment = 'BUILDING'"), everyone)):
-        staged = readers.read_staged(t.spark, path, schema, first_run=run == 0)
-        writers.append_rows(registration.issued_identifiers(patients, pool, "number", PARENT, staged), path)
-    return readers.read_staged(t.spark, path, schema)
+    ledger = Ledger.of(t.spark, t.scratch("identifiers"), "identifiers")
+    for patients in (everyone.where("c_mktsegment = 'BUILDING'"), everyone):
+        ledger.load(lambda staged, patients=patients: registration.issued_identifiers(patients, pool, "number", PARENT, staged))
+    return ledger.staged().select(*ledger.schema.names)
 
 
 # ---- finders ------------------------------------------------------------------------------------------------

@@ -73,6 +73,13 @@ def encounters(src: Tables, patients: DataFrame, location_uuids: Sequence[str],
     return mapped.withColumn("response_code", F.lit(None).cast("string"))
 
 
+def encounters_that_may_come(src: Tables, location_uuids: Sequence[str]) -> DataFrame:
+    """Encounters that lack at most their patient: in force, at the chosen locations, of a known type."""
+    rows = at_locations(src, "encounter", location_uuids).where(F.col("voided") == 0)
+    types = src["encounter_type"].select(F.col("encounter_type_id").alias("encounter_type"))
+    return rows.join(dimension(types), "encounter_type", "left_semi").select(*src["encounter"].columns)
+
+
 def visits(src: Tables, patients: DataFrame, location_uuids: Sequence[str], staged: DataFrame | None = None,
            look_back: int | None = None) -> DataFrame:
     """Visits in force with at least one encounter of a staged patient at the chosen locations.
