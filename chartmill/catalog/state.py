@@ -12,10 +12,10 @@ from chartmill.catalog.standins import (
     PROGRAM_ID_OF_EVENT, PROGRAM_OF_EVENT, PROGRAMS_SQL, TYPES_SQL, Tables, code_of, code_of_sql, type_of_price,
 )
 from chartmill.functions import dictionaries, fixed_values as fixed
-from chartmill.operators import choose, delivery, finders, incremental
+from chartmill.operators import choose, delivery, documents, finders, incremental, outbox
 from chartmill.plans import care, registration
 from chartmill.schemas import staged_schema
-from chartmill.sources import readers, writers
+from chartmill.sources import writers
 from chartmill.sources.ledger import Ledger
 from chartmill.streaming import loads
 
@@ -288,6 +288,69 @@ def gate_program(t: Tables) -> DataFrame:
         "patient_program_id", "target_program_uuid", "target_patient_uuid", "state", "response_code")
 
 
+# ---- delivery, each document once ---------------------------------------------------------------------------
+
+NOON = "TIMESTAMP_NTZ'2024-03-01 12:00:00'"
+
+
+def visit_papers(t: Tables) -> DataFrame:
+    return documents.visit_documents(t.orders.select(
+        F.col("o_orderkey").alias("visit_id"), F.concat(F.lit("P-"), F.col("o_custkey").cast("string")).alias("target_patient_uuid"),
+        F.col("o_orderdate").alias("date_started"), F.lit(None).cast("timestamp_ntz").alias("date_stopped")))
+
+
+@query("numbered_queue", """
+    SELECT o_orderkey AS visit_id, row_number() OVER (ORDER BY o_orderstatus <> 'F', o_orderkey) AS queue_number FROM orders""")
+def numbered_queue(t: Tables) -> DataFrame:
+    """The finished visits are queued, then all, then all again: each once, oldest first behind what was queued before."""
+    box = outbox.Outbox(t.spark, t.scratch("outbox"))
+    finished = t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("visit_id"))
+    papers = visit_papers(t)
+    for rows in (papers.join(finished, "visit_id", "left_semi"), papers, papers):
+        box.put(rows, "visit", "visit_id")
+    return box.queue.staged().select(F.col("key").cast("long").alias("visit_id"), "queue_number")
+
+
+def delivered_in_rounds(t: Tables) -> outbox.Outbox:
+    """Four rounds of sending at 12:00, 12:03, 12:07 and 13:30, each run twice.  By the last digit of the visit id the receiver
+    answers 201 at once (0 to 3), 500 and then 201 (4 to 6), always 500 (7, 8), or never (9)."""
+    box = outbox.Outbox(t.spark, t.scratch("outbox"), retry_minutes=5, timeout_minutes=60)
+    box.put(visit_papers(t), "visit", "visit_id")
+    for minute in (0, 3, 7, 90):
+        now = F.expr(f"{NOON} + INTERVAL {minute} MINUTE")
+        sent = box.send(now)
+        box.send(now)  # what is on its way is not sent again
+        digit = F.pmod(F.col("key").cast("long"), F.lit(10))
+        good = (digit <= 3) | ((digit <= 6) & (F.col("attempt") > 1))
+        answers = sent.where(digit < 9).select("entity", "document_hash", "attempt", now.alias("at"), F.when(good, "201").otherwise("500").alias("code"), F.when(good, F.concat(F.lit("V-"), "key")).alias("uuid"))
+        box.answer(answers)
+        box.answer(answers)  # answers may come twice
+    return box
+
+
+@query("outbox_rounds", """
+    SELECT o_orderkey AS visit_id, CASE WHEN d <= 6 THEN 'delivered' WHEN d <= 8 THEN 'retry' ELSE 'sent' END AS state,
+           CASE WHEN d <= 3 THEN 1 WHEN d <= 6 THEN 2 WHEN d <= 8 THEN 3 ELSE 2 END AS attempt,
+           CASE WHEN d <= 6 THEN '201' WHEN d <= 8 THEN '500' END AS code, CASE WHEN d <= 6 THEN 'V-' || o_orderkey END AS target_uuid,
+           CASE WHEN d <= 6 THEN NULL WHEN d <= 8 THEN TIMESTAMP '2024-03-01 13:50:00' ELSE TIMESTAMP '2024-03-01 14:30:00' END AS due_at
+    FROM (SELECT *, o_orderkey % 10 AS d FROM orders)""")
+def outbox_rounds(t: Tables) -> DataFrame:
+    """A 201 ends it, a 500 comes due after five minutes, then ten, then twenty, and silence after an hour."""
+    told = delivered_in_rounds(t).states(F.expr(f"{NOON} + INTERVAL 95 MINUTE"))
+    return told.select(F.col("key").cast("long").alias("visit_id"), "state", "attempt", "code", "target_uuid", "due_at")
+
+
+@query("outbox_attempts", """
+    SELECT o_orderkey AS visit_id, unnest(CASE WHEN d <= 3 THEN [0] WHEN d <= 6 THEN [0, 7] WHEN d <= 8 THEN [0, 7, 90] ELSE [0, 90] END) AS minute
+    FROM (SELECT *, o_orderkey % 10 AS d FROM orders)""")
+def outbox_attempts(t: Tables) -> DataFrame:
+    """When each document was sent: never while it is on its way, waits or has been delivered."""
+    box = delivered_in_rounds(t)
+    sent = box.events.staged().where("event = 'sent'")
+    minute = F.timestamp_diff("MINUTE", F.expr(NOON), F.col("at")).cast("int").alias("minute")
+    return sent.join(box.queue.staged().select("document_hash", "key"), "document_hash").select(F.col("key").cast("long").alias("visit_id"), minute)
+
+
 # ---- identifiers from a pool --------------------------------------------------------------------------------
 
 

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartmill.functions.columns import natural_uuid
 from chartmill.operators.choose import pick_one
+from chartmill.operators.lookups import new_rows
 from chartmill.schemas import GIVEN_UUID, STAGED_KEYS
 
 
@@ -53,6 +55,15 @@ def write_snapshot(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_outbox(documents: DataFrame, path: str, entity: str) -> None:
-    """Queue documents for the sender, one per row, in one folder per entity."""
-    queued = documents.withColumn("entity", F.lit(entity))
-    queued.write.mode("append").partitionBy("entity").parquet(path)
+    """Queue documents for the sender, one per row, in one folder per entity; what is queued already is left out, so a
+    repeated run adds nothing.  `operators.outbox` adds numbers and attempts to this."""
+    queued = documents.withColumns({"entity": F.lit(entity), "document_hash": F.sha2(F.to_json(F.struct(*documents.columns)), 256)})
+    try:
+        before = queued.sparkSession.read.schema(queued.schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        before = queued.limit(0)
+    keys = ["entity", "document_hash"]
+    fresh = new_rows(queued, before.where(F.col("entity") == entity), keys)
+    fresh.write.mode("append").partitionBy("entity").parquet(path)
