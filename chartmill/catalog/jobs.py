@@ -291,14 +291,17 @@ TRIAGE_SQL = f"""
     FROM wide JOIN orders ON encounter_id = o_orderkey"""
 
 
-def triage_of(t: Tables, staged: DataFrame | None) -> DataFrame:
-    """The sizes of the parts are the concepts."""
+def triage_source(t: Tables, lines: str = "true") -> dict[str, DataFrame]:
+    """The measurements of some lines, and what they need; the sizes of the parts are the concepts."""
     at = t.orders.select(
         F.col("o_orderkey").alias("encounter_id"), F.col("o_orderdate").alias("encounter_datetime"),
         F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderkey")).alias("visit_id"))
     concept = t.encounter_type.select(F.col("encounter_type_id").alias("concept_id"), F.col("name").alias("uuid"))
-    src = {"obs": t.signs, "encounter": at, "concept": concept}
-    return care.triage(src, None, staged, measures=VITAL_SIGNS, concept_uuids=[f"SIZE {n}" for n in VITAL_SIGNS])
+    return {"obs": t.signs.where(lines.replace("l_linenumber", "concept_id")), "encounter": at, "concept": concept}
+
+
+def triage_of(t: Tables, staged: DataFrame | None) -> DataFrame:
+    return care.triage(triage_source(t), None, staged, measures=VITAL_SIGNS, concept_uuids=[f"SIZE {n}" for n in VITAL_SIGNS])
 
 
 @query("job_triage", TRIAGE_SQL + " WHERE o_orderdate >= TIMESTAMP '1996-01-01'")
@@ -357,7 +360,7 @@ def job_enrollment_summary(t: Tables) -> DataFrame:
 # ---- reports ------------------------------------------------------------------------------------------------
 
 
-@query("job_regimens", f"""
+REGIMENS_SQL = f"""
     WITH signs AS ({SIGNS_SQL}),
          started AS (SELECT person_id, value_coded, min(encounter_id) AS encounter_id
                      FROM signs JOIN orders ON encounter_id = o_orderkey WHERE concept_id = 1 AND voided = 0 AND o_orderstatus <> 'P'
@@ -368,12 +371,18 @@ def job_enrollment_summary(t: Tables) -> DataFrame:
          reasons AS (SELECT encounter_id, min(p_name) AS reason_for_change FROM signs JOIN part ON value_coded = p_partkey
                      WHERE concept_id IN (6, 7) AND voided = 0 GROUP BY encounter_id)
     SELECT person_id, encounter_id, CAST(1 AS INTEGER) AS concept_id, value_coded, o_orderdate AS encounter_datetime, regimen, reason_for_change
-    FROM regimen JOIN orders ON encounter_id = o_orderkey LEFT JOIN reasons USING (encounter_id)""")
-def job_regimens(t: Tables) -> DataFrame:
+    FROM regimen JOIN orders ON encounter_id = o_orderkey LEFT JOIN reasons USING (encounter_id)"""
+
+
+def regimen_source(t: Tables, lines: str = "true") -> dict[str, DataFrame]:
     at = t.orders.select(F.col("o_orderkey").alias("encounter_id"), F.col("o_orderdate").alias("encounter_datetime"),
                          (F.col("o_orderstatus") == "P").cast("int").alias("voided"))
-    src = {"obs": t.signs, "encounter": at, "concept_name": t.concept_name}
-    return reports.regimens(src, drug_concept=1, change_concepts=[6, 7])
+    return {"obs": t.signs.where(lines.replace("l_linenumber", "concept_id")), "encounter": at, "concept_name": t.concept_name}
+
+
+@query("job_regimens", REGIMENS_SQL)
+def job_regimens(t: Tables) -> DataFrame:
+    return reports.regimens(regimen_source(t), drug_concept=1, change_concepts=[6, 7])
 
 
 def patient_types_sql(transfer: bool) -> str:

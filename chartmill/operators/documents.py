@@ -183,3 +183,20 @@ def read_responses(df: DataFrame, body: str = "body") -> DataFrame:
         "person_uuid": F.col("_parsed.person.uuid"),
         "identifier_value": F.get(F.col("_parsed.results"), 0)["identifierValue"],
     }).drop("_parsed")
+
+
+def read_responses_or_reject(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """What `read_responses` gives for answers that are readable, and the others as they are, with a `reason`.
+
+    Every answer is in one of the two.  An answer that lacks a uuid is readable; a null one is not.
+    """
+    shape = "uuid string, person struct<uuid:string>, results array<struct<identifierValue:string>>"
+    broken = F.from_json(F.col(body), f"{shape}, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})["_broken"]
+    text = F.trim(F.col(body))
+    reason = (
+        F.when(F.coalesce(text, F.lit("")) == "", "no answer")
+        .when(~text.startswith("{"), "not an object")
+        .when(broken.isNotNull(), "unreadable")
+    )
+    told = df.withColumn("reason", reason)
+    return read_responses(told.where("reason is null").drop("reason"), body), told.where("reason is not null")

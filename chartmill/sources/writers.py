@@ -10,14 +10,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from chartmill.functions.columns import natural_uuid
 from chartmill.operators.choose import pick_one
 from chartmill.operators.lookups import new_rows
 from chartmill.schemas import GIVEN_UUID, STAGED_KEYS
 
+#: The column that names a range, and how many files a range is written in.
+RANGE, FILES = "key_range", 4
+
 
 def with_row_id(df: DataFrame, keys: Sequence[str], alias: str = "row_id") -> DataFrame:
     """A surrogate key out of the natural key; no global counter, and the same on every retry."""
@@ -48,6 +52,33 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.unionByName(source.select(*target.columns))
 
 
+def key_range(key: str, width: int) -> Column:
+    """The range of `width` keys that a number falls in."""
+    return F.floor(F.col(key) / width).cast("long")
+
+
+def write_ranges(df: DataFrame, path: str, key: str, width: int) -> None:
+    """A table in folders of `width` keys each, for `upsert_ranges`; readers leave out the column `key_range` that the folders name."""
+    df.withColumn(RANGE, key_range(key, width)).write.mode("errorifexists").partitionBy(RANGE).parquet(path)
+
+
+def upsert_ranges(path: str, schema: StructType, source: DataFrame, keys: Sequence[str], key: str, width: int, scratch: str) -> None:
+    """`upsert` in place, by copying the ranges of `key` that the source touches and no others.
+
+    The new ranges are written to `scratch` first, a folder that must not exist, and then put in place of the old ones.  A run that is killed in between is
+    run again: putting the same rows in twice changes nothing.  Choose the width so that a range is some files.
+    """
+    spark = source.sparkSession
+    target = spark.read.schema(StructType([*schema, StructField(RANGE, LongType())])).parquet(path)
+    change = source.withColumn(RANGE, key_range(key, width))
+    touched = [r[0] for r in change.select(RANGE).distinct().collect()]
+    old = target.where(F.col(RANGE).isin(touched))
+    new = upsert(old.select(*schema.names), source.select(*schema.names), keys).withColumn(RANGE, key_range(key, width))
+    new.write.parquet(scratch)
+    made = spark.read.schema(target.schema).parquet(scratch)
+    made.repartition(RANGE, F.pmod(F.hash(*keys), F.lit(FILES))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RANGE).parquet(path)
+
+
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Write to a folder that must not exist yet and read it back."""
     df.write.mode("errorifexists").parquet(path)
