@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import row_key, written
+from chartmill.llm.shared import bounded, row_key, written
 
 #: Which words of a window are hashed.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 6, 7), (0, 2, 3, 5, 8))
@@ -121,6 +121,6 @@ def report(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The documents that hold no benchmark passage, as they are."""
-    # Written, their size is known, so that the documents are only shuffled if there are many.
-    found = written(overlaps(docs, benchmark, **settings).select("key").distinct(), "contaminated")
+    # The documents are only shuffled if there are very many.
+    found = bounded(written(overlaps(docs, benchmark, **settings).select("key").distinct(), "contaminated"))
     return docs.select(F.struct("*").alias("doc"), row_key("doc_id", "text").alias("key")).join(found, "key", "left_anti").select("doc.*")

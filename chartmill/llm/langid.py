@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import in_arrow, row_key, written
+from chartmill.llm.shared import bounded, in_arrow, row_key, written
 from chartmill.llm.tokens import mixed, slices
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -179,6 +179,6 @@ def accepted(docs: DataFrame, languages: Sequence[str] = LANGUAGES, per_language
     key = row_key("doc_id", "text", "lang", "source").alias("key")
     keyed = docs.select(key, F.lower(F.coalesce(F.col("lang").cast("string"), F.lit(""))).alias("declared"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"), F.lit("").alias("suffix"), "text")
     found = fused(likelihoods(keyed, "text", learnt(docs, languages, per_language), False, temper), languages)
-    # Few are rejected, if any.  Written, their size is known, so that the documents are only shuffled if there are many.
-    rejected = written(found.where("not accepted").select("key").distinct(), "rejected")
+    # Few are rejected, if any; the documents are only shuffled if there are very many.
+    rejected = bounded(written(found.where("not accepted").select("key").distinct(), "rejected"))
     return docs.select(F.struct("*").alias("doc"), key).join(rejected, "key", "left_anti").select("doc.*")

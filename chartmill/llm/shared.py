@@ -38,13 +38,25 @@ def mounted(folder: str) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The table written to the shared folder and read again: lineage ends here, and nothing is known of its partitioning,
-    so that a join after it shuffles both sides and adaptive execution can split a hot key."""
+    so that a join after it shuffles both sides and adaptive execution can split a hot key.
+
+    The tables stand in the folder `llm` of the shared folder.  A result is planned over them, so they must stay until it
+    is written; whoever runs the job deletes that folder then, as no operator can know when its result has been read."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of keys that are broadcast where a count finds no more; some 25 MB in each executor.
+BROADCAST_KEYS = 250_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_KEYS) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it has no more than `rows`; beyond, joins shuffle both sides."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def in_arrow(rows: DataFrame, function: Callable, schema: str) -> DataFrame:
     """mapInArrow by a function of this package.  Python workers of a local master find the package also where the program
     was started in another folder; on a cluster it is installed or sent with the job."""

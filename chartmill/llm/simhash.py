@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import components, in_arrow, row_key, split_hot, written
+from chartmill.llm.shared import bounded, components, in_arrow, row_key, split_hot, written
 
 SLICE = 1 << 16
 PARTS = 3
@@ -181,11 +181,12 @@ def deduplicated(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFr
     rows = written(grouped(docs, shingle, distance).select("doc_id", "key", "component"), "grouped")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key"))["key"]
     chosen = written(rows.groupBy("component").agg(first.alias("key")).select("key"), "chosen")
-    # Written, their size is known, so that the documents are only shuffled if there are many.
-    dropped = written(rows.select("key").join(chosen, "key", "left_anti").distinct(), "dropped")
+    # The documents are only shuffled if there are very many.
+    dropped = bounded(written(rows.select("key").join(chosen, "key", "left_anti").distinct(), "dropped"))
     kept = docs.select(F.struct("*").alias("doc"), row_key("doc_id", "text").alias("key")).join(dropped, "key", "left_anti")
     # A chosen row that stands in the table more than once.
     repeated = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").join(chosen, "key", "left_semi").select("key"), "repeated")
+    repeated = bounded(repeated)
     once = kept.join(repeated, "key", "left_anti")
     if repeated.limit(1).count():
         once = once.unionByName(kept.join(repeated, "key", "left_semi").dropDuplicates(["key"]))

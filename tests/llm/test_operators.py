@@ -734,3 +734,41 @@ def test_permutation(spark):
     some = [0, 1, 2, 12345, n // 2, n - 2, n - 1]
     frame = spark.createDataFrame([(i,) for i in some], "id long").select("id", mixing.permuted(F.col("id"), F.lit(n), F.lit(3), F.lit(1), 7).alias("x"))
     assert {r["id"]: r["x"] for r in frame.collect()} == {i: (a * i + b) % n for i in some}
+
+
+def long_texts(n):
+    """A text of n secrets of one kind each, with a name of another in between."""
+    rng = random.Random(n)
+    return [(1, " ".join(f"{rng.getrandbits(128):032x}" for _ in range(n)), "en", "a"), (2, " ".join(f"x{random_token(rng, 30)} AKIA{'A' * 16}" for _ in range(n // 2)), "en", "a"),
+            (3, "".join(f"token={i:08d} é " for i in range(n)), "en", "a"), (4, "A1b" * n, "en", "a")]
+
+
+def test_secrets_of_long_texts(spark):
+    """Very many matches in one text: the same spans and masked text as by a plain walk."""
+    every = long_texts(2000)
+    found = {r["doc_id"]: r for r in secrets.report(table(spark, every)).collect()}
+    masked = {r["doc_id"]: r["text"] for r in secrets.masked(table(spark, every)).collect()}
+    for i, t, _, _ in every:
+        spans = [tuple(s.split(":")) for s in found[i]["spans"].split(",") if s]
+        assert [s for s in spans if s[0] != "random"] == [(k, str(a), str(b)) for a, _, b, k in fixed_spans(t)]
+        want, at = "", 0
+        for _, a, b in spans:
+            if int(a) >= at:
+                want += t[at:int(a)] + "[SECRET]"
+            at = max(at, int(b))
+        assert masked[i] == (want + t[at:] if spans else t)
+    assert found[2]["n_random"] > 500 and found[1]["n_hex"] == 2000 and found[3]["n_assign"] == 2000
+
+
+def test_secrets_time_grows_with_the_text(spark):
+    import time
+    seconds = {}
+    for n in (500, 8_000, 32_000):
+        docs = table(spark, long_texts(n)).cache()
+        docs.count()
+        start = time.perf_counter()
+        secrets.report(docs).write.format("noop").mode("overwrite").save()
+        seconds[n] = time.perf_counter() - start
+        docs.unpersist()
+    # The shortest one is what any scan takes.
+    assert seconds[32_000] - seconds[500] <= 4.5 * max(1.0, seconds[8_000] - seconds[500]), seconds
