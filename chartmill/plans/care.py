@@ -111,13 +111,11 @@ def orders(src: Tables, patients: DataFrame, dictionary: DataFrame, staged: Data
         "order_reason", "order_reason_non_coded", "order_number", "order_action", "care_setting", "date_created")
     if staged is not None and look_back is not None:
         reasoned = after_cursor(reasoned, "date_created", staged, inclusive=True, look_back=look_back)
-    if staged is not None:
-        # Staged orders go out while the rows are plain; what is left is a delta.
-        reasoned = anti_staged(reasoned, staged, ["uuid"])
     types = src["encounter_type"].select("encounter_type_id")
     at = src["encounter"].select("encounter_id", F.col("encounter_type").alias("encounter_type_id"))
     placed = reasoned.join(at, "encounter_id").join(dimension(types), "encounter_type_id", "left_semi")
-    single = pick_one(placed, ["uuid"], ["date_created", "order_id"])
+    # One shuffle by uuid serves the choice of a row and the anti-join.
+    single = _not_staged(placed, staged, ["uuid"], ["date_created", "order_id"])
     mapped = dictionaries.map_codes(
         single, dictionaries.encounter_types(spark).drop("target_type_id"), "encounter_type_id", "encounter_type_id", "")
     known = lookup_first(mapped, patients, {"patient_id": "person_id"}, {"target_patient_uuid": "_patient"})
