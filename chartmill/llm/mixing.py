@@ -1,11 +1,11 @@
 """Mixing sources to target weights.
 
 The words of each source, document after document in hashed order, are packed into blocks of `block` words.  The output
-is a number of slots, dealt into shards.  In each shard the slots' sources are a multinomial draw, made with little variance
-(systematic resampling): slot j of n takes the source at (j + x) / n of the cumulative shares, x being the shard's offset.
-So a source's slots in a shard, and over all shards, are within one or a few of what its share asks for.  The draws of a source, counted
-through all shards, pass through a pseudorandom permutation of the source's block indices, another one for each pass over
-the source, and slots and blocks are joined by that index.
+is a number of slots, dealt into shards.  In each shard the slots' sources are a multinomial draw: every slot takes a source by a hashed
+uniform number and the cumulative shares.  Over all shards a source then has some more or fewer slots than its share asks for; what it
+has too many is taken back evenly over its shards, and the freed slots are given to the sources that lack some, so that totals are
+within one slot of the shares.  The draws of a source, counted through all shards, pass through a pseudorandom permutation
+of the source's block indices, another one for each pass over the source, and slots and blocks are joined by that index.
 
 Sources are numbered by code point, null last, and weigh 1, 2, 3, repeating (`weights`).  They share as many words as there
 are in all; no target exceeds `most` times its source's words, and the excess is shared anew by weight.  No block is taken
@@ -23,19 +23,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartmill.llm.shared import WORD, words_of, written
+from chartmill.llm.shared import WORD, let, row_key, words_of, written
 
 CELLS = 4096
 BUCKET_ROWS = 2048
-#: Shards whose slots of a source are written out together.
-CHUNK_SHARDS = 256
-GOLDEN = 0.6180339887498949
+#: Buckets of a source whose running sums are made together, and shards whose slots of a source are written out together.
+CHUNK_BUCKETS, CHUNK_SHARDS = 2048, 256
 #: Broadcast only if counted to be no more than this.
 SMALL = 50_000
-#: Primes far above any number of blocks of a source: multipliers that share no factor with it.
-PRIMES = (2305843009213693951, 2305843009213693921, 2305843009213693907, 2305843009213693723, 2305843009213693693, 2305843009213693669, 2305843009213693613, 2305843009213693561)
-#: Products of half a multiplier and an index stay within 63 bits below this many blocks of a source.
-MOST_BLOCKS = 1 << 42
+#: Walks of the permutation: more than enough for any number of blocks, see `permuted`.
+WALKS = 32
+#: Parts of an index and a hash add up within a long below this many blocks of a source.
+MOST_BLOCKS = 1 << 60
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -61,70 +60,112 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), most: i
     return rows.select("source", "nr", "source_size", target.alias("target"), "docs")
 
 
-def packed(docs: DataFrame, with_text: bool) -> DataFrame:
-    """The documents as written rows with their number of words."""
-    columns = ["doc_id", "source", *(["text"] if with_text else [])]
-    rows = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), words_of(F.col("text").cast("string")).alias("size"),
-                       F.xxhash64(F.col("text").cast("string")).alias("text_hash"), *([F.col("text").cast("string").alias("text")] if with_text else []))
-    return written(rows.select(*columns, "size", "text_hash", F.monotonically_increasing_id().alias("row")), "sized")
+def sized(docs: DataFrame) -> DataFrame:
+    """The documents as written rows without their texts: doc_id, source, number of words, and `key`, that of the columns used."""
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), words_of(F.col("text").cast("string")).alias("size"), key())
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "sized")
+
+
+def key() -> Column:
+    return row_key("doc_id", "source", "text").alias("key")
+
+
+def running(rows: DataFrame, group: str, at: str, amount: str, chunk: int, alias: str) -> DataFrame:
+    """Adds how much the rows of a group before `at` add up to, at being counted from 0.  In two steps, so that a
+    group with very many rows is not one task: within chunks of `chunk` places, and over chunks."""
+    placed = rows.withColumn("_chunk", F.floor(F.col(at) / chunk))
+    over = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(group, "_chunk").agg(F.sum(amount).alias("_sum"))
+    starts = sums.select(F.col(group).alias("_group"), F.col("_chunk").alias("_of"), F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(group, "_chunk").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("_before", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    met = placed.join(starts, placed[group].eqNullSafe(starts["_group"]) & (placed["_chunk"] == starts["_of"]))
+    return met.withColumn(alias, F.col("_start") + F.col("_before")).drop("_chunk", "_group", "_of", "_start", "_before")
 
 
 def offsets(base: DataFrame, n_docs: int, seed: int) -> DataFrame:
-    """Each row, without its text, with `start`: how many words of its source come before it.
+    """Each row with `start`: how many words of its source come before it.
 
-    Sums go in two steps, inside buckets of bounded size and over the buckets, so that a hot source is not one window."""
+    Rows are dealt into buckets of bounded size by a hash; sums go inside buckets, and over buckets in two steps."""
     buckets = max(1, -(-n_docs // BUCKET_ROWS))
-    dealt = base.drop("text").withColumn("h", F.xxhash64("doc_id", "text_hash", F.lit(seed))).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
+    dealt = base.withColumn("h", F.xxhash64("key.a", "key.b", F.lit(seed))).withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
     sums = dealt.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    over = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("source", "bucket", F.coalesce(F.sum("words").over(over), F.lit(0)).alias("bucket_start"))
+    starts = running(sums, "source", "bucket", "words", CHUNK_BUCKETS, "bucket_start").select(F.col("source").alias("s"), F.col("bucket").alias("b"), "bucket_start")
     inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
     own = dealt.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    starts = starts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "bucket_start")
     return own.join(starts, own["source"].eqNullSafe(starts["s"]) & (own["bucket"] == starts["b"])).withColumn("start", F.col("bucket_start") + F.col("before")).drop("s", "b", "h", "bucket", "before", "bucket_start")
 
 
-def draws(targets: DataFrame, n_slots: int, shard_slots: int, seed: int) -> DataFrame:
-    """(shard, nr, n): how many slots of each shard every source gets."""
+def uniform(*columns: Column | str) -> Column:
+    """A number of 53 hashed bits in [0, 1)."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") / float(1 << 53)
+
+
+def drawn_freely(targets: DataFrame, n_slots: int, shard_slots: int, seed: int) -> DataFrame:
+    """(shard, nr, n): a multinomial draw for each shard."""
     order = Window.orderBy("nr")
     total = F.sum("share").over(Window.partitionBy())
     ends = targets.where("share > 0").withColumn("hi", F.sum("share").over(order) / total).withColumn("lo", F.coalesce(F.lag("hi").over(order), F.lit(0.0)))
     ends = ends.withColumn("hi", F.when(F.lead("nr").over(order).isNull(), F.lit(2.0)).otherwise(F.col("hi")))
     last = F.lit(CELLS - 1)
     cells = ends.select("nr", "lo", "hi", F.explode(F.sequence(F.least(F.floor(F.col("lo") * CELLS), last), F.least(F.floor(F.col("hi") * CELLS), last))).alias("cell"))
-    shard = F.floor(F.col("id") / shard_slots).cast("long")
-    slots = targets.sparkSession.range(n_slots).withColumn("shard", shard)
-    inside = F.least(F.lit(shard_slots), F.lit(n_slots) - F.col("shard") * shard_slots)
-    # A shard's offset; those of following shards are spread evenly, so that sums over shards stay near their expectation.
-    opening = (seed * GOLDEN) % 1.0
-    at = F.lit(opening) + F.col("shard") * GOLDEN
-    slots = slots.withColumn("u", ((F.col("id") - F.col("shard") * shard_slots) + (at - F.floor(at))) / inside)
+    slots = targets.sparkSession.range(n_slots).select(F.floor(F.col("id") / shard_slots).cast("long").alias("shard"), uniform("id", F.lit(seed), F.lit("slot")).alias("u"))
     slots = slots.withColumn("cell", F.least(F.floor(F.col("u") * CELLS), last))
-    drawn = slots.join(small(cells), "cell").where("u >= lo and u < hi")
-    return drawn.groupBy("shard", "nr").agg(F.count("*").alias("n"))
+    return slots.join(small(cells), "cell").where("u >= lo and u < hi").groupBy("shard", "nr").agg(F.count("*").alias("n"))
+
+
+def asked(targets: DataFrame) -> DataFrame:
+    """(nr, asked): the shares as whole numbers of slots, each within one of its share, with the sum of all."""
+    up_to = F.sum("share").over(Window.orderBy("nr"))
+    whole = targets.select("nr", F.floor(up_to + 0.5).cast("long").alias("up_to"))
+    return whole.select("nr", (F.col("up_to") - F.coalesce(F.lag("up_to").over(Window.orderBy("nr")), F.lit(0))).alias("asked"))
+
+
+def draws(targets: DataFrame, n_slots: int, shard_slots: int, seed: int) -> DataFrame:
+    """(shard, nr, n): how many slots of each shard every source gets: a multinomial draw whose totals are put right."""
+    free = written(drawn_freely(targets, n_slots, shard_slots, seed), "free")
+    totals = free.groupBy("nr").agg(F.sum("n").alias("drawn"))
+    odds = asked(targets).join(totals, "nr", "full").select("nr", F.coalesce("drawn", F.lit(0)).alias("drawn"), (F.coalesce("drawn", F.lit(0)) - F.coalesce("asked", F.lit(0))).alias("over"))
+    before = Window.orderBy("nr").rowsBetween(Window.unboundedPreceding, -1)
+    much, less = F.greatest("over", F.lit(0)), F.greatest(-F.col("over"), F.lit(0))
+    odds = written(odds.withColumns({"freed_before": F.coalesce(F.sum(much).over(before), F.lit(0)), "lacking_before": F.coalesce(F.sum(less).over(before), F.lit(0))}), "odds")
+    # A source that has too many gives back every so many-th of its slots, so its shards lose in proportion.
+    rich = odds.where("over > 0").select(F.col("nr").alias("of"), "drawn", "over", "freed_before")
+    counted = running(free, "nr", "shard", "n", CHUNK_SHARDS, "first").join(small(rich), F.col("nr") == F.col("of"), "left")
+    back = lambda upto: F.expr(f"({upto}) * over div drawn")
+    counted = counted.withColumns({"low": back("first"), "high": back("first + n")})
+    kept = counted.select("shard", "nr", (F.col("n") - F.coalesce(F.col("high") - F.col("low"), F.lit(0))).alias("n"))
+    freed = counted.where("high > low").select("shard", F.explode(F.sequence(F.col("freed_before") + F.col("low"), F.col("freed_before") + F.col("high") - 1)).alias("place"))
+    # The freed slots, numbered through, are given to the sources that lack some, one after the other.
+    poor = odds.where("over < 0").select("nr", F.col("lacking_before").alias("lo"), (F.col("lacking_before") - F.col("over")).alias("hi"))
+    poor = poor.withColumn("cell", F.explode(F.sequence(F.expr(f"lo div {CELLS}"), F.expr(f"(hi - 1) div {CELLS}"))))
+    given = freed.withColumn("cell", F.expr(f"place div {CELLS}")).join(small(poor), "cell").where("place >= lo and place < hi").groupBy("shard", "nr").agg(F.count("*").alias("n"))
+    return kept.unionByName(given).groupBy("shard", "nr").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def permuted(index: Column, n: Column, nr: Column, turn: Column, seed: int) -> Column:
-    """A one-to-one map of 0 .. n-1: i -> a * i + b mod n with a hashed prime a above n and a hashed b.
+    """A one-to-one map of 0 .. n-1: a Feistel network keyed by source, turn and seed, over the places of a table of a by b
+    cells, a being the root of n rounded up and b as few as hold n; a place outside 0 .. n-1 walks on until it is inside.
+
+    There are fewer than a places outside, so up to n = WALKS^2 every walk ends in time; beyond, a place lies outside with
+    a chance below 1 / WALKS, and WALKS times in a row with one below 2^-160."""
+    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    b = F.ceil(n / a).cast("long")
+    hashed = lambda x, round_: F.shiftrightunsigned(F.xxhash64(x, nr, turn, F.lit(seed), F.lit(round_)), 2)
+
+    def network(x: Column) -> Column:
+        halves = F.struct(F.floor(x / b).cast("long").alias("l"), F.pmod(x, b).alias("r"))
+        for round_ in (0, 2):
+            halves = let(halves, lambda h, k=round_: F.struct(F.pmod(h["l"] + hashed(h["r"], k), a).alias("l"), h["r"].alias("r")))
+            halves = let(halves, lambda h, k=round_ + 1: F.struct(h["l"].alias("l"), F.pmod(h["r"] + hashed(h["l"], k), b).alias("r")))
+        return let(halves, lambda h: h["l"] * b + h["r"])
 
-    The multiplier is taken in two halves of 21 bits, so that no product leaves a long."""
-    primes = F.array(*(F.lit(p) for p in PRIMES))
-    a = F.pmod(F.get(primes, F.pmod(F.xxhash64(nr, turn, F.lit(seed), F.lit("a")), F.lit(len(PRIMES))).cast("int")), n)
-    b = F.pmod(F.xxhash64(nr, turn, F.lit(seed), F.lit("b")), n)
-    half = 1 << 21
-    upper = F.pmod(F.pmod(F.shiftright(a, 21) * index, n) * half, n)
-    return F.pmod(upper + F.pmod(F.pmod(a, F.lit(half)) * index, n) + b, n)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), network(index), lambda x, _: F.when(x < n, x).otherwise(network(x)))
 
 
 def slots_of(drawn: DataFrame, targets: DataFrame, most: int, seed: int) -> DataFrame:
     """(shard, slot, nr, turn, block): which block of its source each slot takes."""
-    # Sums go in two steps here too, so that a hot source's slots are written out by many tasks.
-    runs = drawn.withColumn("chunk", F.floor(F.col("shard") / CHUNK_SHARDS))
-    over = Window.partitionBy("nr").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.groupBy("nr", "chunk").agg(F.sum("n").alias("slots")).select("nr", "chunk", F.coalesce(F.sum("slots").over(over), F.lit(0)).alias("chunk_start"))
-    inside = Window.partitionBy("nr", "chunk").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, ["nr", "chunk"])
-    runs = runs.select("shard", "nr", "n", (F.col("chunk_start") + F.col("before")).alias("first"))
+    runs = running(drawn, "nr", "shard", "n", CHUNK_SHARDS, "first")
     every = runs.withColumn("k", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)))
     every = every.join(small(targets.select("nr", "blocks")), "nr").where(F.col("k") < F.col("blocks") * most)
     turn = F.floor(F.col("k") / F.col("blocks")).cast("long")
@@ -133,9 +174,9 @@ def slots_of(drawn: DataFrame, targets: DataFrame, most: int, seed: int) -> Data
     return every.withColumn("turn", turn).select("shard", slot.alias("slot"), "nr", "turn", permuted(F.pmod("k", "blocks"), F.col("blocks"), F.col("nr"), F.col("turn"), seed).alias("block"))
 
 
-def plan(docs: DataFrame, block: int, shard_slots: int, seed: int, weights: Sequence[int], most: int, with_text: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def plan(docs: DataFrame, block: int, shard_slots: int, seed: int, weights: Sequence[int], most: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The documents, the sources, the pieces of documents in blocks, and the slots with the blocks they take."""
-    base = packed(docs, with_text)
+    base = sized(docs)
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     targets = written(source_targets(base, weights, most).withColumn("blocks", blocks).withColumn("share", F.when(F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(0.0)), "targets")
     known = targets.agg(F.sum("docs"), F.sum("share"), F.max("blocks")).first()
@@ -155,7 +196,7 @@ def plan(docs: DataFrame, block: int, shard_slots: int, seed: int, weights: Sequ
 
 def taken(docs: DataFrame, block: int = 128, shard_slots: int = 1024, seed: int = 7, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
     """One row per document: doc_id, source, size, its source's size and target, and how many of its words the mix takes."""
-    _, targets, pieces, slots = plan(docs, block, shard_slots, seed, weights, most, False)
+    _, targets, pieces, slots = plan(docs, block, shard_slots, seed, weights, most)
     times = slots.groupBy("nr", "block").agg(F.count("*").alias("times"))
     met = pieces.select("row", "doc_id", "size", "nr", "block", "n_words").join(times, ["nr", "block"], "left")
     per = met.groupBy("row", "doc_id", "size", "nr").agg(F.sum(F.col("n_words") * F.coalesce("times", F.lit(0))).cast("long").alias("taken"))
@@ -165,11 +206,15 @@ def taken(docs: DataFrame, block: int = 128, shard_slots: int = 1024, seed: int
 def mixed_blocks(docs: DataFrame, block: int = 2048, shard_slots: int = 1024, seed: int = 7, weights: Sequence[int] = (1, 2, 3), most: int = 3) -> DataFrame:
     """The mixture itself: for each slot the pieces of documents in its block, in order of `piece`.  Words are joined by
     one space; a block is `block` words but for the last of a source."""
-    base, _, pieces, slots = plan(docs, block, shard_slots, seed, weights, most, True)
-    cut = pieces.where("n_words > 0").select("row", "nr", "block", F.col("start").alias("piece"), "first_word", "n_words")
+    base, _, pieces, slots = plan(docs, block, shard_slots, seed, weights, most)
+    cut = pieces.where("n_words > 0").select("key", "nr", "block", F.col("start").alias("piece"), "first_word", "n_words")
     # A document's pieces are as many as its own length asks for; its text is shuffled once and taken apart once.
-    cuts = slots.join(cut, ["nr", "block"]).groupBy("row").agg(F.collect_list(F.struct("shard", "slot", "turn", "block", "piece", "first_word", "n_words")).alias("cuts"))
-    whole = base.select("row", "doc_id", "source", "text").join(cuts, "row").withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    cuts = written(slots.join(cut, ["nr", "block"]).groupBy("key").agg(F.collect_list(F.struct("shard", "slot", "turn", "block", "piece", "first_word", "n_words")).alias("cuts")), "cuts")
+    texts = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"), key())
+    # The pieces of repeated rows are all listed under their one key.
+    if base.groupBy("key").count().where("count > 1").limit(1).count():
+        texts = texts.dropDuplicates(["key"])
+    whole = texts.join(cuts, "key").withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     each = whole.select("doc_id", "source", "words", F.explode("cuts").alias("cut")).select("doc_id", "source", "words", "cut.*")
     text = F.array_join(F.slice("words", (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int")), " ")
     return each.select("shard", "slot", "source", "turn", "block", "piece", "doc_id", "first_word", "n_words", text.alias("text"))

@@ -728,12 +728,41 @@ def test_permutation(spark):
     for n in (1, 2, 7, 1000):
         frame = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(3), F.lit(1), 7).alias("x"))
         assert sorted(r["x"] for r in frame.collect()) == list(range(n))
-    # As many blocks as are allowed: equal to exact arithmetic, so no product left a long.
+    # Each pass and source has its own order, which is no stride: steps between neighbours are nearly all different.
+    for n in (1023, 1025, 30_000):
+        frame = spark.range(n).select("id", *(mixing.permuted(F.col("id"), F.lit(n), F.lit(3), F.lit(turn), 7).alias(f"x{turn}") for turn in (0, 1)))
+        got = sorted(map(tuple, frame.collect()))
+        assert sorted(x for _, x, _ in got) == sorted(y for _, _, y in got) == list(range(n))
+        assert sum(x == y for _, x, y in got) < 20
+        assert len({(b[1] - a[1]) % n for a, b in itertools.pairwise(got)}) > n / 2
+    # As many blocks as are allowed, and still inside.
     n = mixing.MOST_BLOCKS - 1
-    a, b = spark.range(1).select(F.get(F.array(*(F.lit(p) for p in mixing.PRIMES)), F.pmod(F.xxhash64(F.lit(3), F.lit(1), F.lit(7), F.lit("a")), F.lit(len(mixing.PRIMES))).cast("int")), F.pmod(F.xxhash64(F.lit(3), F.lit(1), F.lit(7), F.lit("b")), F.lit(n))).first()
     some = [0, 1, 2, 12345, n // 2, n - 2, n - 1]
-    frame = spark.createDataFrame([(i,) for i in some], "id long").select("id", mixing.permuted(F.col("id"), F.lit(n), F.lit(3), F.lit(1), 7).alias("x"))
-    assert {r["id"]: r["x"] for r in frame.collect()} == {i: (a * i + b) % n for i in some}
+    frame = spark.createDataFrame([(i,) for i in some], "id long").select(mixing.permuted(F.col("id"), F.lit(n), F.lit(3), F.lit(1), 7).alias("x"))
+    got = [r["x"] for r in frame.collect()]
+    assert len(set(got)) == len(some) and all(0 <= x < n for x in got)
+
+
+def test_draws(spark):
+    """Counts of a shard vary as a multinomial draw does, and totals are what the shares ask for."""
+    shares = [0.4, 100.3, 5000.0, 12_000.7, 7_900.6]
+    targets = spark.createDataFrame([(i + 1, s) for i, s in enumerate(shares)], "nr int, share double")
+    n, shard = round(sum(shares)), 250
+    shards = n // shard
+    free = collections.Counter({(r["shard"], r["nr"]): r["n"] for r in mixing.drawn_freely(targets, n, shard, 7).collect()})
+    put_right = collections.Counter({(r["shard"], r["nr"]): r["n"] for r in mixing.draws(targets, n, shard, 7).collect()})
+    for counts in (free, put_right):
+        assert sum(counts.values()) == n and all(sum(counts[s, i + 1] for i in range(len(shares))) == shard for s in range(shards))
+        for i, share in list(enumerate(shares))[2:]:
+            p, got = share / sum(shares), [counts[s, i + 1] for s in range(shards)]
+            mean = sum(got) / shards
+            # The variance of a binomial count is n p (1 - p); that of systematic draws would be below 1.
+            assert 0.6 < sum((x - mean) ** 2 for x in got) / (shards - 1) / (shard * p * (1 - p)) < 1.5
+    for i, share in enumerate(shares):
+        assert abs(sum(x for (_, nr), x in put_right.items() if nr == i + 1) - share) <= 1
+    moved = sum((free - put_right).values())
+    assert 0 < moved < 4 * n ** 0.5 * len(shares)
+    assert sorted(map(tuple, mixing.draws(targets.repartition(3), n, shard, 7).collect())) == sorted((s, nr, x) for (s, nr), x in put_right.items())
 
 
 def long_texts(n):
