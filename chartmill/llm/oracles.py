@@ -135,20 +135,29 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(e.vec_id = co
 FROM e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) c ON c.a = e.vec_id LEFT JOIN low ON low.a = e.vec_id"""
 
 
+# A turn without a number comes before all others.
 OP5 = """
-WITH rows AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-last AS (SELECT conv_id, max(turn) AS last FROM rows WHERE role = 'assistant' GROUP BY conv_id),
-mine AS (SELECT a.conv_id, a.last, xor(a.conv_id, 1) AS partner, b.last AS other FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
-c AS (SELECT conv_id AS pair_id, turn, role, text FROM rows JOIN mine USING (conv_id)),
+WITH rows AS (SELECT DISTINCT conv_id, coalesce(turn, -9223372036854775808) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+last AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'assistant') AS last FROM rows GROUP BY conv_id),
+mine AS (SELECT a.conv_id, a.last, xor(a.conv_id, 1) AS partner, b.last AS other, a.last IS NOT NULL AND b.last IS NOT NULL AS two FROM last a LEFT JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
+c AS (SELECT conv_id AS pair_id, turn, role, text FROM rows),
 r AS (
-  SELECT conv_id AS pair_id, turn, role, text FROM rows JOIN mine USING (conv_id) WHERE turn <> last
-  UNION SELECT m.partner, m.other, x.role, x.text FROM rows x JOIN mine m USING (conv_id) WHERE x.turn = m.last),
-both_sides AS (
+  SELECT conv_id AS pair_id, turn, role, text FROM rows JOIN mine USING (conv_id) WHERE two AND turn <> last
+  UNION SELECT m.partner, m.other, x.role, x.text FROM rows x JOIN mine m USING (conv_id) WHERE two AND x.turn = m.last),
+held AS (
   SELECT pair_id, turn, role, text, bool_or(side = 1) AS c, bool_or(side = 2) AS r FROM (SELECT *, 1 AS side FROM c UNION ALL SELECT *, 2 FROM r) GROUP BY ALL),
-split AS (SELECT pair_id, min(turn) FILTER (WHERE NOT (c AND r)) AS split FROM both_sides GROUP BY pair_id),
+pair AS (SELECT pair_id, min(turn) FILTER (WHERE NOT (c AND r)) AS split, CASE WHEN bool_or(c) AND bool_or(r) THEN 'both' WHEN bool_or(c) THEN 'chosen' ELSE 'rejected' END AS sides FROM held GROUP BY pair_id),
 parts AS (
-  SELECT *, unnest(CASE WHEN split IS NULL OR turn < split THEN ['prompt'] WHEN c AND r THEN ['chosen', 'rejected'] WHEN c THEN ['chosen'] ELSE ['rejected'] END) AS part FROM both_sides JOIN split USING (pair_id))
-SELECT pair_id, part, turn, role, '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS rendered, (part <> 'prompt' AND role = 'assistant') AS trained FROM parts"""
+  SELECT *, CASE WHEN turn > -9223372036854775808 THEN CAST(floor(turn / 64.0) AS BIGINT) END AS piece, '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS said,
+    unnest(CASE WHEN split IS NULL OR turn < split THEN ['prompt'] WHEN c AND r THEN ['chosen', 'rejected'] WHEN c THEN ['chosen'] ELSE ['rejected'] END) AS part
+  FROM held JOIN pair USING (pair_id)),
+placed AS (SELECT *, CAST(sum(length(said)) OVER (PARTITION BY pair_id, piece, part ORDER BY turn, role, text) AS BIGINT) AS ends FROM parts)
+SELECT pair_id, piece, sides, coalesce(string_agg(said, '' ORDER BY turn, role, text) FILTER (WHERE part = 'prompt'), '') AS prompt,
+  coalesce(string_agg(said, '' ORDER BY turn, role, text) FILTER (WHERE part = 'chosen'), '') AS chosen,
+  coalesce(string_agg((ends - length(said)) || ':' || ends, ',' ORDER BY ends) FILTER (WHERE part = 'chosen' AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg(said, '' ORDER BY turn, role, text) FILTER (WHERE part = 'rejected'), '') AS rejected,
+  coalesce(string_agg((ends - length(said)) || ':' || ends, ',' ORDER BY ends) FILTER (WHERE part = 'rejected' AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY pair_id, piece, sides"""
 
 
 def op6() -> str:

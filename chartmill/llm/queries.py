@@ -37,8 +37,9 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = preference.formatted(*preference.pairs_of(table(spark, sf_dir, "conversations")))
-    return rows.select("pair_id", "part", "turn", "role", "rendered", "trained")
+    rows = preference.records(preference.in_pairs(table(spark, sf_dir, "conversations")))
+    spans = lambda mask: F.array_join(F.transform(mask, lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ",").alias(mask)
+    return rows.select("pair_id", "piece", "sides", "prompt", "chosen", spans("chosen_mask"), "rejected", spans("rejected_mask"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -422,6 +422,35 @@ def test_preference_keeps_every_message(spark):
     assert len(rows) == len(got)
 
 
+def test_preference_records(spark):
+    """Pieces in order give the whole pair, masks cover the assistant's messages of the completions, one-sided pairs are marked."""
+    long = [(10, i, ("user", "assistant")[i % 2], f"m{i} é𝔘") for i in range(300)]
+    other = [(11, i, ("user", "assistant")[i % 2], f"o{i}") for i in range(4)]
+    odd = [(12, None, "system", "s"), (12, 0, "user", "q"), (12, 1, "assistant", "a"), (12, 1, "assistant", "a"), (12, 1, "assistant", "b"), (13, 0, "user", "x"), (13, 5, "assistant", "y"), (14, 0, "assistant", "z"), (None, 1, "user", "lost"), (16, 0, None, None)]
+    frame = spark.createDataFrame([(*r, 1, "p") for r in long + other + odd], "conv_id long, turn long, role string, text string, piece int, sides string")
+    got = preference.records(preference.in_pairs(frame)).collect()
+    pairs = collections.defaultdict(list)
+    for r in sorted(got, key=lambda r: (r["piece"] is not None, r["piece"] or 0)):
+        pairs[r["pair_id"]].append(r)
+    say = lambda role, text: f"<|{role}|>\n{text}\n<|end|>\n"
+    whole = lambda p, part: "".join(r[part] for r in pairs[p])
+    assert len(pairs[10]) == 5 and whole(10, "prompt") == "".join(say(role, t) for _, i, role, t in long[:-1])
+    assert whole(10, "chosen") == say("assistant", long[-1][3]) and whole(10, "rejected") == say("assistant", "o3")
+    assert {p: {r["sides"] for r in rs} for p, rs in pairs.items()} == {10: {"both"}, 11: {"both"}, 12: {"both"}, 13: {"both"}, 14: {"chosen"}, 16: {"chosen"}}
+    assert whole(12, "prompt") == say("system", "s") + say("user", "q") and whole(12, "chosen") == say("assistant", "a") + say("assistant", "b")
+    assert whole(12, "rejected") == say("assistant", "y") and [r["piece"] for r in pairs[12]] == [None, 0]
+    assert whole(16, "chosen") == say("", "")
+    for r in got:
+        for part in ("chosen", "rejected"):
+            pieces = re.findall(r"<\|(\w*)\|>\n(.*?)\n<\|end\|>\n", r[part], re.S)
+            at, want = 0, []
+            for role, text in pieces:
+                n = len(say(role, text))
+                want += [(at, at + n)] if role == "assistant" else []
+                at += n
+            assert [tuple(m) for m in r[f"{part}_mask"]] == want
+
+
 # ---- 6
 
 def brute_overlap(words, item):
