@@ -11,8 +11,9 @@ compared with the words beside it, and the document counts as contaminated if
 
 A mask is missed where substitutions hit each of its places.  For items of 5 to 8, 10 to 12, 15, 16 and 20 words as many
 as a fifth of the words could hide all masks, so these have more of their own: at any length of 5 to 120 words, no fifth of
-an item's words hides all.  Items of fewer than `min_words` words cannot be told from chance and are not looked for; with
-a smaller `min_words`, items of less than 5 words are looked up by all their words.  Null and empty texts hold nothing; repeated rows are judged alike, in the documents as in
+an item's words hides all.  Items of less than 5 words are looked up by all their words; as they are hard to tell from
+chance, they are weak evidence: a report lists them apart, and a document that holds nothing else does not count as contaminated.  `min_words`
+is the number of words from which an item is looked for in `overlaps` and strong in the others.  Null and empty texts hold nothing; repeated rows are judged alike, in the documents as in
 the benchmark.  Items without id are looked for as well; together they are one item that is listed as null, before others.  Extra columns are ignored, or kept where documents are returned.  Empty tables are allowed on either side.
 """
 
@@ -28,6 +29,8 @@ MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 6, 7), (0, 2, 3, 5, 8))
 SPAN = 9
 #: Lengths at which MASKS can miss a fifth of the words, and what closes that gap, laid like MASKS.
 THIN, MORE = (10, 11, 12, 15, 16, 20), (0, 1, 2, 4, 5)
+#: Items of fewer words are weak evidence.
+STRONG = 5
 #: The seeds of the benchmark are broadcast only if they are no more than this.
 SMALL = 500_000
 
@@ -59,7 +62,7 @@ def own_masks(n: int) -> list[tuple[int, tuple[int, ...]]]:
     return [(places[0], tuple(i - places[0] for i in places)) for places in left]
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch: int = 13, min_words: int = 5, small: int = SMALL) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch: int = 13, min_words: int = 1, small: int = SMALL) -> DataFrame:
     """(key, doc_id, item_id, shift, matched, item_words, score) for every alignment that counts; `shift` is the word of
     the document at which the item's first word falls."""
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words")).where(F.size("words") >= min_words).distinct()
@@ -108,19 +111,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, stretch:
     return pairs.where(enough).select("key", "doc_id", "item_id", "shift", "matched", "item_words", "score")
 
 
-def report(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """One row per document: doc_id, contaminated, how many items it holds, the items in order, and the most words of one
-    item found equal."""
+def report(docs: DataFrame, benchmark: DataFrame, min_words: int = STRONG, **settings) -> DataFrame:
+    """One row per document: doc_id, contaminated, how many items it holds, the items in order, the most words of one
+    item found equal; and the short items that it holds, which are weak evidence."""
     found = overlaps(docs, benchmark, **settings)
-    per_item = found.groupBy("key", "item_id").agg(F.max("matched").alias("matched"))
-    # The list is bounded by the benchmark.
-    per_doc = per_item.groupBy("key").agg(F.count("*").alias("n_items"), F.array_join(F.transform(F.sort_array(F.collect_set(F.struct("item_id"))), lambda i: F.coalesce(i["item_id"].cast("string"), F.lit("null"))), ",").alias("items"), F.max("matched").alias("matched"))
+    per_item = found.groupBy("key", "item_id").agg(F.max("matched").alias("matched"), F.max("item_words").alias("words"))
+    strong = F.col("words") >= min_words
+    # The lists are bounded by the benchmark.
+    listed = lambda which: F.array_join(F.transform(F.sort_array(F.collect_set(F.when(which, F.struct("item_id")))), lambda i: F.coalesce(i["item_id"].cast("string"), F.lit("null"))), ",")
+    per_doc = per_item.groupBy("key").agg(F.count_if(strong).alias("n_items"), listed(strong).alias("items"), F.max(F.when(strong, F.col("matched"))).alias("matched"), listed(~strong).alias("weak_items"))
     rows = docs.select(row_key("doc_id", "text").alias("key"), "doc_id").join(per_doc, "key", "left")
-    return rows.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.lit("")).alias("items"), F.coalesce("matched", F.lit(0)).cast("long").alias("matched"))
+    none = F.lit("")
+    return rows.select("doc_id", F.coalesce(F.col("n_items") > 0, F.lit(False)).alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", none).alias("items"),
+                       F.coalesce("matched", F.lit(0)).cast("long").alias("matched"), F.coalesce("weak_items", none).alias("weak_items"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents that hold no benchmark passage, as they are."""
+def clean(docs: DataFrame, benchmark: DataFrame, min_words: int = STRONG, **settings) -> DataFrame:
+    """The documents that hold no benchmark passage, as they are; those that only hold items of less than `min_words` words stay."""
     # The documents are only shuffled if there are very many.
-    found = bounded(written(overlaps(docs, benchmark, **settings).select("key").distinct(), "contaminated"))
+    found = bounded(written(overlaps(docs, benchmark, min_words=min_words, **settings).select("key").distinct(), "contaminated"))
     return docs.select(F.struct("*").alias("doc"), row_key("doc_id", "text").alias("key")).join(found, "key", "left_anti").select("doc.*")

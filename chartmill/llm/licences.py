@@ -2,7 +2,8 @@
 
 A text is brought to a canonical form: lower case, copyright lines left out, equivalent spellings made one, punctuation and
 white space made single spaces.  Its SHA-256 digest is looked up among those of known licence texts, brought to the same
-form.  Whole texts are looked up, and the single lines of a text as well, for licence notices that stand in other text.
+form.  Whole texts are looked up, and the single lines of a text and every two that follow each other as well, for licence
+notices that stand in other text, also where they are wrapped.
 
 The list of known texts is a parameter (name, text).  With the module come short licences and notices, the whole texts in
 the folder licence_texts (each also without its appendix), and notices made of the names of licences.
@@ -112,6 +113,13 @@ def digest(form: str) -> str | None:
     return hashlib.sha256(form.encode("utf-8", "surrogatepass")).hexdigest() if form else None
 
 
+def notices(text: str) -> Iterator[str]:
+    """The forms of the lines of a text, and of each two that follow each other."""
+    lines = LINE.split(text)
+    yield from map(words, lines)
+    yield from (words(f"{a} {b}") for a, b in zip(lines, lines[1:], strict=False))
+
+
 def known_digests(known: DataFrame) -> DataFrame:
     """(digest, licence) of known texts (name, text).  A text of copyright lines only is taken as it is."""
 
@@ -126,14 +134,14 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, digest, lines): the digest of each whole text and those of its different lines."""
+    """(doc_id, key, digest, lines): the digest of each whole text and those of its `notices`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 texts = [t.as_py() or "" for t in part.column(2)]
-                lines = [list({digest(words(x)) for x in LINE.split(t)} - {None}) for t in texts]
+                lines = [list({digest(form) for form in notices(t)} - {None}) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([digest(canonical(t)) for t in texts], pa.string()), pa.array(lines, pa.list_(pa.string()))],
                     names=["doc_id", "key", "digest", "lines"],
@@ -145,7 +153,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, digest of its canonical form, the licence that this is, if any, how many of its
-    different lines are known texts, and which, in order."""
+    different lines, or of two together, are known texts, and which, in order."""
     spark = docs.sparkSession
     listed = known_digests(known if known is not None else spark.createDataFrame(listed_texts(), "name string, text string"))
     rows = written(digests(docs), "digests")

@@ -3,7 +3,7 @@ they are found.  The rest (4, 7, 8, 10 and the pipeline) is tested against brute
 
 from __future__ import annotations
 
-from chartmill.llm import decontam, licences, secrets
+from chartmill.llm import licences, secrets
 
 WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
@@ -160,29 +160,26 @@ SELECT pair_id, piece, sides, coalesce(string_agg(said, '' ORDER BY turn, role,
 FROM placed GROUP BY pair_id, piece, sides"""
 
 
-def op6() -> str:
-    words = r"list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' '), lambda x: x <> '')"
-    laid = " UNION ALL ".join(
-        f"SELECT {{keep}}, pos, {i} AS mask, {' || chr(10) || '.join(f'w[pos + {o + 1}]' for o in mask)} AS seed FROM {{at}} WHERE pos + {mask[-1]} < len(w)" for i, mask in enumerate(decontam.MASKS))
-    short = "SELECT {keep}, pos, 100 + n AS mask, array_to_string(w[pos + 1:pos + n], chr(10)) AS seed FROM {at}, short WHERE pos + n <= len(w)"
-    return f"""
-WITH d AS (SELECT row_number() OVER () AS id, doc_id, {words} AS w FROM documents),
-item AS (SELECT DISTINCT item_id, {words} AS w FROM benchmark),
-items AS (SELECT row_number() OVER () AS it, item_id, w FROM item WHERE len(w) >= 5),
-short AS (SELECT DISTINCT len(w) AS n FROM items WHERE len(w) < {decontam.SPAN}),
-da AS (SELECT id, w, unnest(range(len(w))) AS pos FROM d),
-ia AS (SELECT it, w, unnest(range(len(w))) AS pos FROM items),
-ds AS ({laid.format(keep='id', at='da')} UNION ALL {short.format(keep='id', at='da')}),
-xs AS ({laid.format(keep='it', at='ia')} UNION ALL {short.format(keep='it', at='ia').replace('<= len(w)', '= len(w) AND pos = 0')}),
-hits AS (SELECT DISTINCT ds.id, xs.it, ds.pos - xs.pos AS shift FROM ds JOIN xs USING (mask, seed)),
+# All alignments with enough equal words to count, however they might be found.
+OP6 = r"""
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, WORDS AS w FROM documents),
+item AS (SELECT DISTINCT item_id, WORDS AS w FROM benchmark),
+items AS (SELECT row_number() OVER () AS it, item_id, w FROM item WHERE len(w) > 0),
+da AS (SELECT id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM d),
+ia AS (SELECT it, unnest(w) AS word, unnest(range(len(w))) AS pos, len(w) AS n FROM items),
+hits AS (SELECT id, it, da.pos - ia.pos AS shift FROM da JOIN ia USING (word) GROUP BY id, it, da.pos - ia.pos HAVING count(*) >= least(0.8 * any_value(n), 13)),
 cells AS (SELECT h.id, h.it, h.shift, j, CASE WHEN d.w[h.shift + j + 1] = i.w[j + 1] THEN 1 ELSE 0 END AS eq, len(i.w) AS n
   FROM hits h JOIN d USING (id) JOIN items i USING (it), unnest(range(len(i.w))) AS u(j) WHERE h.shift + j >= 0 AND h.shift + j < len(d.w)),
 runs AS (SELECT *, sum(CASE WHEN eq = 1 THEN 1 ELSE -4 END) OVER (PARTITION BY id, it, shift ORDER BY j) AS s FROM cells),
 best AS (SELECT *, s - least(0, coalesce(min(s) OVER (PARTITION BY id, it, shift ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS score FROM runs),
 good AS (SELECT id, it, shift, sum(eq) AS matched FROM best GROUP BY id, it, shift HAVING sum(eq) >= 0.8 * any_value(n) OR max(score) >= 13),
-per AS (SELECT id, item_id, max(matched) AS matched FROM good JOIN items USING (it) GROUP BY id, item_id),
-doc AS (SELECT id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, max(matched) AS matched FROM per GROUP BY id)
-SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items, CAST(coalesce(matched, 0) AS BIGINT) AS matched FROM d LEFT JOIN doc USING (id)"""
+per AS (SELECT id, item_id, max(matched) AS matched, max(len(w)) >= 5 AS strong FROM good JOIN items USING (it) GROUP BY id, item_id),
+doc AS (
+  SELECT id, count(*) FILTER (WHERE strong) AS n_items, string_agg(coalesce(CAST(item_id AS VARCHAR), 'null'), ',' ORDER BY item_id NULLS FIRST) FILTER (WHERE strong) AS items, max(matched) FILTER (WHERE strong) AS matched,
+    string_agg(coalesce(CAST(item_id AS VARCHAR), 'null'), ',' ORDER BY item_id NULLS FIRST) FILTER (WHERE NOT strong) AS weak_items
+  FROM per GROUP BY id)
+SELECT doc_id, coalesce(n_items, 0) > 0 AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items, CAST(coalesce(matched, 0) AS BIGINT) AS matched, coalesce(weak_items, '') AS weak_items
+FROM d LEFT JOIN doc USING (id)""".replace("WORDS", r"list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' '), lambda x: x <> '')")
 
 
 def op9() -> str:
@@ -195,7 +192,7 @@ def op9() -> str:
         return plain
 
     canon = words(f"regexp_replace(coalesce(text, ''), {quoted(licences.COPYRIGHT_LINE.pattern)}, ' ', 'g')")
-    known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in licences.KNOWN)
+    known = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in licences.listed_texts())
     digest = lambda form: f"CASE WHEN {form} <> '' THEN sha256({form}) END"
     return f"""
 WITH spelling AS (SELECT MAP {{{swaps}}} AS swaps),
@@ -203,7 +200,8 @@ known AS (SELECT name, CASE WHEN form <> '' THEN form ELSE plain END AS form FRO
 listed AS (SELECT sha256(form) AS digest, min(name) AS licence FROM known WHERE form <> '' GROUP BY 1),
 d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents),
 whole AS (SELECT id, doc_id, {digest('form')} AS digest FROM (SELECT id, doc_id, {canon} AS form FROM d, spelling)),
-line AS (SELECT DISTINCT id, {words('text')} AS form FROM (SELECT id, unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS text FROM d), spelling),
+split AS (SELECT id, string_split_regex(text, '\\r\\n|\\r|\\n') AS ls FROM d),
+line AS (SELECT DISTINCT id, {words('text')} AS form FROM (SELECT id, unnest(ls || list_transform(range(1, len(ls)), lambda i: ls[i] || ' ' || ls[i + 1])) AS text FROM split), spelling),
 hit AS (SELECT id, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS names FROM line JOIN listed ON listed.digest = sha256(line.form) WHERE form <> '' GROUP BY id)
 SELECT doc_id, w.digest, licence, coalesce(n, 0) AS n_lines, coalesce(names, '') AS line_licences FROM whole w LEFT JOIN listed USING (digest) LEFT JOIN hit USING (id)"""
 
@@ -280,6 +278,6 @@ FROM ids JOIN best ON best.c = ids.c AND best.i = 1 AND best.q = 0 LEFT JOIN cou
 
 
 SQL = {
-    "op1_secret_scan": op1(), "op2_lm_scoring": op2(), "op3_embedding_dedup": op3(), "op5_chat_preference": OP5, "op6_decontamination": op6(), "op9_licence_scan": op9(),
+    "op1_secret_scan": op1(), "op2_lm_scoring": op2(), "op3_embedding_dedup": op3(), "op5_chat_preference": OP5, "op6_decontamination": OP6, "op9_licence_scan": op9(),
     "op11_exact_dedup": OP11, "op12_lexical_search": OP12, "op13_conversation_repair": OP13,
 }

@@ -528,7 +528,11 @@ def test_decontamination_masks(spark):
     got = {r["doc_id"]: r["items"] for r in decontam.report(table(spark, docs), few).collect()}
     assert len(docs) > 20 and got == {i: str(i // 1000) for i, *_ in docs}
     short = spark.createDataFrame([(1, "two words")], "item_id long, text string")
-    assert decontam.report(table(spark, [(1, "here two words", "en", "a"), (2, "two more words", "en", "a")]), short, min_words=1).where("contaminated").count() == 1
+    two = table(spark, [(1, "here two words", "en", "a"), (2, "two more words", "en", "a")])
+    assert decontam.report(two, short, min_words=1).where("contaminated").count() == 1
+    # By default they are weak evidence: listed, and no reason to drop the document.
+    assert [(r["contaminated"], r["items"], r["weak_items"]) for r in decontam.report(two, short).orderBy("doc_id").collect()] == [(False, "", "1"), (False, "", "")]
+    assert decontam.clean(two, short).count() == 2 and decontam.clean(two, short, min_words=1).count() == 1
 
 
 def test_decontamination_without_id(spark):
@@ -695,6 +699,8 @@ def test_licences_whole_texts(spark):
     texts = {f.name.removesuffix(".txt"): f.read_text() for f in resources.files("chartmill.llm").joinpath("licence_texts").iterdir()}
     docs = [(i, t, "en", "a") for i, t in enumerate(texts.values())] + [(100, texts["GPL-3.0"].partition("END OF TERMS")[0], "en", "a"), (101, "x\nThis software is released under the Mozilla Public License 2.0\ny", "en", "a")]
     got = {r["doc_id"]: r for r in licences.scan(table(spark, docs)).collect()}
+    wrapped = [(i, f"x\nThis software is released{at}under the Mozilla Public License 2.0\ny", "en", "a") for i, at in enumerate(("\n", "\r\n  * ", "\n\n"))]
+    assert [r["line_licences"] for r in licences.scan(table(spark, wrapped)).orderBy("doc_id").collect()] == ["notice:MPL-2.0", "notice:MPL-2.0", ""]
     assert [got[i]["licence"] for i in range(len(texts))] == list(texts) and len(texts) >= 13
     assert got[100]["licence"] == "GPL-3.0" and got[101]["line_licences"] == "notice:MPL-2.0"
 
