@@ -17,37 +17,49 @@ def either(word: str) -> str:
 
 
 def op1() -> str:
+    """As the docstring of `secrets` says it, for tables of less than twice `SAMPLE` documents, whose letter pairs are all counted."""
     keys = "|".join([*(either(w) for w in ("password", "passwd", "secret", "token")), either("api") + "_?" + either("key")])
     assign = secrets.ASSIGN.replace("(?i:(password|passwd|secret|token|api_?key))", f"({keys})")
-    shapes = [("assign", 1, assign, 2, 6), ("access", 2, secrets.ACCESS, 0, 20), ("hex", 3, secrets.HEX, 0, 24), ("random", 4, secrets.CANDIDATE, 0, 0)]
-    found = " UNION ALL ".join(
-        f"SELECT id, '{kind}' AS kind, {rank} AS rank, {least} AS least, string_split_regex(t, {quoted(p)}) AS gaps, regexp_extract_all(t, {quoted(p)}, 0) AS m, regexp_extract_all(t, {quoted(p)}, {group}) AS g FROM d"
-        for kind, rank, p, group, least in shapes)
+    shapes = [("assign", 1, assign, 2, 6), ("access", 2, secrets.ACCESS, 0, 20), ("hex", 3, secrets.HEX, 0, 24), ("run", 4, secrets.CANDIDATE, 0, 0)]
+    cut = lambda p, group=0: f"string_split_regex(t, {quoted(p)}) AS gaps, regexp_extract_all(t, {quoted(p)}, 0) AS m, regexp_extract_all(t, {quoted(p)}, {group}) AS g"
+    found = " UNION ALL ".join(f"SELECT id, 0 AS off, '{kind}' AS kind, {rank} AS rank, {least} AS least, {cut(p, group)} FROM d" for kind, rank, p, group, least in shapes)
+    parts = " UNION ALL ".join(f"SELECT id, off, 'random' AS kind, 4 AS rank, 0 AS least, {cut(p)} FROM runs" for p in secrets.PARTS)
+    placed = lambda rows: f"""SELECT id, kind, rank, token, CAST(off + s AS BIGINT) AS s, CAST(off + s + length(token) AS BIGINT) AS e FROM (
+    SELECT id, off, kind, rank, least, m[i] AS token, length(g[i]) AS held,
+      list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM ({rows}))) WHERE held >= least"""
     fits = lambda allowed, needed: " AND ".join([f"regexp_full_match(token, '{allowed}')", *(f"regexp_matches(token, '{x}')" for x in needed)])
-    case = lambda value: "CASE " + " ".join(f"WHEN {fits(allowed, needed)} THEN '{value(name, alphabet)}'" for name, allowed, alphabet, needed in secrets.ENCODINGS) + " END"
+    case = lambda value: "CASE " + " ".join(f"WHEN {fits(allowed, needed)} THEN '{value(name, alphabet)}'" for name, allowed, alphabet, needed in secrets.ENCODINGS + secrets.LETTERS) + " END"
     tail = lambda z: (
         f"(CASE WHEN {z} >= 0 THEN 0 ELSE 1 END + sign(CASE WHEN {z} >= 0 THEN 1 ELSE -1 END) * exp(-{z} * {z} / 2) / sqrt(2 * pi()) * (1 / (1 + 0.2316419 * abs({z}))) * (0.319381530 + (1 / (1 + 0.2316419 * abs({z}))) * "
         f"(-0.356563782 + (1 / (1 + 0.2316419 * abs({z}))) * (1.781477937 + (1 / (1 + 0.2316419 * abs({z}))) * (-1.821255978 + (1 / (1 + 0.2316419 * abs({z}))) * 1.330274429)))))")
     grid = secrets.GRID
-    above = ", ".join(f"sum(CASE WHEN p >= {t} THEN 1 ELSE 0 END) AS n{i}" for i, t in enumerate(grid))
     last = len(grid) - 1
-    choose = "CASE " + " ".join(f"WHEN n{i} > 0 AND n{i} - n{last} * {(1 - grid[i]) / (1 - grid[-1])!r} <= 0.1 * n{i} THEN {grid[i]}" for i in range(last)) + f" ELSE {grid[-1]} END"
+    above = ", ".join(f"count(*) FILTER (WHERE p >= {t}) AS n{i}" for i, t in enumerate(grid))
+    lowest = f"CASE WHEN n0 < {secrets.DENSE} THEN NULL " + " ".join(f"WHEN n{i} - n{last} * {(1 - grid[i]) / (1 - grid[-1])!r} <= 0.1 * n{i} + 2 * sqrt(n{i}) THEN {grid[i]}" for i in range(last)) + f" ELSE {grid[-1]} END"
     listed = lambda where: f"coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) FILTER (WHERE {where}), '')"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t FROM documents),
-found AS ({found}),
-steps AS (SELECT id, kind, rank, least, gaps, m, g, unnest(range(1, len(m) + 1)) AS i FROM found),
-spans AS (
-  SELECT id, kind, rank, m[i] AS token, length(g[i]) AS held, least,
-    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS s
-  FROM steps),
-placed AS (SELECT id, kind, rank, token, CAST(s AS BIGINT) AS s, CAST(s + length(token) AS BIGINT) AS e FROM spans WHERE held >= least),
-base AS (SELECT * FROM placed WHERE rank < 4),
+fixed AS ({placed(found)}),
+base AS (SELECT * FROM fixed WHERE rank < 4),
+runs AS (SELECT id, s AS off, token AS t FROM fixed WHERE rank = 4),
+part AS (SELECT DISTINCT id, token, s, e FROM ({placed(parts)})),
 cand AS (
-  SELECT row_number() OVER () AS c, id, kind, rank, s, e, token, regexp_replace(token, '=+$', '') AS body FROM placed p
-  WHERE rank = 4 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.id = p.id AND b.s < p.e AND p.s < b.e)),
-coded AS (SELECT *, {case(lambda n, a: n)} AS encoding, {case(lambda n, a: a)} AS alphabet FROM cand),
-body AS (SELECT c, encoding, alphabet, body, CAST(length(body) AS DOUBLE) AS n, CAST(length(alphabet) AS DOUBLE) AS k FROM coded WHERE encoding IS NOT NULL AND length(body) >= 4),
+  SELECT row_number() OVER () AS c, id, s, e, token, regexp_replace(token, '=+$', '') AS body FROM part p
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.id = p.id AND b.s < p.e AND p.s < b.e)),
+word AS (SELECT unnest(regexp_extract_all(lower(regexp_replace(t, '{secrets.CANDIDATE}', ' ', 'g')), '[a-z]+')) AS word FROM d),
+two AS (SELECT substring(word, CAST(i AS BIGINT), 2) AS pair FROM (SELECT word, unnest(range(1, length(word))) AS i FROM word WHERE length(word) BETWEEN 2 AND 19)),
+seen AS (SELECT pair, count(*) AS n FROM two GROUP BY pair),
+ahead AS (SELECT pair[1] AS one, sum(n) AS of_one FROM seen GROUP BY 1),
+bit AS (
+  SELECT one || c AS pair, log2(26 * (coalesce(n, 0) + 1.0) / (of_one + 26)) AS bits
+  FROM ahead CROSS JOIN (SELECT unnest(string_split('{secrets.LOWER}', '')) AS c) LEFT JOIN seen ON pair = one || c),
+text_bits AS (
+  SELECT c, sum(bits) AS bits FROM (SELECT c, substring(lower(token), CAST(i AS BIGINT), 2) AS pair FROM (SELECT c, token, unnest(range(1, length(token))) AS i FROM cand)) JOIN bit USING (pair) GROUP BY c),
+coded AS (
+  SELECT * FROM (SELECT *, {case(lambda n, a: n)} AS encoding, {case(lambda n, a: a)} AS alphabet FROM cand) LEFT JOIN text_bits USING (c)
+  WHERE encoding IS NOT NULL AND length(body) >= 4 AND (encoding IN ('hex', 'upper_hex') OR coalesce(bits, 0) < {secrets.TEXT_BITS})),
+body AS (SELECT c, encoding, alphabet, body, CAST(length(body) AS DOUBLE) AS n, CAST(length(alphabet) AS DOUBLE) AS k FROM coded),
 chars AS (SELECT c, n, k, i, CAST(strpos(alphabet, substring(body, i, 1)) AS DOUBLE) AS v FROM (SELECT *, unnest(range(1, CAST(n AS BIGINT) + 1)) AS i FROM body)),
 near AS (SELECT *, lead(v) OVER w AS after, first_value(v) OVER w AS opening, (v > floor(k / 2)) AS up, lag(v > floor(k / 2)) OVER w AS was FROM chars WINDOW w AS (PARTITION BY c ORDER BY i)),
 squares AS (SELECT c, sum(q * q) AS sq FROM (SELECT c, v, CAST(count(*) AS DOUBLE) AS q FROM chars GROUP BY c, v) GROUP BY c),
@@ -68,15 +80,22 @@ half AS (
   SELECT c, n, greatest(0, -(ln(greatest({tail('z1')}, 1e-300)) + ln(greatest(coalesce(2 * {tail('z2')}, 0), 1e-300)) + ln(greatest(coalesce(2 * {tail('z3')}, 0), 1e-300)))) AS h
   FROM z),
 tested AS (
-  SELECT c, id, kind, rank, s, e, encoding, CASE WHEN n <= 64 THEN floor(n / 8) ELSE floor(log2(n)) + 3 END AS class, exp(-h) * (1 + h + h * h / 2) AS p
+  SELECT c, id, s, e, encoding, CASE WHEN n <= 64 THEN floor(n / 8) ELSE floor(log2(n)) + 3 END AS class, exp(-h) * (1 + h + h * h / 2) AS p
   FROM half JOIN coded USING (c)),
-limits AS (SELECT encoding, class, {choose} AS threshold FROM (SELECT encoding, class, {above} FROM tested GROUP BY encoding, class)),
-every AS (
+apart AS (SELECT DISTINCT encoding, class, p FROM tested WHERE p >= {grid[0]}),
+own AS (SELECT encoding, class, {lowest} AS own FROM (SELECT encoding, class, {above} FROM apart GROUP BY ALL)),
+by_code AS (SELECT encoding, {lowest} AS coded FROM (SELECT encoding, {above} FROM apart GROUP BY ALL)),
+by_all AS (SELECT {lowest} AS every FROM (SELECT {above} FROM apart)),
+limits AS (SELECT encoding, class, coalesce(own, coded, every, {grid[0]}) AS threshold FROM own JOIN by_code USING (encoding) CROSS JOIN by_all),
+kept AS (SELECT DISTINCT id, s, e FROM tested JOIN limits USING (encoding, class) WHERE p >= threshold),
+opens AS (SELECT *, CASE WHEN s < max(e) OVER (PARTITION BY id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM kept),
+nr AS (SELECT *, sum(opens) OVER (PARTITION BY id ORDER BY s, e) AS nr FROM opens),
+every_span AS (
   SELECT id, kind, rank, s, e FROM base
-  UNION ALL SELECT id, kind, rank, s, e FROM tested JOIN limits USING (encoding, class) WHERE p >= threshold)
+  UNION ALL SELECT id, 'random', 4, min(s), max(e) FROM nr GROUP BY id, nr)
 SELECT doc_id, count(*) FILTER (WHERE rank = 1) AS n_assign, count(*) FILTER (WHERE rank = 2) AS n_access, count(*) FILTER (WHERE rank = 3) AS n_hex, count(*) FILTER (WHERE rank = 4) AS n_random,
   sha256({listed('rank < 4')}) AS base_sha256, {listed('rank IS NOT NULL')} AS spans
-FROM d LEFT JOIN every USING (id) GROUP BY id, doc_id"""
+FROM d LEFT JOIN every_span USING (id) GROUP BY id, doc_id"""
 
 
 def discounts(counts: str) -> str:

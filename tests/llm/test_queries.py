@@ -1,5 +1,7 @@
 """The registered queries against their SQL, and the pipeline against the stages' brute-force versions."""
 
+import random
+
 import duckdb
 import pytest
 
@@ -25,6 +27,27 @@ def test_sql(spark, name):
     assert plain(got) == plain(want)
 
 
+def test_sql_of_secrets_finds_planted_keys(spark, tmp_path):
+    """The given tables hold no random strings, so keys are planted: alone, glued, in dense classes, and among names."""
+    rng = random.Random(12)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(120).select("doc_id", "text").collect()
+    key = lambda symbols, n: "".join(rng.choice(symbols) for _ in range(n))
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = ["getUserNameOfTheListData2path", "config_Value_from_stream_of_the_path", "theriverrunspasttheoldmill", "A1b" * 20, "some/path/to/a/File2/of/the/Year2024"]
+    rows = []
+    for n, r in enumerate(docs):
+        extra = [key(mixed, rng.choice([24, 32, 40, 64])), "aws_secret_access_key=" + key(mixed + "+/", 40), "/var_lib/" + key(mixed[:52], 44), key("0123456789ABCDEF", 32), key(mixed[26:52], 30), rng.choice(names), "token: " + key(mixed, 30)]
+        rows.append((r["doc_id"], f"{r['text']} {' '.join(rng.sample(extra, n % 5))} end"))
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(SQL["op1_secret_scan"]).fetchdf()
+    got = QUERIES["op1_secret_scan"](spark, str(tmp_path)).toPandas()
+    columns = sorted(want.columns)
+    assert sorted(map(tuple, got[columns].astype(str).values)) == sorted(map(tuple, want[columns].astype(str).values))
+    assert got["n_random"].sum() > 100 and got["n_assign"].sum() > 10
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
