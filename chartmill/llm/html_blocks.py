@@ -42,7 +42,7 @@ KINDS = {
     "ad": "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo promotion promoted adsense adslot outbrain taboola banner",
     "notice": "cookie cookies consent gdpr notice notices alert alerts popup modal overlay toast dialog newsletter subscribe subscription privacy disclaimer warning announcement paywall",
     "form": "form fieldset button select option textarea label legend search login signup register input contact",
-    "comment": "comment comments commentlist reply replies respond discussion disqus thread responses feedback reviews",
+    "comment": "comment comments commentlist reply replies respond discussion disqus thread responses feedback reviews kommentar kommentare commentaire commentaires comentario comentarios",
     "social": "share sharing social follow like tweet",
     "main": "article main content post entry story articlebody maincontent text body-text postbody",
     "title": "h1 h2 h3 h4 h5 h6",
@@ -50,8 +50,16 @@ KINDS = {
 }
 KIND_OF = {name: [k for k, names in KINDS.items() if name in names.split()] for names in KINDS.values() for name in names.split()}
 BOILERPLATE = ("nav", "header", "footer", "aside", "ad", "notice", "form", "comment", "social", "outside")
-PATH_DIMS, WORD_DIMS = 32, 24
-N_FEATURES = 3 * len(KINDS) + PATH_DIMS + WORD_DIMS + 10
+#: What short texts beside an article say, in four languages; a fixed list.
+CUES = {
+    "rights": r"\xA9|\(c\)|copyright|all rights reserved|alle rechte|tous droits|todos los derechos|impressum",
+    "comment": r"\bcomments?\b|kommentare?\b|commentaires?\b|comentarios?\b|\brepl(?:y|ies)\b|antworten|répondre|responder",
+    "offer": r"subscribe|newsletter|cookies?\b|sign (?:in|up)|log ?in|advertisement|sponsored|anzeige|publicité|publicidad",
+    "further": r"\brelated\b|read more|see also|most read|share this|follow us|weiterlesen|lire aussi|leer más",
+}
+SAYS = [re.compile(cue, re.I) for cue in CUES.values()]
+PATH_DIMS, WORD_DIMS, PLACE_DIMS = 32, 24, 8
+N_FEATURES = 3 * len(KINDS) + PATH_DIMS + WORD_DIMS + 10 + len(CUES) + PLACE_DIMS
 
 
 class Block(NamedTuple):
@@ -157,6 +165,15 @@ def teacher(block: Block) -> bool:
     return inside
 
 
+def disputed(block: Block) -> bool:
+    """Whether a name inside the article speaks against a block that reads like the article's text: there names mislead,
+    and the teacher does not know."""
+    if teacher(block) or block.linked or block.text[-1] not in ".!?" or any(e.split()[0] in ("form", "nav", "footer", "aside", "button", "label") for e in block.path):
+        return False
+    inside = next((i for i, e in enumerate(block.path) if "main" in kinds_of(e)), None)
+    return inside is not None and not any(k in BOILERPLATE for e in block.path[: inside + 1] for k in kinds_of(e)) and not any("comment" in kinds_of(e) for e in block.path)
+
+
 @lru_cache(maxsize=50_000)
 def path_vector(path: tuple[str, ...]) -> np.ndarray:
     """Kinds that occur on the path, that are the last of their path, and that stand inside a main part; hashed names."""
@@ -179,6 +196,29 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
     return np.clip(out, -2, 2)
 
 
+def places(page: list[Block]) -> np.ndarray:
+    """How each block lies among the others, whatever the elements around it are called: how far its path agrees with that of the
+    block before and after it, and how much of the page's plain text and of its links stands beside it, under the same parent
+    and under the one above that."""
+    out = np.zeros((len(page), PLACE_DIMS), np.float32)
+    shared = [0.0]
+    for a, b in zip(page, page[1:], strict=False):
+        same = next((d for d, (x, y) in enumerate(zip(a.path, b.path, strict=False)) if x != y), min(len(a.path), len(b.path)))
+        shared.append(same / max(len(a.path), len(b.path), 1))
+    plain = [max(len(b.text) - b.linked, 0) for b in page]
+    total, linked = max(sum(plain), 1), max(sum(b.linked for b in page), 1)
+    out[:, 0], out[:, 1] = shared[: len(page)], [*shared[1 : len(page)], 0.0]
+    for column, up in ((2, 1), (5, 2)):
+        held: dict[tuple[str, ...], list[int]] = {}
+        for b, n in zip(page, plain, strict=True):
+            sums = held.setdefault(b.path[:-up], [0, 0, 0])
+            sums[0], sums[1], sums[2] = sums[0] + n, sums[1] + b.linked, sums[2] + 1
+        for i, b in enumerate(page):
+            n, m, k = held[b.path[:-up]]
+            out[i, column : column + 3] = n / total, m / linked, min(np.log1p(k) / 3, 2)
+    return out
+
+
 def features(pages: list[list[Block]]) -> list[np.ndarray]:
     """For each page a row for each block: path, hashed words and figures about the text and its place."""
     texts = [b.text.encode("utf-8", "surrogatepass") for page in pages for b in page]
@@ -195,6 +235,7 @@ def features(pages: list[list[Block]]) -> list[np.ndarray]:
         n = counts[at : at + len(page)]
         for i, b in enumerate(page):
             own[i, : len(path_vector(b.path))] = path_vector(b.path)
+            own[i, len(path_vector(b.path)) : len(path_vector(b.path)) + len(CUES)] = [bool(cue.search(b.text[:200])) for cue in SAYS]
             size = len(b.text)
             own[i, -10:-2] = (
                 min(np.log1p(n[i]) / 4, 2), min(size / max(n[i], 1) / 8, 2), min(b.linked / size, 1), b.text[-1] in ".!?:;\"”»", (b.text.count(",") + b.text.count(".")) / size * 10,
@@ -202,6 +243,7 @@ def features(pages: list[list[Block]]) -> list[np.ndarray]:
             )
             own[i, -2:] = i / len(page), (len(page) - i) / len(page)
         own[:, -(10 + WORD_DIMS) : -10] = words[at : at + len(page)]
+        own[:, -(10 + WORD_DIMS + PLACE_DIMS) : -(10 + WORD_DIMS)] = places(page)
         out.append(own)
         at += len(page)
     return out

@@ -5,8 +5,8 @@ hashed words, and figures about the text.  So a block is judged with the whole p
 text are joined in page order by one line feed.
 
 It is trained on the driver with two bounded sets: about `sample` pages of the table (never over four times as many), drawn by the hash of
-page_id among those of at most `sample_chars` characters, labelled by what the page's own marks say (`teacher`); and as many practice pages,
-made of the sample's sentences in other layouts (`practice`), labelled by construction.  All pages are read and labelled
+page_id among those of at most `sample_chars` characters, labelled by what the page's own marks say (`teacher`); and twice as many practice pages,
+made of the sample's sentences in other layouts (`practice`), labelled by construction, half of them without telling names (`unnamed`).  All pages are read and labelled
 whole.
 
 Null and empty pages give an empty text; so do pages without main text.  Repeated rows are read alike; extra columns are
@@ -15,6 +15,7 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.html_blocks import N_FEATURES, Block, blocks_of, features, teacher
+from chartmill.llm.html_blocks import N_FEATURES, Block, blocks_of, disputed, features, teacher
 from chartmill.llm.shared import in_arrow
 
-HIDDEN = 20
+HIDDEN = 28
 MARK = ""
 AT_ONCE = 1 << 14
 
@@ -68,7 +69,9 @@ class Labeller:
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         logits, states, steps = self.read(x, mask)
-        error = ((sigmoid(logits) - y) * mask / mask.sum()).astype(np.float32)[..., None]
+        # Blocks whose label is not known (nan) are read but teach nothing.
+        told = mask & ~np.isnan(y)
+        error = (np.where(told, sigmoid(logits) - y, 0) / max(told.sum(), 1)).astype(np.float32)[..., None]
         k = self.hidden
         grads = {"o": np.einsum("tnk,tnz->kz", states, error), "d": np.einsum("tnk,tnz->kz", x, error), "c": error.sum(axis=(0, 1))}
         down = error @ self.w["o"].T
@@ -146,6 +149,30 @@ SHARE = ('<div class="share">', '<ul class="social">', '<div class="social-links
 MAIN = ('<article>', '<main>', '<main><article>', '<div class="content">', '<div id="content">', '<div class="post">', '<div class="entry-content">', '<div class="article-body">', '<div class="story">', '<section class="article">', '<div class="main-content">', '<div><article class="post">', '<div id="main"><div class="text">', '<table><tr><td class="content">', '<div role="main">', '<article class="entry"><div>', '<div id="main">', '<section><article>')
 
 
+#: What may stand around a paragraph of an article, though its name says otherwise.
+ODD = ('<div class="more">{}</div>', '<div class="side-note">{}</div>', '<div class="top">{}</div>', '<div class="banner-text">{}</div>', '<div class="story-more">{}</div>')
+ODD_P = ("notice-text", "more", "alert-text", "header-text")
+SAID = {
+    "comment": ("Comments", "2 Comments", "Kommentare", "3 Kommentare", "Commentaires", "Comentarios", "Leave a reply", "Replies"),
+    "footer": ("(c) 2024 Example Ltd", "\xA9 2023 The Site", "Copyright 2022 Media Group. All rights reserved.", "All rights reserved.", "Impressum", "Alle Rechte vorbehalten"),
+    "offer": ("Subscribe to our newsletter!", "Advertisement", "We use cookies to make this site better.", "Sponsored by our partners.", "Sign up and never miss a story.", "Anzeige", "Publicité"),
+    "further": ("Related", "Related stories", "Read more", "See also", "Most read", "Weiterlesen", "Lire aussi"),
+}
+NAMED = re.compile(r"""\b(class|id|role)="([^"]*)"|<(/?)(nav|header|footer|aside|article|main|section)\b""")
+
+
+def unnamed(page: str, rng: np.random.Generator) -> str:
+    """The page with names of classes and ids that say nothing, and plain elements."""
+    names: dict[str, str] = {}
+
+    def other(m: re.Match) -> str:
+        if m[1]:
+            return f'class="{names.setdefault(m[2], "x" + format(rng.integers(1 << 30), "x"))}"'
+        return f"<{m[3]}div"
+
+    return NAMED.sub(other, page)
+
+
 def closed(opening: str) -> str:
     tags = [t.split()[0].split(">")[0] for t in opening.split("<")[1:]]
     return "".join(f"</{t}>" for t in reversed(tags))
@@ -165,6 +192,10 @@ def practice(sentences: list[str], rng: np.random.Generator) -> str:
 
     def boxed(opening: str, paragraphs: int) -> str:
         inner = "".join(f"<p>{sentence()}</p>" if likely(0.7) else f"<div>{words(2, 12)}</div>" for _ in range(paragraphs))
+        kind = "footer" if opening in FOOTER else "further" if opening in ASIDE else "offer" if opening in NOTICE + AD else None
+        if kind and likely(0.5):
+            said = pick(SAID[kind])
+            return opening + (f"<h4>{said}</h4>{inner}" if kind == "further" else said if opening.startswith("<p") or likely(0.5) else f"<p>{said}</p>") + closed(opening)
         if opening.startswith("<p") or likely(0.3):
             inner = sentence() if likely(0.5) else words(2, 10)
         elif likely(0.3):
@@ -178,8 +209,9 @@ def practice(sentences: list[str], rng: np.random.Generator) -> str:
     def comments() -> str:
         opening = pick(COMMENT)
         item = "li" if "<ol" in opening or "<ul" in opening else pick(('div class="comment"', "div", "article", 'article class="comment"', "p"))
+        heading = pick(SAID["comment"]) if likely(0.6) else words(1, 3)
         inner = "".join(f"<{item}>" + (f"<b>{words(1, 3)}</b> " if likely(0.5) else "") + (sentence() if item == "p" or likely(0.4) else f"<p>{sentence()}</p>") + f"</{item.split()[0]}>" for _ in range(rng.integers(1, 6)))
-        return opening + (f"<h3>{words(1, 3)}</h3>" if likely(0.5) else "") + inner + closed(opening)
+        return opening + (f"<h3>{heading}</h3>" if likely(0.4) else f"<div>{heading}</div>" if likely(0.5) else "") + inner + closed(opening)
 
     def article() -> str:
         opening = pick(MAIN)
@@ -190,7 +222,12 @@ def practice(sentences: list[str], rng: np.random.Generator) -> str:
         for _ in range(rng.integers(1, 14)):
             roll = rng.random()
             if roll < 0.7:
-                parts.append(f"<div>{MARK}{sentence()}</div>" if bare else f"<p>{MARK}{sentence()}" + ("</p>" if likely(0.9) else ""))
+                paragraph = f"<div>{MARK}{sentence()}</div>" if bare else f"<p>{MARK}{sentence()}" + ("</p>" if likely(0.9) else "")
+                if likely(0.05):
+                    paragraph = pick(ODD).format(f"<p>{MARK}{sentence()}</p>")
+                elif likely(0.05):
+                    paragraph = f'<p class="{pick(ODD_P)}">{MARK}{sentence()}</p>'
+                parts.append(paragraph)
             elif roll < 0.78:
                 parts.append(f"<h{rng.integers(2, 4)}>{MARK}{words(1, 8)}</h2>")
             elif roll < 0.85:
@@ -219,14 +256,16 @@ def practice(sentences: list[str], rng: np.random.Generator) -> str:
     return page + (f'<div class="{pick(("wrapper", "container", "page", "site", "layout"))}">' if likely(0.4) else "") + top + article() + end + "</body></html>"
 
 
-def trained(pages: list[str], rounds: int = 14, seed: int = 5) -> Labeller:
+def trained(pages: list[str], rounds: int = 20, seed: int = 5) -> Labeller:
     rng = np.random.default_rng(seed)
     read = [blocks_of(p) for p in pages]
-    labelled = [(b, [teacher(x) for x in b]) for b in read]
-    labelled = [(b, y) for b, y in labelled if any(y)]
-    sentences = [x.text[:300] for b, y in labelled for x, main in zip(b, y, strict=True) if main] or ["The quick brown fox jumps over the lazy dog.", "It was late."]
-    for _ in range(max(300, len(pages))):
-        made = blocks_of(practice(sentences, rng))
+    labelled: list = [(b, [np.nan if disputed(x) else teacher(x) for x in b]) for b in read]
+    labelled = [(b, y) for b, y in labelled if True in y]
+    sentences = [x.text[:300] for b, y in labelled for x, main in zip(b, y, strict=True) if main is True] or ["The quick brown fox jumps over the lazy dog.", "It was late."]
+    for nr in range(2 * max(300, len(pages))):
+        # Half of the practice pages have names that say nothing, so that the text and its place must tell.
+        page = practice(sentences, rng)
+        made = blocks_of(unnamed(page, rng) if nr % 2 else page)
         labelled.append(([Block(b.path, b.text.replace(MARK, "") or "x", b.linked) for b in made], [MARK in b.text for b in made]))
     labeller = Labeller(seed)
     labeller.fit(features([b for b, _ in labelled]), [np.array(y, np.float32) for _, y in labelled], rounds)
