@@ -50,7 +50,7 @@ KINDS = {
 }
 KIND_OF = {name: [k for k, names in KINDS.items() if name in names.split()] for names in KINDS.values() for name in names.split()}
 BOILERPLATE = ("nav", "header", "footer", "aside", "ad", "notice", "form", "comment", "social", "outside")
-#: What short texts beside an article say, in four languages; a fixed list.
+#: What texts of a few words beside an article say, in four languages; a fixed list.
 CUES = {
     "rights": r"\xA9|\(c\)|copyright|all rights reserved|alle rechte|tous droits|todos los derechos|impressum",
     "comment": r"\bcomments?\b|kommentare?\b|commentaires?\b|comentarios?\b|\brepl(?:y|ies)\b|antworten|répondre|responder",
@@ -58,6 +58,8 @@ CUES = {
     "further": r"\brelated\b|read more|see also|most read|share this|follow us|weiterlesen|lire aussi|leer más",
 }
 SAYS = [re.compile(cue, re.I) for cue in CUES.values()]
+ANY = re.compile("|".join(CUES.values()), re.I)
+SHORT = 80
 PATH_DIMS, WORD_DIMS, PLACE_DIMS = 32, 24, 8
 N_FEATURES = 3 * len(KINDS) + PATH_DIMS + WORD_DIMS + 10 + len(CUES) + PLACE_DIMS
 
@@ -200,22 +202,29 @@ def places(page: list[Block]) -> np.ndarray:
     """How each block lies among the others, whatever the elements around it are called: how far its path agrees with that of the
     block before and after it, and how much of the page's plain text and of its links stands beside it, under the same parent
     and under the one above that."""
-    out = np.zeros((len(page), PLACE_DIMS), np.float32)
-    shared = [0.0]
-    for a, b in zip(page, page[1:], strict=False):
-        same = next((d for d, (x, y) in enumerate(zip(a.path, b.path, strict=False)) if x != y), min(len(a.path), len(b.path)))
-        shared.append(same / max(len(a.path), len(b.path), 1))
-    plain = [max(len(b.text) - b.linked, 0) for b in page]
-    total, linked = max(sum(plain), 1), max(sum(b.linked for b in page), 1)
-    out[:, 0], out[:, 1] = shared[: len(page)], [*shared[1 : len(page)], 0.0]
+    n = len(page)
+    out = np.zeros((n, PLACE_DIMS), np.float32)
+    shared = np.zeros(n + 1, np.float32)
+    for i in range(1, n):
+        a, b = page[i - 1].path, page[i].path
+        if a is b or a == b:
+            shared[i] = 1
+            continue
+        same = 0
+        for x, y in zip(a, b, strict=False):
+            if x != y:
+                break
+            same += 1
+        shared[i] = same / max(len(a), len(b), 1)
+    linked = np.fromiter((b.linked for b in page), np.float64, n)
+    plain = np.maximum(np.fromiter((len(b.text) for b in page), np.float64, n) - linked, 0)
+    out[:, 0], out[:, 1] = shared[:n], shared[1:]
     for column, up in ((2, 1), (5, 2)):
-        held: dict[tuple[str, ...], list[int]] = {}
-        for b, n in zip(page, plain, strict=True):
-            sums = held.setdefault(b.path[:-up], [0, 0, 0])
-            sums[0], sums[1], sums[2] = sums[0] + n, sums[1] + b.linked, sums[2] + 1
-        for i, b in enumerate(page):
-            n, m, k = held[b.path[:-up]]
-            out[i, column : column + 3] = n / total, m / linked, min(np.log1p(k) / 3, 2)
+        numbers: dict[tuple[str, ...], int] = {}
+        at = np.fromiter((numbers.setdefault(b.path[:-up], len(numbers)) for b in page), np.int64, n)
+        out[:, column] = (np.bincount(at, plain) / max(plain.sum(), 1))[at]
+        out[:, column + 1] = (np.bincount(at, linked) / max(linked.sum(), 1))[at]
+        out[:, column + 2] = np.minimum(np.log1p(np.bincount(at)) / 3, 2)[at]
     return out
 
 
@@ -234,16 +243,18 @@ def features(pages: list[list[Block]]) -> list[np.ndarray]:
         own = np.zeros((len(page), N_FEATURES), np.float32)
         n = counts[at : at + len(page)]
         for i, b in enumerate(page):
-            own[i, : len(path_vector(b.path))] = path_vector(b.path)
-            own[i, len(path_vector(b.path)) : len(path_vector(b.path)) + len(CUES)] = [bool(cue.search(b.text[:200])) for cue in SAYS]
-            size = len(b.text)
+            path, size = path_vector(b.path), len(b.text)
+            own[i, : len(path)] = path
+            if size <= SHORT and ANY.search(b.text):
+                own[i, len(path) : len(path) + len(CUES)] = [bool(cue.search(b.text)) for cue in SAYS]
             own[i, -10:-2] = (
                 min(np.log1p(n[i]) / 4, 2), min(size / max(n[i], 1) / 8, 2), min(b.linked / size, 1), b.text[-1] in ".!?:;\"”»", (b.text.count(",") + b.text.count(".")) / size * 10,
                 min(len(b.path) / 10, 2), b.text[:1].isupper(), n[i] < 4,
             )
             own[i, -2:] = i / len(page), (len(page) - i) / len(page)
         own[:, -(10 + WORD_DIMS) : -10] = words[at : at + len(page)]
-        own[:, -(10 + WORD_DIMS + PLACE_DIMS) : -(10 + WORD_DIMS)] = places(page)
+        if page:
+            own[:, -(10 + WORD_DIMS + PLACE_DIMS) : -(10 + WORD_DIMS)] = places(page)
         out.append(own)
         at += len(page)
     return out

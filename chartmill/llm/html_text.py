@@ -5,7 +5,7 @@ hashed words, and figures about the text.  So a block is judged with the whole p
 text are joined in page order by one line feed.
 
 It is trained on the driver with two bounded sets: about `sample` pages of the table (never over four times as many), drawn by the hash of
-page_id among those of at most `sample_chars` characters, labelled by what the page's own marks say (`teacher`); and twice as many practice pages,
+page_id among those of at most `sample_chars` characters, labelled by what the page's own marks say (`teacher`); and three times as many practice pages,
 made of the sample's sentences in other layouts (`practice`), labelled by construction, half of them without telling names (`unnamed`).  All pages are read and labelled
 whole.
 
@@ -262,7 +262,7 @@ def trained(pages: list[str], rounds: int = 20, seed: int = 5) -> Labeller:
     labelled: list = [(b, [np.nan if disputed(x) else teacher(x) for x in b]) for b in read]
     labelled = [(b, y) for b, y in labelled if True in y]
     sentences = [x.text[:300] for b, y in labelled for x, main in zip(b, y, strict=True) if main is True] or ["The quick brown fox jumps over the lazy dog.", "It was late."]
-    for nr in range(2 * max(300, len(pages))):
+    for nr in range(3 * max(300, len(pages))):
         # Half of the practice pages have names that say nothing, so that the text and its place must tell.
         page = practice(sentences, rng)
         made = blocks_of(unnamed(page, rng) if nr % 2 else page)
