@@ -6,11 +6,11 @@ from chartmill.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
-# Queries with a one-row result, a cursor or a numbering; only pre-aggregated rows reach the single task.
-ONE_TASK = {"latest_row", "find_triage", "find_users", "find_latest_events", "allocate_identifiers", "backfill_descending",
+# Queries with a one-row result, a cursor, a numbering or the bits of a key filter; only pre-aggregated rows reach the single task.
+ONE_TASK = {"latest_staged_row", "ledger_first_run_or_delta", "anti_not_staged_delta", "semi_of_delta", "latest_row", "find_triage", "find_users", "find_latest_events", "allocate_identifiers", "backfill_descending",
             "first_run_or_delta", "incr_ascending", "incr_inclusive", "incr_look_back"}
 # Queries that write and read back: their returned plan is only the last read.
-STAGED = {"append_staged", "idempotent_load", "minute_batches", "upsert_mapping", "outbox_write"}
+STAGED = {"load_ledger", "load_ledger_compacted", "minute_batches_waiting", "triage_by_changes", "regimens_by_changes", "upsert_ranges", "append_staged", "idempotent_load", "minute_batches", "upsert_mapping", "outbox_write"}
 
 
 @pytest.fixture(scope="module", autouse=True)
