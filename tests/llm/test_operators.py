@@ -834,5 +834,5 @@ def test_secrets_time_grows_with_the_text(spark):
         secrets.report(docs).write.format("noop").mode("overwrite").save()
         seconds[n] = time.perf_counter() - start
         docs.unpersist()
-    # The shortest one is what any scan takes.
-    assert seconds[32_000] - seconds[500] <= 4.5 * max(1.0, seconds[8_000] - seconds[500]), seconds
+    # The first one warms up.  Where work grew with the square of the matches this was about 7.
+    assert seconds[32_000] <= 4 * seconds[8_000], seconds
