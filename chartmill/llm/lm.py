@@ -9,7 +9,9 @@ time, in key order, so that a machine reads a page once, however large the model
 * The vocabulary is an array of 64-bit word hashes; a word's number is its rank in it.
 * A pair's key is the numbers of its words.  Pairs lie in the bucket of their first word, so that what follows a word is
   counted in one place.  Words so frequent that their pairs could outgrow a bucket have their pairs spread over all buckets
-  by the second word.  These are at most 8 words for each bucket, the same list for all tasks.
+  by the second word.  These are some 8 words for each bucket (48 where all words have one letter), the same list for all tasks.
+* Buckets follow the bytes of the training texts: their number and their size both grow with the square root, so that 100 TB
+  make some 55,000 buckets.  A bucket has three files: words, their sides, pairs.  A process maps at most `MAPPINGS` of them.
 * Counts of counts, of which discounts are made, are a few numbers from each bucket.
 
 P(v|u) = max(c(uv) - D(c(uv)), 0) / c(u) + g(u) P(v), where g(u) is what the discounts of u's pairs free, and P(v) is made
@@ -22,6 +24,7 @@ every token has the probability 1.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 from collections.abc import Iterator
@@ -40,6 +43,17 @@ START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 BYTES = 4 << 20
 GATHERED = 3 << 20
 LOW = np.uint64(0xFFFFFFFF)
+#: A bucket of this many bytes of text is one of as many buckets times this number, see `buckets_for`.
+GRAIN = 32 << 10
+#: Files that a process maps at a time; systems commonly allow it 65,530 mappings.
+MAPPINGS = 4_096
+#: The columns of the files of a bucket.
+COLUMNS = {
+    "words": {"hash": np.uint64, "seen": np.int64},
+    "sides": {"before": np.uint32, "after1": np.uint32, "after2": np.uint32, "after3": np.uint32},
+    "pairs": {"key": np.uint64, "count": np.uint8, "large_key": np.uint64, "large": np.int64},
+}
+SIDES = tuple(COLUMNS["sides"])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -107,16 +121,33 @@ def blocks(bucket: np.ndarray, keys: np.ndarray, *values: np.ndarray) -> pa.Reco
     )
 
 
-def save(folder: str, name: str, array: np.ndarray) -> None:
-    """Written aside and renamed, so that a repeated or parallel attempt leaves one whole file."""
-    aside = f"{folder}/.{name}-{uuid.uuid4().hex}.npy"
-    np.save(aside, array)
-    os.replace(aside, f"{folder}/{name}.npy")
+def save(folder: str, kind: str, bucket: int, **columns: np.ndarray) -> None:
+    """All columns in one file behind their lengths, the widest first so that each is aligned.  Written aside and renamed, so
+    that a repeated or parallel attempt leaves one whole file."""
+    aside = f"{folder}/.{kind}-{bucket}-{uuid.uuid4().hex}"
+    kinds = COLUMNS[kind]
+    with open(aside, "wb") as out:
+        out.write(np.array([len(columns[name]) for name in kinds], np.int64).tobytes())
+        for name in widest_first(kind):
+            out.write(np.ascontiguousarray(columns[name], kinds[name]).data)
+    os.replace(aside, f"{folder}/{kind}-{bucket}")
 
 
-@lru_cache(maxsize=None)
-def mapped(path: str) -> np.ndarray:
-    return np.load(path, mmap_mode="r")
+def widest_first(kind: str) -> list[str]:
+    return sorted(COLUMNS[kind], key=lambda name: -np.dtype(COLUMNS[kind][name]).itemsize)
+
+
+@lru_cache(maxsize=MAPPINGS)
+def mapped(folder: str, kind: str, bucket: int) -> dict[str, np.ndarray]:
+    """The columns of a file by name, all views of one mapping; it is closed when it leaves the cache and no view is in use."""
+    raw = np.memmap(f"{folder}/{kind}-{bucket}", np.uint8, "r")
+    kinds = COLUMNS[kind]
+    at = 8 * len(kinds)
+    lengths, out = dict(zip(kinds, raw[:at].view(np.int64).tolist(), strict=True)), {}
+    for name in widest_first(kind):
+        end = at + lengths[name] * np.dtype(kinds[name]).itemsize
+        out[name], at = raw[at:end].view(kinds[name]), end
+    return out
 
 
 # ---- reading texts
@@ -146,12 +177,13 @@ class Model:
         self.folder, self.n = folder, n_buckets
         self.offsets = np.cumsum([0, *sizes]).astype(np.int64)
         self.hot = np.zeros(0, np.uint64)
+        self.paired = np.zeros(n_buckets, bool)
         self.total = self.distinct = self.texts = 0
         self.pair_discounts = self.word_discounts = (0.0, 0.0, 0.0)
         self.continuations, self.freed = 0, 0.0
 
-    def file(self, name: str, bucket: int) -> np.ndarray:
-        return mapped(f"{self.folder}/{name}-{bucket}.npy")
+    def column(self, kind: str, name: str, bucket: int) -> np.ndarray:
+        return mapped(self.folder, kind, bucket)[name]
 
     def word_bucket(self, hashes: np.ndarray) -> np.ndarray:
         """Buckets follow the order of the hashes."""
@@ -161,19 +193,21 @@ class Model:
         """The rank of each of some ascending hashes in the vocabulary, -1 if it is not there."""
         out = np.full(len(hashes), -1, np.int64)
         for b, lo, hi in runs(self.word_bucket(hashes)):
-            known = self.file("words", b)
+            if self.offsets[b] == self.offsets[b + 1]:
+                continue
+            known = self.column("words", "hash", b)
             at = np.searchsorted(known, hashes[lo:hi])
             held = at < len(known)
             held[held] = known[at[held]] == hashes[lo:hi][held]
             out[lo:hi][held] = at[held] + self.offsets[b]
         return out
 
-    def values(self, name: str, numbers: np.ndarray) -> np.ndarray:
+    def values(self, kind: str, name: str, numbers: np.ndarray) -> np.ndarray:
         """A column of the vocabulary for ascending numbers; 0 where the number is -1."""
         out = np.zeros(len(numbers), np.int64)
         known = np.flatnonzero(numbers >= 0)
         for b, lo, hi in runs(np.searchsorted(self.offsets, numbers[known], "right") - 1):
-            out[known[lo:hi]] = self.file(name, b)[numbers[known[lo:hi]] - self.offsets[b]]
+            out[known[lo:hi]] = self.column(kind, name, b)[numbers[known[lo:hi]] - self.offsets[b]]
         return out
 
     def pair_bucket(self, keys: np.ndarray) -> np.ndarray:
@@ -190,15 +224,17 @@ class Model:
         bucket = self.pair_bucket(keys)
         order = np.argsort(bucket, kind="stable")
         for b, lo, hi in runs(bucket[order]):
+            if not self.paired[b]:
+                continue
             own = order[lo:hi]
-            known, counts = self.file("pairs", b), self.file("counts", b)
+            known, counts = self.column("pairs", "key", b), self.column("pairs", "count", b)
             at = np.searchsorted(known, keys[own])
             held = at < len(known)
             held[held] = known[at[held]] == keys[own][held]
             got = counts[at[held]].astype(np.int64)
             large = np.flatnonzero(got == 255)
             if len(large):
-                got[large] = self.file("large", b)[np.searchsorted(self.file("large_keys", b), keys[own[held]][large])]
+                got[large] = self.column("pairs", "large", b)[np.searchsorted(self.column("pairs", "large_key", b), keys[own[held]][large])]
             out[own[held]] = got
         return out
 
@@ -225,9 +261,16 @@ def discounted(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
 
 # ---- training
 
-def train(texts: DataFrame, buckets_per_split: int = 4) -> Model:
-    """Counts (text) rows; the number of buckets follows the number of input splits."""
-    n = max(8, buckets_per_split * texts.rdd.getNumPartitions())
+def buckets_for(size: int) -> int:
+    """Number and size of buckets grow alike: 55 of 1.8 MB of text for 0.1 GB, 960 of 31 MB for 30 GB, 55,000 of 1.8 GB for 100 TB.
+    A task that merges a bucket holds its distinct pairs, at most 16 bytes for each, in about three copies."""
+    return max(8, math.isqrt(size // GRAIN))
+
+
+def train(texts: DataFrame, buckets: int | None = None) -> Model:
+    """Counts (text) rows; more `buckets` than `buckets_for` make smaller tasks and more files."""
+    size = texts.agg(F.sum(F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))) + F.lit(1).cast("long"))).first()[0] or 0
+    n = buckets or buckets_for(size)
     folder = make_dir(mounted(new_folder(texts.sparkSession, "model")))
     model = Model(folder, n, [0] * n)
     only = texts.select(F.col("text").cast("string").alias("text"))
@@ -242,28 +285,23 @@ def train(texts: DataFrame, buckets_per_split: int = 4) -> Model:
     def merge_words(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         keys, counts = merged(table.column("block"))
-        save(folder, f"words-{bucket}", keys)
         # The start state is a context only; its number of texts is known from the end token.
         counts = np.where(keys == START, 0, counts)
-        save(folder, f"seen-{bucket}", counts)
-        most = np.argsort(-counts, kind="stable")[:64]
+        save(folder, "words", bucket, hash=keys, seen=counts)
+        # Words with about an eighth of a bucket's share of all tokens, a token with its space taken as six bytes; and the start state.
+        hot = np.flatnonzero((counts > size // (48 * n)) | (keys == START))
         ends = counts[keys == END]
-        return pa.table({"bucket": [bucket], "size": [len(keys)], "distinct": [int((counts > 0).sum())], "total": [int(counts.sum())], "texts": [int(ends[0]) if len(ends) else 0], "most": [[int(i) for i in most]], "counts": [[int(counts[i]) for i in most]], "start": [int(np.searchsorted(keys, START)) if (keys == START).any() else -1]})
+        return pa.table({"bucket": [bucket], "size": [len(keys)], "distinct": [int((counts > 0).sum())], "total": [int(counts.sum())], "texts": [int(ends[0]) if len(ends) else 0], "hot": pa.array([hot.tolist()], pa.list_(pa.int64()))})
 
-    seen = in_arrow(only, count_words, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_words, "bucket long, size long, distinct long, total long, texts long, most array<long>, counts array<long>, start long").collect()
+    seen = in_arrow(only, count_words, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_words, "bucket long, size long, distinct long, total long, texts long, hot array<long>").collect()
     sizes = np.zeros(n, np.int64)
     for r in seen:
         sizes[r["bucket"]] = r["size"]
     model.offsets = np.append(0, np.cumsum(sizes))
     if model.offsets[-1] >= 1 << 32:
         raise ValueError("more than 2^32 different words: split the corpus")
-    for b in np.flatnonzero(sizes == 0):
-        save(folder, f"words-{b}", np.zeros(0, np.uint64))
-        save(folder, f"seen-{b}", np.zeros(0, np.int64))
     model.total, model.distinct, model.texts = (sum(r[k] for r in seen) for k in ("total", "distinct", "texts"))
-    # Words with an eighth of a bucket's share of all tokens; there are at most 8 n of them.
-    hot = [model.offsets[r["bucket"]] + i for r in seen for i, c in zip(r["most"], r["counts"], strict=True) if 8 * n * c > model.total]
-    hot += [model.offsets[r["bucket"]] + r["start"] for r in seen if r["start"] >= 0]
+    hot = [model.offsets[r["bucket"]] + i for r in seen for i in r["hot"]]
     model.hot = np.unique(np.array(hot, np.uint64))
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,13 +320,10 @@ def train(texts: DataFrame, buckets_per_split: int = 4) -> Model:
     def merge_pairs(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         keys, counts = merged(table.column("block"))
-        save(folder, f"pairs-{bucket}", keys)
-        save(folder, f"counts-{bucket}", np.minimum(counts, 255).astype(np.uint8))
         large = counts >= 255
-        save(folder, f"large_keys-{bucket}", keys[large])
-        save(folder, f"large-{bucket}", counts[large])
+        save(folder, "pairs", bucket, key=keys, count=np.minimum(counts, 255), large_key=keys[large], large=counts[large])
         first, second = keys >> np.uint64(32), keys & LOW
-        of_counts = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
+        of_counts = [bucket, *(int((counts == k).sum()) for k in (1, 2, 3, 4))]
         # What each word adds: how many words precede it (0), and how many follow it once (1), twice (2) or more (3).
         sides = [np.unique(second, return_counts=True)] + [np.unique(first[c], return_counts=True) for c in (counts == 1, counts == 2, counts > 2)]
         column = np.concatenate([np.full(len(k), i, np.uint64) for i, (k, _) in enumerate(sides)])
@@ -304,21 +339,14 @@ def train(texts: DataFrame, buckets_per_split: int = 4) -> Model:
         tagged, number = merged(table.column("block"))
         columns = np.zeros((4, int(sizes[bucket])), np.uint32)
         columns[(tagged & np.uint64(3)).astype(np.int64), (tagged >> np.uint64(2)).astype(np.int64) - model.offsets[bucket]] = number
-        for name, column in zip(SIDES, columns, strict=True):
-            save(folder, f"{name}-{bucket}", column)
-        n_lists = [x for x in table.column("n").to_pylist() if x]
-        return pa.table({"bucket": [bucket], "pairs": [[sum(x) for x in zip(*n_lists, strict=True)] or [0] * 4], "words": [[int((columns[0] == k).sum()) for k in (1, 2, 3, 4)]], "types": [int((columns[0] > 0).sum())], "all": [int(columns[0].sum())]})
+        save(folder, "sides", bucket, **dict(zip(SIDES, columns, strict=True)))
+        lists = [x for x in table.column("n").to_pylist() if x]
+        return pa.table({"origin": pa.array([[x[0] for x in lists]], pa.list_(pa.int64())), "pairs": [[sum(x[k] for x in lists) for k in (1, 2, 3, 4)]], "words": [[int((columns[0] == k).sum()) for k in (1, 2, 3, 4)]], "types": [int((columns[0] > 0).sum())], "all": [int(columns[0].sum())]})
 
     if model.total:
         sides = in_arrow(only, count_pairs, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_pairs, "bucket long, block binary, n array<long>")
-        done = sides.groupBy("bucket").applyInArrow(merge_sides, "bucket long, pairs array<long>, words array<long>, types long, all long").collect()
-        for b in set(range(n)) - {r["bucket"] for r in done}:
-            for name in SIDES:
-                save(folder, f"{name}-{b}", np.zeros(int(sizes[b]), np.uint32))
-        for b in range(n):
-            if not os.path.exists(f"{folder}/pairs-{b}.npy"):
-                for name, kind in (("pairs", np.uint64), ("counts", np.uint8), ("large_keys", np.uint64), ("large", np.int64)):
-                    save(folder, f"{name}-{b}", np.zeros(0, kind))
+        done = sides.groupBy("bucket").applyInArrow(merge_sides, "origin array<long>, pairs array<long>, words array<long>, types long, all long").collect()
+        model.paired[np.array([b for r in done for b in r["origin"]], np.int64)] = True
         model.pair_discounts = discounts(np.sum([r["pairs"] for r in done], axis=0))
         model.word_discounts = discounts(np.sum([r["words"] for r in done], axis=0))
         model.continuations = sum(r["all"] for r in done)
@@ -327,9 +355,6 @@ def train(texts: DataFrame, buckets_per_split: int = 4) -> Model:
     return model
 
 
-SIDES = ("before", "after1", "after2", "after3")
-
-
 def merged(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     parts = [unpack(b.as_py()) for b in column]
     return summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
@@ -348,17 +373,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         run, starts = tokens(texts)
         distinct, back = np.unique(run, return_inverse=True)
         numbers = model.numbers(distinct) if model.total else np.full(len(distinct), -1)
-        column = lambda name: model.values(name, numbers) if model.total else np.zeros(len(distinct), np.int64)
-        seen = column("seen")
+        seen = model.values("words", "seen", numbers)
         n, v = model.total, model.distinct
         base = np.log10((seen + 0.5) / (n + 0.5 * (v + 1)))
         if model.total:
             # Words alone, by how many different words precede them.
-            alone = discounted(column("before"), model.word_discounts) / model.continuations + model.freed / model.continuations / (v + 1)
+            alone = discounted(model.values("sides", "before", numbers), model.word_discounts) / model.continuations + model.freed / model.continuations / (v + 1)
             follow = np.where(distinct == START, model.texts, seen).astype(np.float64)
             # The end token is no context.
             follow[distinct == END] = 0
-            freed = free(np.stack([column(x) for x in SIDES[1:]]), model.pair_discounts)
+            freed = free(np.stack([model.values("sides", x, numbers) for x in SIDES[1:]]), model.pair_discounts)
             with np.errstate(divide="ignore", invalid="ignore"):
                 back_off = np.where(follow > 0, freed / follow, 1.0)
             keys = numbers[back[:-1]].astype(np.uint64) << np.uint64(32) | numbers[back[1:]].astype(np.uint64) & LOW

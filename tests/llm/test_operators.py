@@ -2,9 +2,11 @@
 extra columns whose names the operators use inside."""
 
 import collections
+import functools
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 import zlib
@@ -269,6 +271,30 @@ def test_lm_sums_to_one(spark, docs, rows):
     assert lm.score(one, model).first()["score"] < 0 and max(scored.values()) < 0
 
 
+def test_lm_files(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 400) for _ in range(300)] + ["the end " * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learnt = docs.where(~lm.held_out(F.col("doc_id"))).select("text")
+    want = sorted(r[6] for r in brute_lm([(i, t, None, None) for i, t in enumerate(texts)]))
+    for buckets in (None, 1, 50):
+        model = lm.train(learnt, buckets)
+        # Three files a bucket at most, whatever they hold; buckets without words have none.
+        assert len(os.listdir(model.folder)) <= 3 * model.n and model.n == (buckets or 8)
+        assert 0 < len(model.hot) <= 48 * model.n + 1
+        assert sorted(r["score"] for r in lm.score(docs, model).collect()) == pytest.approx(want, rel=1e-9)
+    # Columns come back as they were saved, also through a cache that holds one mapping.
+    one = functools.lru_cache(maxsize=1)(lm.mapped.__wrapped__)
+    monkeypatch.setattr(lm, "mapped", one)
+    assert sum(len(model.column("words", "hash", b)) for b in range(50) if model.offsets[b] < model.offsets[b + 1]) == model.offsets[-1]
+    assert one.cache_info().currsize == 1
+
+
+def test_lm_bucket_numbers():
+    # Number and size of buckets grow alike.
+    assert [lm.buckets_for(x) for x in (0, 10**6, 10**9, 10**14)] == [8, 8, 174, 55_242]
+
+
 # ---- 3
 
 def test_caps(spark):
