@@ -1,6 +1,6 @@
-"""Scoring by an interpolated modified Kneser-Ney model of word pairs.
+"""Scoring by an interpolated modified Kneser-Ney model of word pairs, or of triples with `order=3`.
 
-Words are counted by Spark in two passes over the training texts.  Tasks gather distinct keys and their counts in sorted
+Words are counted by Spark in two passes over the training texts, triples in a third one.  Tasks gather distinct keys and their counts in sorted
 arrays before anything is shuffled; what is shuffled are blocks of such arrays, one for each bucket of keys, with the
 differences of sorted keys compressed.  A bucket's task merges its blocks and writes sorted arrays of keys and values to
 the shared folder.  Scoring tasks map these files into memory and look up the distinct words and pairs of some texts at a
@@ -11,11 +11,15 @@ time, in key order, so that a machine reads a page once, however large the model
   counted in one place.  Words so frequent that their pairs could outgrow a bucket have their pairs spread over all buckets
   by the second word.  These are some 8 words for each bucket (48 where all words have one letter), the same list for all tasks.
 * Buckets follow the bytes of the training texts: their number and their size both grow with the square root, so that 100 TB
-  make some 55,000 buckets.  A bucket has three files: words, their sides, pairs.  A process maps at most `MAPPINGS` of them.
+  make some 55,000 buckets.  A bucket has three files: words, their sides, pairs; and three more with triples.  A process maps at most `MAPPINGS` of them.
+* A triple's key is its first pair's place in the pair's bucket and the number of the last word; it lies in that bucket, so that
+  what follows a pair is counted where the pair is.  How many words precede a pair goes back to the pair's bucket as numbers.
 * Counts of counts, of which discounts are made, are a few numbers from each bucket.
 
 P(v|u) = max(c(uv) - D(c(uv)), 0) / c(u) + g(u) P(v), where g(u) is what the discounts of u's pairs free, and P(v) is made
 likewise from the number of different words before v, and interpolated with 1 / (V + 1): one share for all unknown words.
+With triples P(w|uv) is made from the counts of uvw and interpolated with P(w|v), and P(w|v) from how many different words precede
+vw (for v the start state: from the count of vw, as nothing precedes it).  After an unseen pair P(w|v) holds.
 A text begins in a start state and ends with an end token.  After an unknown word P(v) holds.
 
 Null texts are empty: one end token.  Repeated rows are texts of their own.  Without training texts N and V are zero and
@@ -32,6 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,8 +55,11 @@ MAPPINGS = 4_096
 #: The columns of the files of a bucket.
 COLUMNS = {
     "words": {"hash": np.uint64, "seen": np.int64},
-    "sides": {"before": np.uint32, "after1": np.uint32, "after2": np.uint32, "after3": np.uint32},
+    "sides": {"before": np.uint32, "after1": np.uint32, "after2": np.uint32, "after3": np.uint32, "follow": np.int64},
     "pairs": {"key": np.uint64, "count": np.uint8, "large_key": np.uint64, "large": np.int64},
+    "triples": {"key": np.uint64, "count": np.uint8, "large_key": np.uint64, "large": np.int64},
+    "context": {"after1": np.uint32, "after2": np.uint32, "after3": np.uint32},
+    "lower": {"before": np.uint32},
 }
 SIDES = tuple(COLUMNS["sides"])
 
@@ -109,6 +117,41 @@ class Gathered:
         self.parts, self.size = [], 0
 
 
+class GatheredByBucket(Gathered):
+    """The same for keys that name their bucket's own things, so that a key means something else in each bucket."""
+
+    def __init__(self):
+        super().__init__(None)
+
+    def add(self, bucket: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(summed_by_bucket(bucket, keys, np.ones(len(keys), np.int64)))
+        self.size += len(self.parts[-1][0])
+        if self.size > GATHERED:
+            self.merge()
+            if self.size > GATHERED // 2:
+                yield from self.out()
+
+    def merge(self) -> None:
+        if self.parts:
+            self.parts = [summed_by_bucket(*(np.concatenate([p[k] for p in self.parts]) for k in range(3)))]
+            self.size = len(self.parts[0][0])
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        if self.size:
+            yield blocks(*self.parts[0])
+        self.parts, self.size = [], 0
+
+
+def summed_by_bucket(bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((keys, bucket))
+    bucket, keys, counts = bucket[order], keys[order], counts[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (bucket[1:] != bucket[:-1])
+    first = np.flatnonzero(new)
+    return bucket[first], keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def blocks(bucket: np.ndarray, keys: np.ndarray, *values: np.ndarray) -> pa.RecordBatch:
     """A row for each bucket: its keys and values, packed."""
     order = np.argsort(bucket, kind="stable")
@@ -173,13 +216,15 @@ def read_texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[slice, list
 class Model:
     """The files of a model; any process that sees the shared folder can open it."""
 
-    def __init__(self, folder: str, n_buckets: int, sizes: list[int]):
-        self.folder, self.n = folder, n_buckets
+    def __init__(self, folder: str, n_buckets: int, sizes: list[int], order: int):
+        self.folder, self.n, self.order = folder, n_buckets, order
         self.offsets = np.cumsum([0, *sizes]).astype(np.int64)
         self.hot = np.zeros(0, np.uint64)
-        self.paired = np.zeros(n_buckets, bool)
+        # Buckets that hold pairs, and pairs that something follows; numbers of the start state and the end token.
+        self.paired, self.followed = np.zeros(n_buckets, bool), np.zeros(n_buckets, bool)
+        self.start = self.end = -1
         self.total = self.distinct = self.texts = 0
-        self.pair_discounts = self.word_discounts = (0.0, 0.0, 0.0)
+        self.triple_discounts = self.pair_discounts = self.word_discounts = (0.0, 0.0, 0.0)
         self.continuations, self.freed = 0, 0.0
 
     def column(self, kind: str, name: str, bucket: int) -> np.ndarray:
@@ -219,26 +264,45 @@ class Model:
             bucket[spread] = (mixed(keys[spread] & LOW) % np.uint64(self.n)).astype(np.int64)
         return bucket
 
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(keys), np.int64)
-        bucket = self.pair_bucket(keys)
-        order = np.argsort(bucket, kind="stable")
+    def find(self, kind: str, bucket: np.ndarray, keys: np.ndarray, there: np.ndarray) -> np.ndarray:
+        """The place of each key among those of its bucket, -1 if it is not there; `there` tells which buckets have a file."""
+        out = np.full(len(keys), -1, np.int64)
+        order = np.lexsort((keys, bucket))
         for b, lo, hi in runs(bucket[order]):
-            if not self.paired[b]:
-                continue
-            own = order[lo:hi]
-            known, counts = self.column("pairs", "key", b), self.column("pairs", "count", b)
-            at = np.searchsorted(known, keys[own])
-            held = at < len(known)
-            held[held] = known[at[held]] == keys[own][held]
-            got = counts[at[held]].astype(np.int64)
-            large = np.flatnonzero(got == 255)
-            if len(large):
-                got[large] = self.column("pairs", "large", b)[np.searchsorted(self.column("pairs", "large_key", b), keys[own[held]][large])]
-            out[own[held]] = got
+            if there[b]:
+                own = order[lo:hi]
+                known = self.column(kind, "key", b)
+                at = np.searchsorted(known, keys[own])
+                held = at < len(known)
+                held[held] = known[at[held]] == keys[own][held]
+                out[own[held]] = at[held]
+        return out
+
+    def at(self, kind: str, name: str, bucket: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """A column's values at places of buckets, 0 where the place is -1."""
+        out = np.zeros(len(places), np.int64)
+        known = np.flatnonzero(places >= 0)
+        known = known[np.argsort(bucket[known], kind="stable")]
+        for b, lo, hi in runs(bucket[known]):
+            out[known[lo:hi]] = self.column(kind, name, b)[places[known[lo:hi]]]
+        return out
+
+    def counts(self, kind: str, bucket: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Counts at places of buckets; those of 255 and more are looked up by key."""
+        out = self.at(kind, "count", bucket, places)
+        large = np.flatnonzero(out == 255)
+        large = large[np.argsort(bucket[large], kind="stable")]
+        for b, lo, hi in runs(bucket[large]):
+            own = large[lo:hi]
+            out[own] = self.column(kind, "large", b)[np.searchsorted(self.column(kind, "large_key", b), self.column(kind, "key", b)[places[own]])]
         return out
 
 
+def save_counts(folder: str, kind: str, bucket: int, keys: np.ndarray, counts: np.ndarray) -> None:
+    large = counts >= 255
+    save(folder, kind, bucket, key=keys, count=np.minimum(counts, 255), large_key=keys[large], large=counts[large])
+
+
 def runs(labels: np.ndarray) -> Iterator[tuple[int, int, int]]:
     if len(labels):
         cuts = np.flatnonzero(np.append(True, labels[1:] != labels[:-1]))
@@ -267,12 +331,15 @@ def buckets_for(size: int) -> int:
     return max(8, math.isqrt(size // GRAIN))
 
 
-def train(texts: DataFrame, buckets: int | None = None) -> Model:
-    """Counts (text) rows; more `buckets` than `buckets_for` make smaller tasks and more files."""
+def train(texts: DataFrame, order: int = 2, buckets: int | None = None) -> Model:
+    """Counts (text) rows for a model of pairs (`order` 2) or triples (3); more `buckets` than `buckets_for` make smaller tasks
+    and more files."""
+    if order not in (2, 3):
+        raise ValueError("order is 2 or 3")
     size = texts.agg(F.sum(F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))) + F.lit(1).cast("long"))).first()[0] or 0
     n = buckets or buckets_for(size)
     folder = make_dir(mounted(new_folder(texts.sparkSession, "model")))
-    model = Model(folder, n, [0] * n)
+    model = Model(folder, n, [0] * n, order)
     only = texts.select(F.col("text").cast("string").alias("text"))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,9 +358,9 @@ def train(texts: DataFrame, buckets: int | None = None) -> Model:
         # Words with about an eighth of a bucket's share of all tokens, a token with its space taken as six bytes; and the start state.
         hot = np.flatnonzero((counts > size // (48 * n)) | (keys == START))
         ends = counts[keys == END]
-        return pa.table({"bucket": [bucket], "size": [len(keys)], "distinct": [int((counts > 0).sum())], "total": [int(counts.sum())], "texts": [int(ends[0]) if len(ends) else 0], "hot": pa.array([hot.tolist()], pa.list_(pa.int64()))})
+        return pa.table({"bucket": [bucket], "size": [len(keys)], "distinct": [int((counts > 0).sum())], "total": [int(counts.sum())], "texts": [int(ends[0]) if len(ends) else 0], "marks": [[int(np.flatnonzero(keys == k)[0]) if (keys == k).any() else -1 for k in (START, END)]], "hot": pa.array([hot.tolist()], pa.list_(pa.int64()))})
 
-    seen = in_arrow(only, count_words, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_words, "bucket long, size long, distinct long, total long, texts long, hot array<long>").collect()
+    seen = in_arrow(only, count_words, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_words, "bucket long, size long, distinct long, total long, texts long, marks array<long>, hot array<long>").collect()
     sizes = np.zeros(n, np.int64)
     for r in seen:
         sizes[r["bucket"]] = r["size"]
@@ -303,6 +370,7 @@ def train(texts: DataFrame, buckets: int | None = None) -> Model:
     model.total, model.distinct, model.texts = (sum(r[k] for r in seen) for k in ("total", "distinct", "texts"))
     hot = [model.offsets[r["bucket"]] + i for r in seen for i in r["hot"]]
     model.hot = np.unique(np.array(hot, np.uint64))
+    model.start, model.end = (max((int(model.offsets[r["bucket"]]) + r["marks"][k] for r in seen if r["marks"][k] >= 0), default=-1) for k in (0, 1))
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Gathered(model.pair_bucket)
@@ -320,34 +388,103 @@ def train(texts: DataFrame, buckets: int | None = None) -> Model:
     def merge_pairs(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         keys, counts = merged(table.column("block"))
-        large = counts >= 255
-        save(folder, "pairs", bucket, key=keys, count=np.minimum(counts, 255), large_key=keys[large], large=counts[large])
+        save_counts(folder, "pairs", bucket, keys, counts)
+        return side_rows(bucket, keys, counts, [0] * 4)
+
+    def pairs_only(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        keys, counts = merged(table.column("block"))
+        save_counts(folder, "pairs", bucket, keys, counts)
+        return pa.table({"bucket": [bucket], "followed": [bool(((keys & LOW) != np.uint64(model.end)).any())]})
+
+    def side_rows(bucket: int, keys: np.ndarray, counts: np.ndarray, of_triples: list[int]) -> pa.Table:
+        """What each word adds: how many words precede it (0), how many follow it once (1), twice (2) or more (3), and all counts (4)."""
         first, second = keys >> np.uint64(32), keys & LOW
-        of_counts = [bucket, *(int((counts == k).sum()) for k in (1, 2, 3, 4))]
-        # What each word adds: how many words precede it (0), and how many follow it once (1), twice (2) or more (3).
         sides = [np.unique(second, return_counts=True)] + [np.unique(first[c], return_counts=True) for c in (counts == 1, counts == 2, counts > 2)]
+        cuts = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
+        sides.append((first[cuts], np.add.reduceat(counts, cuts)))
         column = np.concatenate([np.full(len(k), i, np.uint64) for i, (k, _) in enumerate(sides)])
         words, number = np.concatenate([k for k, _ in sides]), np.concatenate([c for _, c in sides])
-        tagged = words << np.uint64(2) | column
+        tagged = words << np.uint64(3) | column
         order = np.argsort(tagged)
         rows = blocks(np.searchsorted(model.offsets, words[order].astype(np.int64), "right") - 1, tagged[order], number[order])
+        return noted(rows, [bucket, *(int((counts == k).sum()) for k in (1, 2, 3, 4)), *of_triples])
+
+    def noted(rows: pa.RecordBatch, numbers: list[int]) -> pa.Table:
+        """The first row carries numbers of the whole bucket."""
         out = pa.Table.from_batches([rows])
-        return out.append_column("n", pa.array([of_counts, *([None] * (len(out) - 1))], pa.list_(pa.int64())))
+        return out.append_column("n", pa.array([numbers, *([None] * (len(out) - 1))], pa.list_(pa.int64())))
+
+    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = GatheredByBucket()
+        for batch in batches:
+            for _, part in read_texts(batch, 0):
+                run, starts = tokens(part)
+                distinct, back = np.unique(run, return_inverse=True)
+                numbers = model.numbers(distinct).astype(np.uint64)[back]
+                pairs, pair_back = np.unique(numbers[:-1] << np.uint64(32) | numbers[1:], return_inverse=True)
+                inside = np.ones(len(pair_back), bool)
+                inside[starts[1:-1] - 1] = False
+                bucket = model.pair_bucket(pairs)
+                place = model.find("pairs", bucket, pairs, model.paired)
+                whole = np.flatnonzero(inside[:-1] & inside[1:])
+                context = pair_back[whole]
+                yield from found.add(bucket[context], place[context].astype(np.uint64) << np.uint64(32) | numbers[whole + 2])
+        yield from found.out()
+
+    def merge_triples(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        keys, counts = merged(table.column("block"))
+        save_counts(folder, "triples", bucket, keys, counts)
+        known = model.column("pairs", "key", bucket)
+        place = (keys >> np.uint64(32)).astype(np.int64)
+        after = (np.bincount(place[c], minlength=len(known)) for c in (counts == 1, counts == 2, counts > 2))
+        save(folder, "context", bucket, **dict(zip(COLUMNS["context"], after, strict=True)))
+        later, number = np.unique((known[place] & LOW) << np.uint64(32) | keys & LOW, return_counts=True)
+        return noted(blocks(model.pair_bucket(later), later, number), [int((counts == k).sum()) for k in (1, 2, 3, 4)])
+
+    def merge_lower(table: pa.Table) -> pa.Table:
+        """Pairs by how many different words precede them."""
+        bucket = table.column("bucket")[0].as_py()
+        if not model.paired[bucket]:
+            return pa.table({"bucket": pa.array([], pa.int64()), "block": pa.array([], pa.binary()), "n": pa.array([], pa.list_(pa.int64()))})
+        keys = np.array(model.column("pairs", "key", bucket))
+        lower = np.zeros(len(keys), np.int64)
+        held = table.filter(pc.is_valid(table.column("block")))
+        if len(held):
+            later, number = merged(held.column("block"))
+            lower[np.searchsorted(keys, later)] = number
+        save(folder, "lower", bucket, before=lower)
+        first = np.flatnonzero(keys >> np.uint64(32) == np.uint64(model.start))
+        lower[first] = model.counts("pairs", np.full(len(first), bucket), first)
+        lists = [x for x in held.column("n").to_pylist() if x]
+        return side_rows(bucket, keys, lower, [sum(x[k] for x in lists) for k in range(4)])
 
     def merge_sides(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         tagged, number = merged(table.column("block"))
-        columns = np.zeros((4, int(sizes[bucket])), np.uint32)
-        columns[(tagged & np.uint64(3)).astype(np.int64), (tagged >> np.uint64(2)).astype(np.int64) - model.offsets[bucket]] = number
+        columns = np.zeros((5, int(sizes[bucket])), np.int64)
+        columns[(tagged & np.uint64(7)).astype(np.int64), (tagged >> np.uint64(3)).astype(np.int64) - model.offsets[bucket]] = number
         save(folder, "sides", bucket, **dict(zip(SIDES, columns, strict=True)))
         lists = [x for x in table.column("n").to_pylist() if x]
-        return pa.table({"origin": pa.array([[x[0] for x in lists]], pa.list_(pa.int64())), "pairs": [[sum(x[k] for x in lists) for k in (1, 2, 3, 4)]], "words": [[int((columns[0] == k).sum()) for k in (1, 2, 3, 4)]], "types": [int((columns[0] > 0).sum())], "all": [int(columns[0].sum())]})
+        return pa.table({"origin": pa.array([[x[0] for x in lists]], pa.list_(pa.int64())), "pairs": [[sum(x[k] for x in lists) for k in (1, 2, 3, 4)]], "triples": [[sum(x[k] for x in lists) for k in (5, 6, 7, 8)]], "words": [[int((columns[0] == k).sum()) for k in (1, 2, 3, 4)]], "types": [int((columns[0] > 0).sum())], "all": [int(columns[0].sum())]})
 
     if model.total:
-        sides = in_arrow(only, count_pairs, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_pairs, "bucket long, block binary, n array<long>")
-        done = sides.groupBy("bucket").applyInArrow(merge_sides, "origin array<long>, pairs array<long>, words array<long>, types long, all long").collect()
+        pairs = in_arrow(only, count_pairs, "bucket long, block binary").groupBy("bucket")
+        rows = "bucket long, block binary, n array<long>"
+        if order == 2:
+            sides = pairs.applyInArrow(merge_pairs, rows)
+        else:
+            kept = pairs.applyInArrow(pairs_only, "bucket long, followed boolean").collect()
+            model.paired[[r["bucket"] for r in kept]] = True
+            model.followed[np.array([r["bucket"] for r in kept if r["followed"]], np.int64)] = True
+            # Buckets of pairs that nothing precedes get no numbers back; a row without a block stands for each bucket.
+            every = texts.sparkSession.range(n).select(F.col("id").alias("bucket"), F.lit(None).cast("binary").alias("block"), F.lit(None).cast("array<long>").alias("n"))
+            triples = in_arrow(only, count_triples, "bucket long, block binary").groupBy("bucket").applyInArrow(merge_triples, rows)
+            sides = triples.unionAll(every).groupBy("bucket").applyInArrow(merge_lower, rows)
+        done = sides.groupBy("bucket").applyInArrow(merge_sides, "origin array<long>, pairs array<long>, triples array<long>, words array<long>, types long, all long").collect()
         model.paired[np.array([b for r in done for b in r["origin"]], np.int64)] = True
-        model.pair_discounts = discounts(np.sum([r["pairs"] for r in done], axis=0))
+        model.triple_discounts, model.pair_discounts = (discounts(np.sum([r[k] for r in done], axis=0)) for k in ("triples", "pairs"))
         model.word_discounts = discounts(np.sum([r["words"] for r in done], axis=0))
         model.continuations = sum(r["all"] for r in done)
         once, twice = (sum(r["words"][k] for r in done) for k in (0, 1))
@@ -379,20 +516,36 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         if model.total:
             # Words alone, by how many different words precede them.
             alone = discounted(model.values("sides", "before", numbers), model.word_discounts) / model.continuations + model.freed / model.continuations / (v + 1)
-            follow = np.where(distinct == START, model.texts, seen).astype(np.float64)
-            # The end token is no context.
-            follow[distinct == END] = 0
-            freed = free(np.stack([model.values("sides", x, numbers) for x in SIDES[1:]]), model.pair_discounts)
+            follow = model.values("sides", "follow", numbers).astype(np.float64)
+            freed = free(np.stack([model.values("sides", x, numbers) for x in SIDES[1:4]]), model.pair_discounts)
             with np.errstate(divide="ignore", invalid="ignore"):
                 back_off = np.where(follow > 0, freed / follow, 1.0)
             keys = numbers[back[:-1]].astype(np.uint64) << np.uint64(32) | numbers[back[1:]].astype(np.uint64) & LOW
             real = (numbers[back[:-1]] >= 0) & (numbers[back[1:]] >= 0)
             real[starts[1:-1] - 1] = False
             pairs, pair_back = np.unique(keys[real], return_inverse=True)
-            counts = discounted(model.pair_counts(pairs), model.pair_discounts)[pair_back]
+            bucket = model.pair_bucket(pairs)
+            place = model.find("pairs", bucket, pairs, model.paired)
+            raw = model.counts("pairs", bucket, place)
+            lower = raw
+            if model.order == 3:
+                lower = np.where(pairs >> np.uint64(32) == np.uint64(model.start), raw, model.at("lower", "before", bucket, place))
             p = alone[back].copy()
             p[1:] *= back_off[back[:-1]]
-            p[1:][real] += counts / follow[back[:-1][real]]
+            p[1:][real] += discounted(lower, model.pair_discounts)[pair_back] / follow[back[:-1][real]]
+            if model.order == 3:
+                # Seen pairs that another token of the same text follows.
+                of = np.full(len(keys), -1)
+                of[real] = np.where(place >= 0, np.arange(len(pairs)), -1)[pair_back]
+                inside = np.ones(len(keys), bool)
+                inside[starts[1:-1] - 1] = False
+                first = np.flatnonzero((of[:-1] >= 0) & inside[1:])
+                own, last = of[first], numbers[back[first + 2]]
+                triples = place[own].astype(np.uint64) << np.uint64(32) | np.maximum(last, 0).astype(np.uint64)
+                at = np.where(last >= 0, model.find("triples", bucket[own], triples, model.followed), -1)
+                contexts = np.where(model.followed[bucket], place, -1)
+                opened = free(np.stack([model.at("context", x, bucket, contexts) for x in COLUMNS["context"]]), model.triple_discounts)
+                p[first + 2] = (discounted(model.counts("triples", bucket[own], at), model.triple_discounts) + opened[own] * p[first + 2]) / raw[own]
             logs = np.log10(p)
         else:
             logs = np.zeros(len(run))
@@ -417,6 +570,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return in_arrow(rows, run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
 
 
-def scores(docs: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, order: int = 2) -> DataFrame:
     """All texts scored by a model learnt from those that are not held out."""
-    return score(docs, train(docs.where(~held_out(F.col("doc_id"))).select("text")))
+    return score(docs, train(docs.where(~held_out(F.col("doc_id"))).select("text"), order))

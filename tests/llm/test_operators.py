@@ -278,7 +278,7 @@ def test_lm_files(spark, monkeypatch):
     learnt = docs.where(~lm.held_out(F.col("doc_id"))).select("text")
     want = sorted(r[6] for r in brute_lm([(i, t, None, None) for i, t in enumerate(texts)]))
     for buckets in (None, 1, 50):
-        model = lm.train(learnt, buckets)
+        model = lm.train(learnt, buckets=buckets)
         # Three files a bucket at most, whatever they hold; buckets without words have none.
         assert len(os.listdir(model.folder)) <= 3 * model.n and model.n == (buckets or 8)
         assert 0 < len(model.hot) <= 48 * model.n + 1
@@ -290,6 +290,59 @@ def test_lm_files(spark, monkeypatch):
     assert one.cache_info().currsize == 1
 
 
+def brute_triples(texts):
+    """Log probability of each text by a model of triples learnt from those that are not held out."""
+    words = [(["<s>", *split(t), "</s>"], zlib.crc32(str(i).encode()) % 5 == 1) for i, t in enumerate(texts)]
+    learnt = [w for w, out in words if not out]
+    three = collections.Counter(x for w in learnt for x in zip(w, w[1:], w[2:]))
+    pairs = collections.Counter(x for w in learnt for x in zip(w, w[1:]))
+    two = collections.Counter((b, c) for _, b, c in three)
+    two.update({p: n for p, n in pairs.items() if p[0] == "<s>"})
+    one = collections.Counter(b for _, b in pairs)
+    size = len({x for w in learnt for x in w[1:]})
+    off = [lm.discounts(np.array([sum(x == k for x in c.values()) for k in (1, 2, 3, 4)])) for c in (one, two, three)]
+    cut = lambda x, d: 0 if x == 0 else d[min(x, 3) - 1]
+
+    def level(counts, d):
+        total, freed = collections.Counter(), collections.Counter()
+        for key, x in counts.items():
+            total[key[:-1]] += x
+            freed[key[:-1]] += cut(x, d)
+        return lambda key, below: (counts[key] - cut(counts[key], d) + freed[key[:-1]] * below) / total[key[:-1]] if total[key[:-1]] else below
+
+    first, second, third = (level(c, d) for c, d in zip((collections.Counter({(w,): n for w, n in one.items()}), two, three), off))
+    out = []
+    for w, _ in words:
+        score = 0
+        for i in range(1, len(w)):
+            p = second((w[i - 1], w[i]), first((w[i],), 1 / (size + 1)))
+            score += math.log10(third((w[i - 2], w[i - 1], w[i]), p) if i > 1 else p)
+        out.append(score)
+    return out
+
+
+def test_lm_triples(spark):
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.4, rng.integers(1, 40)) % 60) for _ in range(300)]
+    texts += ["the end " * 700, "", "one", "one two", "unheardof " * 3, "w1 unheardof w1 w2", "a a a a a a"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_triples(texts)
+    learnt = docs.where(~lm.held_out(F.col("doc_id"))).select("text")
+    for buckets in (None, 1, 50):
+        model = lm.train(learnt, order=3, buckets=buckets)
+        got = {r["doc_id"]: r for r in lm.score(docs, model).collect()}
+        assert [got[i]["score"] for i in range(len(texts))] == pytest.approx(want, rel=1e-9)
+        assert len(os.listdir(model.folder)) <= 6 * model.n
+    # The other columns do not depend on the order.
+    pairs = {r["doc_id"]: r for r in lm.scores(docs).collect()}
+    assert all(tuple(got[i])[:6] == tuple(pairs[i])[:6] for i in got)
+    assert lm.score(docs.limit(0), model).count() == 0
+    empty = lm.train(docs.limit(0).select("text"), order=3)
+    assert {r["score"] for r in lm.score(docs.limit(3), empty).collect()} == {0.0}
+    with pytest.raises(ValueError):
+        lm.train(learnt, order=4)
+
+
 def test_lm_bucket_numbers():
     # Number and size of buckets grow alike.
     assert [lm.buckets_for(x) for x in (0, 10**6, 10**9, 10**14)] == [8, 8, 174, 55_242]
