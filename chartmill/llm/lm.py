@@ -265,9 +265,10 @@ class Model:
         return bucket
 
     def find(self, kind: str, bucket: np.ndarray, keys: np.ndarray, there: np.ndarray) -> np.ndarray:
-        """The place of each key among those of its bucket, -1 if it is not there; `there` tells which buckets have a file."""
+        """The place of each key among those of its bucket, -1 if it is not there; `there` tells which buckets have a file.
+        Keys that ascend within a bucket read its pages in order."""
         out = np.full(len(keys), -1, np.int64)
-        order = np.lexsort((keys, bucket))
+        order = np.argsort(bucket, kind="stable")
         for b, lo, hi in runs(bucket[order]):
             if there[b]:
                 own = order[lo:hi]
@@ -540,6 +541,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 inside = np.ones(len(keys), bool)
                 inside[starts[1:-1] - 1] = False
                 first = np.flatnonzero((of[:-1] >= 0) & inside[1:])
+                first = first[np.lexsort((numbers[back[first + 2]], place[of[first]], bucket[of[first]]))]
                 own, last = of[first], numbers[back[first + 2]]
                 triples = place[own].astype(np.uint64) << np.uint64(32) | np.maximum(last, 0).astype(np.uint64)
                 at = np.where(last >= 0, model.find("triples", bucket[own], triples, model.followed), -1)
