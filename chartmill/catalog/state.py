@@ -322,7 +322,7 @@ def delivered_in_rounds(t: Tables) -> outbox.Outbox:
         box.send(now)  # what is on its way is not sent again
         digit = F.pmod(F.col("key").cast("long"), F.lit(10))
         good = (digit <= 3) | ((digit <= 6) & (F.col("attempt") > 1))
-        answers = sent.where(digit < 9).select("entity", "document_hash", "attempt", now.alias("at"), F.when(good, "201").otherwise("500").alias("code"), F.when(good, F.concat(F.lit("V-"), "key")).alias("uuid"))
+        answers = sent.where(digit < 9).select("queue_number", "attempt", now.alias("at"), F.when(good, "201").otherwise("500").alias("code"), F.when(good, F.concat(F.lit("V-"), "key")).alias("uuid"))
         box.answer(answers)
         box.answer(answers)  # answers may come twice
     return box
@@ -348,7 +348,7 @@ def outbox_attempts(t: Tables) -> DataFrame:
     box = delivered_in_rounds(t)
     sent = box.events.staged().where("event = 'sent'")
     minute = F.timestamp_diff("MINUTE", F.expr(NOON), F.col("at")).cast("int").alias("minute")
-    return sent.join(box.queue.staged().select("document_hash", "key"), "document_hash").select(F.col("key").cast("long").alias("visit_id"), minute)
+    return sent.select("queue_number", "at").join(box.queue.staged().select("queue_number", "key"), "queue_number").select(F.col("key").cast("long").alias("visit_id"), minute)
 
 
 # ---- identifiers from a pool --------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -43,14 +43,14 @@ def allocate(rows: DataFrame, row_key: str, pool: DataFrame, pool_key: str, issu
     return numbered.join(free, "_position", "left").drop("_position")
 
 
-def in_order(df: DataFrame, order: Sequence[str], alias: str, folder: str, first: int = 1) -> DataFrame:
+def in_order(df: DataFrame, order: Sequence[Column | str], alias: str, folder: str, first: int = 1) -> DataFrame:
     """Numbers rows from `first` on in the given order, which must tell them apart or numbers of equal rows may swap.
 
     The rows are dealt into ranges, sorted there and written to `folder`, so that they are put into order once; a row's number
     is its place in its range behind the sizes of the ranges before, and only these sizes, one for each range, pass one task.
     """
     place = F.monotonically_increasing_id()
-    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place).write.parquet(folder)
+    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place).write.option("compression", "zstd").parquet(folder)
     rows = df.sparkSession.read.schema(StructType([*df.schema, StructField("_place", LongType())])).parquet(folder)
     # The identifier holds the number of the range above 33 bits, and the row's place in it below.
     rows = rows.withColumns({"_range": F.shiftright("_place", 33), "_in": F.col("_place").bitwiseAND((1 << 33) - 1)})

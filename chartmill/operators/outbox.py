@@ -8,6 +8,9 @@ queueing and never changes, and then moves through these states, which follow fr
                    -> retry -> due -> sent      another answer, under the rule that waits for a 201
                    -> due -> sent               no answer in time
 
+Events name a document by its queue number, which is what rounds of sending group and join by: eight bytes instead of a
+hash, which no codec makes smaller.  Answers that come without a number get it from the queue.
+
 An attempt is stored before its document goes out, so a run that is killed in between leaves it sent, and it comes due
 when no answer arrives.  Answers may come twice or late; a 201 is never taken back.
 """
@@ -29,9 +32,11 @@ from chartmill.sources.ledger import Ledger
 
 QUEUED, SENT, RETRY, DUE = "queued", "sent", "retry", "due"
 QUEUE = {"entity": "string", "key": "string", "document": "string", "document_hash": "string", "queue_number": "long"}
-EVENTS = {"entity": "string", "document_hash": "string", "attempt": "int", "event": "string", "at": "timestamp_ntz", "code": "string", "uuid": "string"}
+#: An event has the number of its document; its name stands there only if the document was not queued when its answer came.
+EVENTS = {"queue_number": "long", "entity": "string", "document_hash": "string", "attempt": "int", "event": "string", "at": "timestamp_ntz", "code": "string", "uuid": "string"}
 ASKED, ANSWERED = "sent", "answered"
 NAME = ("entity", "document_hash")
+NUMBER = "queue_number"
 
 
 def _schema(columns: dict[str, str]) -> StructType:
@@ -43,7 +48,7 @@ def newest_events(events: DataFrame) -> DataFrame:
     sent = F.when(F.col("event") == ASKED, F.struct("attempt", "at"))
     answer = F.when(F.col("event") == ANSWERED, F.struct("attempt", "at", "code", "uuid"))
     created = F.when((F.col("event") == ANSWERED) & (F.col("code") == fixed.CREATED), F.struct("attempt", "at", "uuid"))
-    return events.groupBy(*NAME).agg(F.max(sent).alias("sent"), F.max(answer).alias("answer"), F.max(created).alias("created"))
+    return events.groupBy(NUMBER).agg(F.max(sent).alias("sent"), F.max(answer).alias("answer"), F.max(created).alias("created"))
 
 
 def states(queue: DataFrame, events: DataFrame, now: Column, rule: str = CREATED_ONLY, retry_minutes: int = 5, timeout_minutes: int = 60,
@@ -53,8 +58,7 @@ def states(queue: DataFrame, events: DataFrame, now: Column, rule: str = CREATED
     After the n-th attempt a refused document comes due after `retry_minutes` times 2^(n-1)."""
     if rule not in (ALWAYS, CREATED_ONLY):
         raise ValueError(f"unknown rule {rule}")
-    told = newest_events(events).withColumnsRenamed({c: f"_{c}" for c in NAME})
-    rows = queue.join(told, (F.col("entity") == F.col("_entity")) & (F.col("document_hash") == F.col("_document_hash")), "left")
+    rows = queue.join(newest_events(events), NUMBER, "left")
     attempt = F.greatest(F.coalesce("sent.attempt", F.lit(0)), F.coalesce("answer.attempt", F.lit(0)))
     answered = F.col("answer").isNotNull() & (F.col("answer.attempt") >= attempt)
     wait = F.lit(retry_minutes) * F.pow(F.lit(2), F.least(attempt - 1, F.lit(most_doublings)))
@@ -92,21 +96,40 @@ class Outbox:
 
     @property
     def events(self) -> Ledger:
-        return Ledger(self.spark, f"{self.path}/events", _schema(EVENTS), (*NAME, "attempt", "event", "code"))
+        return Ledger(self.spark, f"{self.path}/events", _schema(EVENTS), (NUMBER, *NAME, "attempt", "event", "code"))
+
+    def numbered_events(self) -> DataFrame:
+        """All events, those by name with the number and without the name where their document has been queued since."""
+        events = self.events.staged().select(*EVENTS)
+        by_name = events.where(F.col(NUMBER).isNull())
+        if by_name.isEmpty():
+            return events
+        return events.where(F.col(NUMBER).isNotNull()).unionByName(self.numbered(by_name.drop(NUMBER)))
+
+    def numbered(self, events: DataFrame) -> DataFrame:
+        """Events by name (`NAME` and others of `EVENTS`) with the number instead, as far as their documents are queued."""
+        numbers = self.queue.staged().select(*[F.col(c).alias(f"_{c}") for c in NAME], NUMBER)
+        found = events.join(numbers, (F.col("entity") == F.col("_entity")) & (F.col("document_hash") == F.col("_document_hash")), "left")
+        unknown = F.col(NUMBER).isNull()
+        return found.withColumns({c: F.when(unknown, F.col(c)) for c in NAME}).select(*EVENTS)
 
     def put(self, documents: DataFrame, entity: str, key: str) -> int:
         """Queues documents that are not queued yet, in order of `key`, behind all others; returns how many.
 
         Numbers go on from the last one, and those given before stay: only the new documents are ordered."""
-        rows = documents.select(F.lit(entity).alias("entity"), F.col(key).alias("_order"), F.col(key).cast("string").alias("key"), "document", F.sha2(F.concat_ws("\n", F.col(key).cast("string"), "document"), 256).alias("document_hash"))
+        text = F.concat_ws("\n", F.col("key"), F.col("document"))
+        # Shuffled, the hash is 32 bytes instead of 64 digits, or it is made anew.
+        short = lambda digits: F.unhex(digits).alias("document_hash")
+        rows = documents.select(F.lit(entity).alias("entity"), F.col(key).alias("_order"), F.col(key).cast("string").alias("key"), "document")
         queue = self.queue
         last = queue.edges().first()["high"]
-        fresh = new_rows(rows, queue.staged().where(F.col("entity") == entity), NAME, ["_order"])
-        numbered = in_order(fresh, ["_order", "document_hash"], "queue_number", run_dir(self.spark, "queue"), 1 if last is None else last + 1)
-        return queue.append(numbered.select(*QUEUE))
+        before = queue.staged().where(F.col("entity") == entity).select("entity", short(F.col("document_hash")))
+        fresh = new_rows(rows.select("*", short(F.sha2(text, 256))), before, NAME, ["_order"]).drop("document_hash")
+        numbered = in_order(fresh, ["_order", F.sha2(text, 256)], NUMBER, run_dir(self.spark, "queue"), 1 if last is None else last + 1)
+        return queue.append(numbered.withColumn("document_hash", F.sha2(text, 256)).select(*QUEUE))
 
     def states(self, now: Column) -> DataFrame:
-        return states(self.queue.staged().select(*QUEUE), self.events.staged().select(*EVENTS), now, self.rule, self.retry_minutes, self.timeout_minutes)
+        return states(self.queue.staged().select(*QUEUE), self.numbered_events(), now, self.rule, self.retry_minutes, self.timeout_minutes)
 
     def send(self, now: Column) -> DataFrame:
         """Stores an attempt for each document that is queued or due, and returns what to send: the queue's columns and
@@ -115,12 +138,20 @@ class Outbox:
         load = 1 + max((e["load_number"] for e in events.log()), default=0)
         due = self.states(now).where(F.col("state").isin(QUEUED, DUE))
         nothing = F.lit(None).cast("string")
-        events.append(due.select(*NAME, (F.col("attempt") + 1).cast("int").alias("attempt"), F.lit(ASKED).alias("event"), now.cast("timestamp_ntz").alias("at"), nothing.alias("code"), nothing.alias("uuid")))
-        sent = events.staged().where(F.col("load_number") == load).select(*NAME, "attempt")
-        return self.queue.staged().select(*QUEUE).join(sent, list(NAME))
+        events.append(due.select(
+            NUMBER, *[nothing.alias(c) for c in NAME], (F.col("attempt") + 1).cast("int").alias("attempt"), F.lit(ASKED).alias("event"),
+            now.cast("timestamp_ntz").alias("at"), nothing.alias("code"), nothing.alias("uuid")))
+        sent = events.staged().where(F.col("load_number") == load).select(NUMBER, "attempt")
+        return self.queue.staged().select(*QUEUE).join(sent, NUMBER).select(*QUEUE, "attempt")
 
     def answer(self, answers: DataFrame) -> int:
-        """Stores answers (entity, document_hash, attempt, at, code, uuid); the same answer to an attempt counts once."""
+        """Stores answers (attempt, at, code, uuid and either queue_number or entity and document_hash); the same answer to an
+        attempt counts once."""
         events = self.events
-        rows = answers.withColumn("event", F.lit(ANSWERED)).select(*EVENTS)
-        return events.append(new_rows(rows, events.staged(), events.keys, ["at"], nullable=["code"]))
+        told = answers.withColumn("event", F.lit(ANSWERED))
+        if NUMBER in told.columns:
+            rows = told.withColumns({c: F.lit(None).cast("string") for c in NAME}).select(*EVENTS)
+        else:
+            rows = self.numbered(told)
+        before = self.numbered_events().where(F.col("event") == ANSWERED)
+        return events.append(new_rows(rows, before, events.keys, ["at"], nullable=[NUMBER, *NAME, "code"]))

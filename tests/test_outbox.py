@@ -1,6 +1,7 @@
 """Each document is queued once and sent as its state asks, through retries, silence, replays and killed runs."""
 
 import datetime
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,22 @@ def test_write_outbox_once(spark, papers, tmp_path):
         writers.write_outbox(papers, f"{tmp_path}/o", "visit")
     writers.write_outbox(papers.where("id = 3"), f"{tmp_path}/o", "order")
     assert spark.read.parquet(f"{tmp_path}/o").groupBy("entity").count().orderBy("entity").collect() == [("order", 1), ("visit", 4)]
+
+
+def test_events_go_by_number(spark, box, papers):
+    """Rounds group and join by the queue number; names are stored only of documents that are not queued."""
+    early = spark.createDataFrame([("visit", hashlib.sha256(b'4\n{"n":4}').hexdigest(), 1, START, "201", "u4"), ("visit", "nobody", 1, START, "201", "u")],
+                                  "entity string, document_hash string, attempt int, at timestamp_ntz, code string, uuid string")
+    box.put(papers, "visit", "id")
+    sent = box.send(at(0))
+    answers = sent.where("queue_number <= 2").select("queue_number", "attempt", at(1).alias("at"), F.lit("201").alias("code"), F.concat(F.lit("u"), "key").alias("uuid"))
+    assert box.answer(answers) == 2 and box.answer(answers) == 0
+    assert answer(spark, box, [(3, 1, 1, "201"), (7, 1, 1, "500")]) == 1  # the first one again, by name
+    assert box.events.staged().where("document_hash is not null or queue_number is null").count() == 0
+    # An answer that came before its document was queued counts from then on, once.
+    assert box.answer(early) == 2 and box.answer(early) == 0
+    assert box.put(spark.createDataFrame([(4, '{"n":4}')], "id long, document string"), "visit", "id") == 1
+    assert box.answer(early) == 0
+    assert state_of(box, 2) == {3: ("delivered", 1), 5: ("delivered", 1), 7: ("retry", 1), 9: ("sent", 1), 4: ("delivered", 1)}
+    told = {r["key"]: r["target_uuid"] for r in box.states(at(2)).collect()}
+    assert told == {"3": "u3", "5": "u5", "7": None, "9": None, "4": "u4"}
