@@ -101,7 +101,7 @@ def in_batches(t: Tables, source, job, change, keys: list[str]) -> DataFrame:
     for late in (BATCHES[0], BATCHES[0], BATCHES[1]):
         known = known if late in known else f"{known} OR {late}"
         staged = changes.brought_up_to_date(
-            staged, keys, lambda known=known, late=late: change(source(t, known), source(t, late)["obs"]), lambda df: writers.write_snapshot(df, t.scratch("next")))
+            staged, keys, lambda known=known, late=late, staged=staged: change(source(t, known), source(t, late)["obs"], staged), lambda df: writers.write_snapshot(df, t.scratch("next")))
     return staged
 
 
@@ -109,14 +109,14 @@ def in_batches(t: Tables, source, job, change, keys: list[str]) -> DataFrame:
 def triage_by_changes(t: Tables) -> DataFrame:
     """Late vitals reach encounters that are staged."""
     settings = {"measures": VITAL_SIGNS, "concept_uuids": [f"SIZE {n}" for n in VITAL_SIGNS]}
-    return in_batches(t, triage_source, lambda src: care.triage(src, **settings), lambda src, new: changes.triage_changes(src, new, **settings), ["person_id", "encounter_id"])
+    return in_batches(t, triage_source, lambda src: care.triage(src, **settings), lambda src, new, staged: changes.triage_changes(src, new, **settings), ["person_id", "encounter_id"])
 
 
 @query("regimens_by_changes", REGIMENS_SQL)
 def regimens_by_changes(t: Tables) -> DataFrame:
     """Drugs are the first lines; reasons for a change are the sixth and seventh."""
     settings = {"drug_concept": 1, "change_concepts": [6, 7]}
-    return in_batches(t, regimen_source, lambda src: reports.regimens(src, **settings), lambda src, new: changes.regimen_changes(src, new, **settings), ["person_id"])
+    return in_batches(t, regimen_source, lambda src: reports.regimens(src, **settings), lambda src, new, staged: changes.regimen_changes(src, new, staged=staged, **settings), ["person_id"])
 
 
 # ---- reads --------------------------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartmill.functions import fixed_values as fixed
-from chartmill.operators.lookups import anti_staged, distinct_keys
+from chartmill.operators.lookups import anti_staged, distinct_keys, one_per_key, semi_on
 from chartmill.operators.membership import may_be_in, semi_on_delta
 from chartmill.plans import care, reports
 from chartmill.plans.registration import Tables
@@ -43,12 +43,29 @@ def triage_changes(src: Tables, new_obs: DataFrame, new_encounters: DataFrame |
 
 
 def regimen_changes(src: Tables, new_obs: DataFrame, new_encounters: DataFrame | None = None, drug_concept: int = fixed.REGIMEN_CONCEPT,
-                    change_concepts: Sequence[int] = fixed.REGIMEN_CHANGE_CONCEPTS, **settings) -> tuple[DataFrame, DataFrame]:
-    """The affected persons and all their regimens: a late drug can move a first intake to another encounter."""
+                    change_concepts: Sequence[int] = fixed.REGIMEN_CHANGE_CONCEPTS, staged: DataFrame | None = None, **settings) -> tuple[DataFrame, DataFrame]:
+    """The affected persons and all their regimens: a late drug can move a first intake to another encounter.
+
+    With the staged regimens at hand, only persons with new drugs or encounters have theirs made again; where there are new
+    reasons alone, the staged rows stay but for the reason, which is looked up anew."""
+    drug = F.col("concept_id") == drug_concept
     asked = F.col("concept_id").isin(drug_concept, *change_concepts)
-    affected = distinct_keys(affected_encounters(src["obs"].where(asked), new_obs.where(asked), new_encounters).select("person_id")).persist()
-    known = {**src, "obs": semi_on_delta(src["obs"], affected, ["person_id"])}
-    return affected, reports.regimens(known, drug_concept=drug_concept, change_concepts=change_concepts, **settings)
+    known_obs = src["obs"].where(asked)
+    if staged is None:
+        affected = distinct_keys(affected_encounters(known_obs, new_obs.where(asked), new_encounters).select("person_id")).persist()
+        known = {**src, "obs": semi_on_delta(src["obs"], affected, ["person_id"])}
+        return affected, reports.regimens(known, drug_concept=drug_concept, change_concepts=change_concepts, **settings)
+    whole = affected_encounters(known_obs, new_obs.where(drug), new_encounters).select("person_id", F.lit(True).alias("again"))
+    reasons = new_obs.where(asked & ~drug).select("person_id", F.lit(False).alias("again"))
+    affected = one_per_key(whole.unionByName(reasons), ["person_id"], F.max("again").alias("again")).persist()
+    names = reports.full_names(src, settings.get("locale", "en"))
+    renewed = semi_on(staged, affected.where(~F.col("again")), {"person_id": "person_id"}).drop("reason_for_change").join(
+        reports.reasons_for_change(src, names, change_concepts), "encounter_id", "left").select(*staged.columns)
+    again = affected.where("again").select("person_id")
+    if again.isEmpty():
+        return affected, renewed
+    known = {**src, "obs": semi_on_delta(src["obs"], again, ["person_id"])}
+    return affected, renewed.unionByName(reports.regimens(known, drug_concept=drug_concept, change_concepts=change_concepts, **settings))
 
 
 def brought_up_to_date(staged: DataFrame, keys: Sequence[str], change: Callable[[], tuple[DataFrame, DataFrame]], write: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -14,6 +14,21 @@ from chartmill.operators.lookups import dimension, one_per_key, semi_on
 from chartmill.plans.registration import Tables
 
 
+def full_names(src: Tables, locale: str = "en") -> DataFrame:
+    """(value_coded, name): the first full name of each concept, broadcast if they are few."""
+    names = src["concept_name"].where(
+        (F.col("locale") == locale) & (F.col("concept_name_type") == "FULLY_SPECIFIED")
+    ).select(F.col("concept_id").alias("value_coded"), "name")
+    # A drug a third of the patients take is a hot key of the joins with these.
+    return dimension(one_per_key(names, ["value_coded"], F.min("name").alias("name")), bound=names)
+
+
+def reasons_for_change(src: Tables, names: DataFrame, change_concepts: Sequence[int]) -> DataFrame:
+    """(encounter_id, reason_for_change): the first by name of each encounter."""
+    changed = src["obs"].where((F.col("voided") == 0) & F.col("concept_id").isin(*change_concepts)).select("encounter_id", "value_coded")
+    return changed.join(names, "value_coded").groupBy("encounter_id").agg(F.min("name").alias("reason_for_change"))
+
+
 def regimens(
     src: Tables,
     location_ids: Sequence[int] | None = None,
@@ -26,11 +41,7 @@ def regimens(
 
     A drug counts at the patient's first encounter with it; names are listed in alphabetical order.
     """
-    names = src["concept_name"].where(
-        (F.col("locale") == locale) & (F.col("concept_name_type") == "FULLY_SPECIFIED")
-    ).select(F.col("concept_id").alias("value_coded"), "name")
-    # A drug a third of the patients take is a hot key of the joins below.
-    names = dimension(one_per_key(names, ["value_coded"], F.min("name").alias("name")), bound=names)
+    names = full_names(src, locale)
     in_force = src["obs"].where(F.col("voided") == 0)
     drugs = in_force.where(F.col("concept_id") == drug_concept)
     if location_ids is not None:
@@ -46,9 +57,7 @@ def regimens(
     regimen = join_names(started.join(names, "value_coded"), ["encounter_id"], "value_coded", "name", "regimen",
                          [F.min("person_id").alias("person_id"), F.min("value_coded").alias("value_coded"),
                           F.min("encounter_datetime").alias("encounter_datetime")])
-    changed = in_force.where(F.col("concept_id").isin(*change_concepts)).select("encounter_id", "value_coded")
-    reasons = changed.join(names, "value_coded").groupBy("encounter_id").agg(F.min("name").alias("reason_for_change"))
-    return regimen.join(reasons, "encounter_id", "left").select(
+    return regimen.join(reasons_for_change(src, names, change_concepts), "encounter_id", "left").select(
         "person_id", "encounter_id", F.lit(drug_concept).alias("concept_id"), "value_coded", "encounter_datetime",
         "regimen", "reason_for_change",
     )

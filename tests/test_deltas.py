@@ -1,5 +1,6 @@
 """Small changes: what the filter lets through, which side moves, which files are rewritten, how ranges are balanced."""
 
+import datetime
 import os
 import random
 
@@ -141,3 +142,35 @@ def test_changes_in_any_order_equal_a_full_run(spark, seed, tmp_path):
         last = n
 
 
+
+
+def test_regimens_with_new_reasons_only(spark, tmp_path):
+    """Persons without new drugs keep their staged rows but for the reasons; the outcome is that of a full run."""
+    names = spark.createDataFrame([(c, "en", "FULLY_SPECIFIED", f"drug {c}") for c in (1, 2, 3, 4)], "concept_id long, locale string, concept_name_type string, name string")
+    at = spark.createDataFrame([(e, datetime.datetime(2024, 1, e), 0) for e in (10, 11, 20, 30)], "encounter_id long, encounter_datetime timestamp_ntz, voided int")
+    # Person 1 takes drugs at encounters 10 and 11, person 2 at 20, person 3 at 30; concept 5 is a drug, 6 a reason.
+    batches = [
+        [(1, 10, 5, 1, 0), (1, 11, 5, 2, 0), (2, 20, 5, 1, 0), (3, 30, 5, 3, 0), (3, 30, 6, 4, 0)],
+        [(1, 11, 6, 3, 0), (1, 11, 6, 2, 0), (2, 20, 6, 4, 1), (None, 20, 6, 1, 0)],
+        [(2, 20, 6, 2, 0), (1, 10, 5, 2, 0), (3, 30, 7, 1, 0)],
+    ]
+    schema, settings = "person_id long, encounter_id long, concept_id long, value_coded long, voided int", {"drug_concept": 5, "change_concepts": [6]}
+
+    def source(rows):
+        return {"obs": spark.createDataFrame(rows, schema), "encounter": at, "concept_name": names}
+
+    def made(df):
+        return sorted(map(tuple, df.collect()))
+
+    known = batches[0]
+    staged = writers.write_snapshot(reports.regimens(source(known), **settings), f"{tmp_path}/first")
+    for run, batch in enumerate([batches[1], batches[1], batches[2]]):
+        known = known if batch[0] in known else known + batch
+        src, new = source(known), spark.createDataFrame(batch, schema)
+        affected, rows = changes.regimen_changes(src, new, staged=staged, **settings)
+        again = {r["person_id"] for r in affected.where("again").collect()}
+        assert again == ({1} if batch is batches[2] else set())
+        affected.unpersist()
+        staged = changes.brought_up_to_date(
+            staged, ["person_id"], lambda: changes.regimen_changes(src, new, staged=staged, **settings), lambda df: writers.write_snapshot(df, f"{tmp_path}/{run}"))
+        assert made(staged.fillna("")) == made(reports.regimens(src, **settings).fillna(""))
