@@ -125,3 +125,13 @@ def test_events_go_by_number(spark, box, papers):
     assert state_of(box, 2) == {3: ("delivered", 1), 5: ("delivered", 1), 7: ("retry", 1), 9: ("sent", 1), 4: ("delivered", 1)}
     told = {r["key"]: r["target_uuid"] for r in box.states(at(2)).collect()}
     assert told == {"3": "u3", "5": "u5", "7": None, "9": None, "4": "u4"}
+
+
+def test_rounds_move_no_hashes(spark, box, papers):
+    """What is due, and what a round sends, is found without the hashes of documents and events."""
+    box.put(papers, "visit", "id")
+    sent = box.send(at(0))
+    box.answer(sent.select("queue_number", "entity", "document_hash", "attempt", at(1).alias("at"), F.lit("500").alias("code"), F.lit(None).cast("string").alias("uuid")))
+    for rows in (sent.select("queue_number", "key", "attempt"), box.states(at(2)).select("queue_number", "key", "state", "attempt", "code", "target_uuid")):
+        assert "document_hash" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.count() == 4
